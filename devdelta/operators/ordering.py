@@ -8,8 +8,8 @@ single task.  Here the key's history is cut into event-time buckets:
 1. rows are hash-partitioned on (key, bucket) and sorted by (t, arrival):
    duplicates of the same t are dropped (first arrival wins) and the previous
    row *within* the bucket comes from ``lag`` -- one exchange for both windows;
-2. each (key, bucket) is summarised by its last row (``max_by``, computed on
-   the partitioning from step 1, so without another exchange);
+2. each (key, bucket) is summarised by its last row, flagged by ``lead`` in
+   the same window pass (a filter, no aggregation);
 3. the summaries (one row per key and bucket, far fewer than rows) get the
    previous non-empty bucket's last row by a ``lag`` over the key;
 4. only the first row of every bucket needs that value: a join on
@@ -42,6 +42,7 @@ def previous_in_key(
     carry: Sequence[str],
     bucket_ms: int,
     dedup_same_time: bool = False,
+    repartition_summary: bool = False,
 ) -> DataFrame:
     """Add ``_first`` (bool) and ``_prev`` (struct of ``carry`` of the previous
     row of the same key in (time, ties) order).
@@ -63,12 +64,17 @@ def previous_in_key(
         "*",
         F.lag(carried).over(w).alias("_prev_in_bucket"),
         (F.row_number().over(w) == 1).alias("_first_in_bucket"),
+        F.lead(F.lit(True)).over(w).isNull().alias("_last_in_bucket"),
     )
 
-    last = F.max_by(carried, F.struct(*order))
-    summary = rows.groupBy(*part).agg(last.alias("_last"))
+    # The last row of every (key, bucket) comes straight out of the window pass
+    # (no aggregation); the previous bucket's last row is a lag over the key on
+    # these summary rows only.
+    summary = rows.where(F.col("_last_in_bucket")).select(*part, carried.alias("_last"))
     wb = Window.partitionBy(*keys).orderBy("_bucket")
-    summary = summary.select(*part, F.lag("_last").over(wb).alias("_prev_bucket_last")).repartition(*part)
+    summary = summary.select(*part, F.lag("_last").over(wb).alias("_prev_bucket_last"))
+    if repartition_summary:
+        summary = summary.repartition(*part)
 
     joined = rows.join(summary, on=part, how="left")
     first_in_bucket = F.col("_first_in_bucket")

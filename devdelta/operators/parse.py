@@ -41,10 +41,16 @@ def dedup_items(items: Column) -> Column:
 
 
 def parse_messages(raw: DataFrame) -> DataFrame:
-    """Kafka-shaped rows -> one row per record with the parsed message in ``m``."""
+    """Kafka-shaped rows -> one row per record with the parsed message in ``m``.
+
+    The parsed struct leaves through a one-element ``inline``: filters on its
+    fields then stay above the generator, so Catalyst cannot push them below
+    and re-run ``from_json`` once per referenced field.
+    """
+    parsed = F.from_json(F.col("value").cast("string"), SNAPSHOT_PARSE_DDL)
     return raw.select(
         key_is_json(F.col("key")).alias("_key_ok"),
-        F.from_json(F.col("value").cast("string"), SNAPSHOT_PARSE_DDL).alias("m"),
+        F.inline(F.array(F.struct(parsed.alias("m")))),
         *[F.col(c) for c in ARRIVAL],
     )
 

@@ -11,8 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devdelta.config import Settings
-from devdelta.operators import changelog, parse
+from devdelta.operators import changelog, parse, snapshot
 from devdelta.schema import CHANGE_EVENT_COLUMNS
+from devdelta.sinks.records import keyed_event_records, table_event_records
 from devdelta.sources.fixtures import fixture_messages, raw_property_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +69,29 @@ def q_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return changelog.change_log(property_rows(spark, sf_dir))
 
 
+def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return parse.snapshot_table(messages(spark, sf_dir))
+
+
+def q_snapshot_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lag = snapshot.snapshot_lag(snapshot_rows(spark, sf_dir))
+    return lag.select(
+        *snapshot.ENVELOPE, F.to_json("newData").alias("newData"), F.to_json("oldData").alias("oldData")
+    )
+
+
+def q_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return snapshot.snapshot_diff(snapshot_rows(spark, sf_dir))
+
+
+def q_sink_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return keyed_event_records(q_change_log(spark, sf_dir))
+
+
+def q_snapshot_sink_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table_event_records(q_snapshot_diff(spark, sf_dir)).select("value")
+
+
 CATALOGUE: dict[str, Query] = {
     "parse_envelope": q_parse_envelope,
     "explode_properties": q_explode_properties,
@@ -75,4 +99,8 @@ CATALOGUE: dict[str, Query] = {
     "dedup_same_time": q_dedup_same_time,
     "first_seen": q_first_seen,
     "change_log": q_change_log,
+    "snapshot_lag": q_snapshot_lag,
+    "snapshot_diff": q_snapshot_diff,
+    "sink_rows": q_sink_rows,
+    "snapshot_sink_rows": q_snapshot_sink_rows,
 }

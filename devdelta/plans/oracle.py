@@ -68,6 +68,58 @@ changes AS (
   FROM lagged WHERE rn = 1 OR code <> prev_code
 )"""
 
+_GROUP_ORDER = "CASE name " + " ".join(f"WHEN '{n}' THEN {i}" for i, n in enumerate(LINKED_PROPERTIES)) + " END"
+
+# Path B: whole messages, previous message of the same device, group texts in
+# the fixed group order with a leading comma.
+SNAPSHOT_CTES = f"""
+items_json AS (
+  SELECT user_id, day,
+         '{{' || string_agg('"' || name || '":{{"value":' || CAST(code AS VARCHAR) || ',"time":' || CAST(t AS VARCHAR) || '}}',
+                            ',' ORDER BY name) || '}}' AS items
+  FROM prop GROUP BY user_id, day
+),
+msgs AS (
+  SELECT m.user_id, m.day, m.first_event_id, m.last_ms,
+         row_number() OVER (PARTITION BY m.user_id ORDER BY m.last_ms) AS rn,
+         lag(m.day) OVER (PARTITION BY m.user_id ORDER BY m.last_ms) AS prev_day
+  FROM msg m
+),
+env AS (
+  SELECT ms.*, 'T' || CAST(ms.user_id % 3 AS VARCHAR) AS deviceType,
+         'iot' || CAST(ms.user_id AS VARCHAR) AS iotId,
+         CAST(ms.first_event_id AS VARCHAR) AS requestId,
+         '{{}}' AS checkFailedData,
+         'P' || CAST(ms.user_id % 5 AS VARCHAR) AS productKey,
+         ms.last_ms AS gmtCreate,
+         'dev' || CAST(ms.user_id AS VARCHAR) AS deviceName
+  FROM msgs ms
+),
+bgrp AS (
+  SELECT user_id, day, string_agg(',' || name || ':' || CAST(code AS VARCHAR), '' ORDER BY {_GROUP_ORDER}) AS g
+  FROM prop WHERE name IN ({_LINKED}) GROUP BY user_id, day
+),
+diff AS (
+  SELECT e.deviceType, e.iotId, e.requestId, e.checkFailedData, e.productKey, e.gmtCreate, e.deviceName,
+         'ErrorCode' AS event_name,
+         'ErrorCode:' || coalesce((SELECT CAST(p.code AS VARCHAR) FROM prop p
+                                   WHERE p.user_id = e.user_id AND p.day = e.day AND p.name = 'ErrorCode'), '0')
+           AS event_value,
+         'ErrorCode:' AS event_ori_value
+  FROM env e WHERE e.rn = 1
+  UNION ALL
+  SELECT e.deviceType, e.iotId, e.requestId, e.checkFailedData, e.productKey, e.gmtCreate, e.deviceName,
+         n.name AS event_name,
+         CASE WHEN n.name IN ({_LINKED}) THEN gn.g ELSE n.name || ':' || CAST(n.code AS VARCHAR) END AS event_value,
+         CASE WHEN n.name IN ({_LINKED}) THEN go.g ELSE n.name || ':' || CAST(o.code AS VARCHAR) END AS event_ori_value
+  FROM env e
+  JOIN prop n ON n.user_id = e.user_id AND n.day = e.day
+  JOIN prop o ON o.user_id = e.user_id AND o.day = e.prev_day AND o.name = n.name
+  LEFT JOIN bgrp gn ON gn.user_id = e.user_id AND gn.day = e.day
+  LEFT JOIN bgrp go ON go.user_id = e.user_id AND go.day = e.prev_day
+  WHERE e.rn > 1 AND n.code <> o.code
+)"""
+
 EVENT_COLS = (
     "deviceType, iotId, requestId, checkFailedData, productKey, gmtCreate, deviceName, "
     "eventName, eventValue, eventOriValue"
@@ -78,6 +130,13 @@ def _with(body: str) -> str:
     return f"WITH {PROPERTY_CTES}\n{body}"
 
 
+def _with_b(body: str) -> str:
+    return f"WITH {PROPERTY_CTES},{SNAPSHOT_CTES}\n{body}"
+
+
+_BEAN = sorted(c.strip() for c in EVENT_COLS.split(","))
+
+
 ORACLE: dict[str, str] = {
     "parse_envelope": _with(
         """
@@ -98,6 +157,25 @@ FROM msg m"""
     "linked_group": _with(f"SELECT {EVENT_COLS} FROM pe WHERE eventName IN ({_LINKED})"),
     "first_seen": _with(f"SELECT {EVENT_COLS} FROM lagged WHERE rn = 1"),
     "change_log": _with(f"SELECT {EVENT_COLS} FROM changes"),
+    "snapshot_lag": _with_b(
+        """
+SELECT e.deviceType, e.iotId, e.requestId, e.checkFailedData, e.productKey, e.gmtCreate, e.deviceName,
+       i.items AS newData,
+       lag(i.items) OVER (PARTITION BY e.user_id ORDER BY e.gmtCreate) AS oldData
+FROM env e JOIN items_json i ON i.user_id = e.user_id AND i.day = e.day"""
+    ),
+    "snapshot_diff": _with_b("SELECT * FROM diff"),
+    "sink_rows": _with(
+        "SELECT productKey || '-' || deviceName AS key, CAST(to_json(struct_pack("
+        + ", ".join(f"{c} := {c}" for c in _BEAN)
+        + ")) AS VARCHAR) AS value FROM changes"
+    ),
+    "snapshot_sink_rows": _with_b(
+        "SELECT CAST(to_json(struct_pack("
+        + "deviceType := deviceType, iotId := iotId, requestId := requestId, checkFailedData := checkFailedData, "
+        + "productKey := productKey, gmtCreate := gmtCreate, deviceName := deviceName, eventName := event_name, "
+        + "eventValue := event_value, eventOriValue := event_ori_value)) AS VARCHAR) AS value FROM diff"
+    ),
     "dedup_same_time": f"""
 WITH ev AS (
   SELECT user_id, event_id, event_type, CAST(ts AS DATE) AS day,
