@@ -47,3 +47,25 @@ def changed_against(previous: Column, current: Column, name: Column) -> Column:
     single = (_piece_name(previous) == name) & ~_piece_code(previous).eqNullSafe(cur)
     multi = F.exists(_pieces(previous), lambda z: (_piece_name(z) == name) & ~_piece_code(z).eqNullSafe(cur))
     return F.coalesce(F.when(F.instr(previous, ",") == 0, single).otherwise(multi), F.lit(False))
+
+
+# Per-row twins used inside the stateful processor (same rules as above).
+def py_piece_code(piece: str) -> str:
+    parts = piece.split(":")
+    return parts[1] if len(parts) > 1 else ""
+
+
+def py_code_of(text: str | None, name: str) -> str | None:
+    if text is None:
+        return None
+    for piece in text.split(","):
+        if piece.split(":")[0] == name:
+            return py_piece_code(piece)
+    return None
+
+
+def py_changed_against(previous: str | None, current: str | None, name: str) -> bool:
+    if previous is None:
+        return False
+    cur = py_code_of(current, name)
+    return any(p.split(":")[0] == name and py_piece_code(p) != cur for p in previous.split(","))

@@ -10,10 +10,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devdelta.config import Settings
-from devdelta.operators import changelog, parse, snapshot
+from devdelta.config import PATH_A_BOUND_MS, Settings, watermark_delay_ms
+from devdelta.operators import changelog, lateness, parse, snapshot
 from devdelta.schema import CHANGE_EVENT_COLUMNS
+from devdelta.session import scratch_path
 from devdelta.sinks.records import keyed_event_records, table_event_records
+from devdelta.sinks.writers import file_target, split_writer
+from devdelta.sources.files import file_stream
+from devdelta.streaming import jobs
+from devdelta.streaming.jobs import use_rocksdb
 from devdelta.sources.fixtures import fixture_messages, raw_property_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -92,6 +97,55 @@ def q_snapshot_sink_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_event_records(q_snapshot_diff(spark, sf_dir)).select("value")
 
 
+def q_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Replay one Kafka partition per micro-batch: rows of later partitions
+    that fall below the running watermark are late."""
+    rows = property_rows(spark, sf_dir)
+    flagged = lateness.late_split(rows, "partition", "gmtCreate", watermark_delay_ms(PATH_A_BOUND_MS))
+    return flagged.select(*CHANGE_EVENT_COLUMNS, F.col("partition").cast("long").alias("batch"), "watermark", "is_late")
+
+
+def _phased_replay(spark: SparkSession, sf_dir: str, late_half_first: bool, name: str) -> tuple[str, list[DataFrame]]:
+    """Write the derived messages as two replay phases (two file drops) in a
+    fresh folder under the shared checkpoint root; phase order by day."""
+    msgs = messages(spark, sf_dir)
+    day = F.to_date(F.col("timestamp"))
+    bounds = msgs.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
+    mid = F.date_add(F.lit(bounds["lo"]), (F.datediff(F.lit(bounds["hi"]), F.lit(bounds["lo"])) / 2).cast("int"))
+    early, late = msgs.where(day < mid), msgs.where(day >= mid)
+    phases = [late, early] if late_half_first else [early, late]
+    return scratch_path(spark, name), phases
+
+
+def _run_phases(spark: SparkSession, root: str, phases: list[DataFrame], build, writer) -> None:
+    use_rocksdb(spark)
+    for i, phase in enumerate(phases):
+        phase.write.mode("append").parquet(f"{root}/in")
+        jobs.run_available(build(file_stream(spark, f"{root}/in")), writer, f"{root}/checkpoint")
+
+
+def q_stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, phases = _phased_replay(spark, sf_dir, False, "stream_change_log")
+    _run_phases(
+        spark, root, phases, jobs.change_log_stream, split_writer(file_target(f"{root}/main"), file_target(f"{root}/late"))
+    )
+    return spark.read.parquet(f"{root}/main").select(*CHANGE_EVENT_COLUMNS)
+
+
+def q_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, phases = _phased_replay(spark, sf_dir, True, "stream_late")
+    _run_phases(
+        spark, root, phases, jobs.change_log_stream, split_writer(file_target(f"{root}/main"), file_target(f"{root}/late"))
+    )
+    return spark.read.parquet(f"{root}/late").select(*CHANGE_EVENT_COLUMNS)
+
+
+def q_stream_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    root, phases = _phased_replay(spark, sf_dir, False, "stream_snapshot_diff")
+    _run_phases(spark, root, phases, jobs.snapshot_diff_stream, file_target(f"{root}/diff"))
+    return spark.read.parquet(f"{root}/diff").select(*snapshot.ENVELOPE, "event_name", "event_value", "event_ori_value")
+
+
 CATALOGUE: dict[str, Query] = {
     "parse_envelope": q_parse_envelope,
     "explode_properties": q_explode_properties,
@@ -103,4 +157,8 @@ CATALOGUE: dict[str, Query] = {
     "snapshot_diff": q_snapshot_diff,
     "sink_rows": q_sink_rows,
     "snapshot_sink_rows": q_snapshot_sink_rows,
+    "late_split": q_late_split,
+    "stream_change_log": q_stream_change_log,
+    "stream_late": q_stream_late,
+    "stream_snapshot_diff": q_stream_snapshot_diff,
 }
