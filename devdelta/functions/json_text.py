@@ -3,6 +3,10 @@
 The message is parsed once with ``from_json`` into VARIANT leaves; the JSON
 type of a leaf then decides how it is rendered.  A missing field is SQL NULL,
 a JSON ``null`` is a variant null (``schema_of_variant`` = ``VOID``).
+
+Each rule exists as SQL text (``*_sql``, usable inside higher-order lambdas and
+``selectExpr``) and as a Column function.  Outside lambdas the repeated
+``schema_of_variant`` is shared by common-subexpression elimination.
 """
 
 from __future__ import annotations
@@ -10,63 +14,83 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_INTEGRAL = ("BIGINT", "INT", "SMALLINT", "TINYINT")
+_INTEGRAL = "('BIGINT', 'INT', 'SMALLINT', 'TINYINT')"
 # Integer literals too long for a 64-bit long come back as DECIMAL(p,0), p >= 19.
-_BIG_INTEGER = r"^DECIMAL\((19|2[0-9]|3[0-8]),0\)$"
-
-
-def _kind(v: Column) -> Column:
-    return F.schema_of_variant(v)
+_BIG_INTEGER = r"'^DECIMAL\\((19|2[0-9]|3[0-8]),0\\)$'"
 
 
-def text_value(v: Column) -> Column:
+def text_value_sql(v: str) -> str:
     """Text of a JSON string node, NULL for any other node (``textValue()``)."""
-    return F.when(_kind(v) == "STRING", v.cast("string"))
+    return f"CASE WHEN schema_of_variant({v}) = 'STRING' THEN CAST({v} AS STRING) END"
 
 
-def as_text(v: Column) -> Column:
+def as_text_sql(v: str) -> str:
     """Text rendering of any JSON node (``asText()``); NULL only when missing.
 
     null -> ``"null"``; object/array -> ``""``; integers as digits; fractional
     numbers through a double (``3.0`` -> ``"3.0"``, ``1e3`` -> ``"1000.0"``).
     """
-    k = _kind(v)
+    k = f"schema_of_variant({v})"
     return (
-        F.when(v.isNull(), F.lit(None).cast("string"))
-        .when(k == "VOID", F.lit("null"))
-        .when(k.isin("STRING", "BOOLEAN", *_INTEGRAL), v.cast("string"))
-        .when(k.rlike(_BIG_INTEGER), v.cast("string"))
-        .when(k.startswith("DECIMAL") | k.isin("DOUBLE", "FLOAT"), v.cast("double").cast("string"))
-        .otherwise(F.lit(""))
+        f"CASE WHEN {v} IS NULL THEN CAST(NULL AS STRING) "
+        f"WHEN {k} = 'VOID' THEN 'null' "
+        f"WHEN {k} IN ('STRING', 'BOOLEAN', 'BIGINT', 'INT', 'SMALLINT', 'TINYINT') THEN CAST({v} AS STRING) "
+        f"WHEN {k} RLIKE {_BIG_INTEGER} THEN CAST({v} AS STRING) "
+        f"WHEN {k} LIKE 'DECIMAL%' OR {k} IN ('DOUBLE', 'FLOAT') THEN CAST(CAST({v} AS DOUBLE) AS STRING) "
+        f"ELSE '' END"
     )
 
 
-def long_value(v: Column) -> Column:
+def long_value_sql(v: str) -> str:
     """``longValue()``: numbers truncated toward zero, anything else 0.
 
     NULL only when the field is missing (the caller skips such properties).
-    Numbers outside the 64-bit range also give 0 instead of wrapping.
+    Numbers outside the 64-bit range give 0 instead of wrapping around.
     """
-    k = _kind(v)
-    numeric = k.isin(*_INTEGRAL, "DOUBLE", "FLOAT") | k.startswith("DECIMAL")
+    k = f"schema_of_variant({v})"
     return (
-        F.when(v.isNull(), F.lit(None).cast("long"))
-        .when(numeric, F.coalesce(v.try_cast("bigint"), F.lit(0).cast("long")))
-        .otherwise(F.lit(0).cast("long"))
+        f"CASE WHEN {v} IS NULL THEN CAST(NULL AS BIGINT) "
+        f"WHEN {k} IN {_INTEGRAL} OR {k} IN ('DOUBLE', 'FLOAT') OR {k} LIKE 'DECIMAL%' "
+        f"THEN coalesce(try_cast({v} AS BIGINT), 0L) ELSE 0L END"
     )
 
 
-def get_string(v: Column) -> Column:
+def get_string_sql(v: str) -> str:
     """Path B rendering of a nested value: NULL for missing or JSON null,
     strings as is, numbers and booleans as text, objects/arrays as compact JSON."""
-    return v.cast("string")
+    return f"CAST({v} AS STRING)"
 
 
-def flink_bigint(v: Column) -> Column:
+def flink_bigint_sql(v: str) -> str:
     """BIGINT column of the SQL JSON table: numbers truncated, numeric strings
     parsed, anything else NULL."""
-    k = _kind(v)
+    k = f"schema_of_variant({v})"
     return (
-        F.when(k.isin(*_INTEGRAL, "DOUBLE", "FLOAT") | k.startswith("DECIMAL"), v.try_cast("bigint"))
-        .when(k == "STRING", F.trim(v.cast("string")).try_cast("bigint"))
+        f"CASE WHEN {k} IN {_INTEGRAL} OR {k} IN ('DOUBLE', 'FLOAT') OR {k} LIKE 'DECIMAL%' "
+        f"THEN try_cast({v} AS BIGINT) "
+        f"WHEN {k} = 'STRING' THEN try_cast(trim(CAST({v} AS STRING)) AS BIGINT) END"
     )
+
+
+def _col(sql_of, name: str) -> Column:
+    return F.expr(sql_of(f"`{name}`" if "." not in name else name))
+
+
+def text_value(name: str) -> Column:
+    return _col(text_value_sql, name)
+
+
+def as_text(name: str) -> Column:
+    return _col(as_text_sql, name)
+
+
+def long_value(name: str) -> Column:
+    return _col(long_value_sql, name)
+
+
+def get_string(v: Column) -> Column:
+    return v.cast("string")
+
+
+def flink_bigint(name: str) -> Column:
+    return _col(flink_bigint_sql, name)

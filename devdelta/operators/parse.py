@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devdelta.config import ENVELOPE_TEXT_FIELDS, LINKED_PROPERTIES
-from devdelta.functions.json_text import as_text, flink_bigint, get_string, long_value, text_value
+from devdelta.functions.json_text import as_text_sql, flink_bigint, get_string, long_value_sql, text_value
 from devdelta.schema import SNAPSHOT_PARSE_DDL
 
 ARRIVAL = ("partition", "offset")
@@ -25,19 +25,15 @@ def key_is_json(key: Column) -> Column:
     return k.isNull() | F.try_parse_json(k).isNotNull() | F.json_object_keys(k).isNotNull()
 
 
-def dedup_items(items: Column) -> Column:
+def dedup_items_sql(items: str) -> str:
     """Repeated names inside one ``items`` object: keep the first position and
     the last value, as a JSON tree does.  The repeated-name path is only taken
     by messages that actually repeat a name."""
-    names = F.map_keys(items)
-    entries = F.map_entries(items)
-    unique = F.transform(
-        F.array_distinct(names),
-        lambda k: F.struct(
-            k.alias("key"), F.element_at(F.filter(entries, lambda e: e["key"] == k), -1)["value"].alias("value")
-        ),
+    return (
+        f"CASE WHEN size(array_distinct(map_keys({items}))) = size(map_keys({items})) THEN {items} "
+        f"ELSE map_from_entries(transform(array_distinct(map_keys({items})), "
+        f"k -> named_struct('key', k, 'value', element_at(filter(map_entries({items}), e -> e.key = k), -1).value))) END"
     )
-    return F.when(F.size(F.array_distinct(names)) == F.size(names), items).otherwise(F.map_from_entries(unique))
 
 
 def parse_messages(raw: DataFrame) -> DataFrame:
@@ -69,28 +65,12 @@ def snapshot_messages(raw: DataFrame) -> DataFrame:
         gate = gate & c
     gate = gate & F.col("m.items").isNotNull()
     return p.where(gate).select(
-        *[text_value(F.col("m")[f]).alias(f) for f in ENVELOPE_TEXT_FIELDS],
-        dedup_items(F.col("m.items")).alias("items"),
+        *[text_value(f"m.{f}").alias(f) for f in ENVELOPE_TEXT_FIELDS],
+        F.expr(dedup_items_sql("m.items")).alias("items"),
         *[F.col(c) for c in ARRIVAL],
     )
 
 
-def _properties(items: Column) -> Column:
-    """Items -> array<struct<name, code, t>> in message order.  A property
-    without ``value`` or ``time`` is skipped (the original job failed)."""
-    usable = F.filter(
-        F.map_entries(items), lambda e: e["value"]["value"].isNotNull() & e["value"]["time"].isNotNull()
-    )
-    return F.transform(
-        usable,
-        lambda e: F.struct(
-            e["key"].alias("name"),
-            as_text(e["value"]["value"]).alias("code"),
-            long_value(e["value"]["time"]).alias("t"),
-        ),
-    )
-
-
 def property_events(messages: DataFrame, linked: Sequence[str] = LINKED_PROPERTIES) -> DataFrame:
     """G1 + G2: one change-event candidate per property.
 
@@ -98,28 +78,35 @@ def property_events(messages: DataFrame, linked: Sequence[str] = LINKED_PROPERTI
     Linked property: one row per member present, each with its own name and
     time, all sharing ``A:1,B:2`` / ``A:,B:`` built from the members present in
     this message, in message order.  ``gmtCreate`` is the property's own time.
+    A property without ``value`` or ``time`` is skipped (the original job
+    failed on it).
+
+    Items are exploded first so that the per-property coercions run as plain
+    (code-generated) expressions; only the linked members' group text is built
+    with a higher-order function, over at most the group's few entries.
     """
-    linked = list(linked)
-    with_props = messages.select("*", _properties(F.col("items")).alias("_props")).drop("items")
-    linked_props = F.filter(F.col("_props"), lambda p: p["name"].isin(*linked))
-    grouped = with_props.select(
-        "*",
-        F.array_join(F.transform(linked_props, lambda p: F.concat(p["name"], F.lit(":"), p["code"])), ",").alias(
-            "_group_value"
-        ),
-        F.array_join(F.transform(linked_props, lambda p: F.concat(p["name"], F.lit(":"))), ",").alias("_group_ori"),
+    names = ", ".join("'" + n.replace("'", "''") + "'" for n in linked)
+    usable = "filter(map_entries(items), e -> e.value.value IS NOT NULL AND e.value.time IS NOT NULL)"
+    members = f"filter(_usable, e -> e.key IN ({names}))"
+    staged = messages.select("*", F.expr(usable).alias("_usable")).drop("items")
+    exploded = staged.select(
+        *[c for c in staged.columns if c != "_usable"],
+        F.expr(
+            f"array_join(transform({members}, e -> concat(e.key, ':', {as_text_sql('e.value.value')})), ',')"
+        ).alias("_group_value"),
+        F.expr(f"array_join(transform({members}, e -> concat(e.key, ':')), ',')").alias("_group_ori"),
+        F.explode("_usable").alias("_p"),
     )
-    exploded = grouped.select("*", F.explode("_props").alias("_p"))
-    is_linked = F.col("_p.name").isin(*linked)
+    is_linked = F.col("_p.key").isin(*linked)
     return exploded.select(
         *ENVELOPE_TEXT_FIELDS[:5],
-        F.col("_p.t").alias("gmtCreate"),
+        F.expr(long_value_sql("_p.value.time")).alias("gmtCreate"),
         ENVELOPE_TEXT_FIELDS[5],
-        F.col("_p.name").alias("eventName"),
+        F.col("_p.key").alias("eventName"),
         F.when(is_linked, F.col("_group_value"))
-        .otherwise(F.concat(F.col("_p.name"), F.lit(":"), F.col("_p.code")))
+        .otherwise(F.concat(F.col("_p.key"), F.lit(":"), F.expr(as_text_sql("_p.value.value"))))
         .alias("eventValue"),
-        F.when(is_linked, F.col("_group_ori")).otherwise(F.concat(F.col("_p.name"), F.lit(":"))).alias(
+        F.when(is_linked, F.col("_group_ori")).otherwise(F.concat(F.col("_p.key"), F.lit(":"))).alias(
             "eventOriValue"
         ),
         *ARRIVAL,
@@ -145,12 +132,12 @@ def snapshot_table(raw: DataFrame) -> DataFrame:
     """
     p = parse_messages(raw).where(F.col("m").isNotNull())
     fields = [get_string(F.col("m")[f]).alias(f) for f in ENVELOPE_TEXT_FIELDS]
-    gmt = flink_bigint(F.col("m.gmtCreate"))
+    gmt = flink_bigint("m.gmtCreate")
     return p.select(
         *fields[:5],
         gmt.alias("gmtCreate"),
         fields[5],
-        dedup_items(F.col("m.items")).alias("items"),
+        F.expr(dedup_items_sql("m.items")).alias("items"),
         F.timestamp_millis(gmt).alias("ts_ltz"),
         *[F.col(c) for c in ARRIVAL],
     )

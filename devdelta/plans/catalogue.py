@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devdelta.config import PATH_A_BOUND_MS, Settings, watermark_delay_ms
+from devdelta.config import DAY_MS, PATH_A_BOUND_MS, Settings, watermark_delay_ms
 from devdelta.operators import changelog, lateness, parse, snapshot
 from devdelta.schema import CHANGE_EVENT_COLUMNS
 from devdelta.session import scratch_path
@@ -109,9 +109,9 @@ def _phased_replay(spark: SparkSession, sf_dir: str, late_half_first: bool, name
     """Write the derived messages as two replay phases (two file drops) in a
     fresh folder under the shared checkpoint root; phase order by day."""
     msgs = messages(spark, sf_dir)
-    day = F.to_date(F.col("timestamp"))
+    day = F.floor(F.unix_millis("timestamp") / F.lit(DAY_MS))  # epoch day, zone-independent
     bounds = msgs.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
-    mid = F.date_add(F.lit(bounds["lo"]), (F.datediff(F.lit(bounds["hi"]), F.lit(bounds["lo"])) / 2).cast("int"))
+    mid = F.lit(bounds["lo"] + (bounds["hi"] - bounds["lo"]) // 2)
     early, late = msgs.where(day < mid), msgs.where(day >= mid)
     phases = [late, early] if late_half_first else [early, late]
     return scratch_path(spark, name), phases

@@ -71,47 +71,36 @@ def event_rows(events: DataFrame) -> DataFrame:
 
 def fixture_messages(events: DataFrame, topic: str = SOURCE_TOPIC, n_partitions: int = N_PARTITIONS) -> DataFrame:
     """Kafka-shaped snapshot messages, one per (user_id, day)."""
-    ev = event_rows(events)
     latest = [
-        F.max(F.when(F.col("event_type") == etype, F.struct("ts", "event_id", "code", "ms"))).alias(f"_p{i}")
+        f"max(CASE WHEN event_type = '{etype}' THEN struct(ts, event_id, code, ms) END) AS _p{i}"
         for i, (etype, _) in enumerate(EVENT_PROPERTIES)
     ]
-    msg = ev.groupBy("user_id", "day").agg(
-        F.min("event_id").alias("first_event_id"), F.max("ms").alias("last_ms"), *latest
+    msg = event_rows(events).groupBy("user_id", "day").agg(
+        F.min("event_id").alias("first_event_id"), F.max("ms").alias("last_ms"), *[F.expr(x) for x in latest]
     )
-    entries = F.filter(
-        F.array(
-            *[
-                F.when(
-                    F.col(f"_p{i}").isNotNull(),
-                    F.struct(
-                        F.lit(name).alias("key"),
-                        F.struct(F.col(f"_p{i}.code").alias("value"), F.col(f"_p{i}.ms").alias("time")).alias("value"),
-                    ),
-                )
-                for i, (_, name) in enumerate(EVENT_PROPERTIES)
-            ]
-        ),
-        lambda e: e.isNotNull(),
+    entries = ", ".join(
+        f"CASE WHEN _p{i} IS NOT NULL THEN named_struct('key', '{name}', "
+        f"'value', named_struct('value', _p{i}.code, 'time', _p{i}.ms)) END"
+        for i, (_, name) in enumerate(EVENT_PROPERTIES)
     )
-    dev = device_columns(F.col("user_id"))
-    body = F.struct(
-        dev["deviceType"].alias("deviceType"),
-        dev["iotId"].alias("iotId"),
-        F.col("first_event_id").cast("string").alias("requestId"),
-        F.lit("{}").alias("checkFailedData"),
-        dev["productKey"].alias("productKey"),
-        F.col("last_ms").alias("gmtCreate"),
-        dev["deviceName"].alias("deviceName"),
-        F.map_from_entries(entries).alias("items"),
+    body = (
+        "named_struct("
+        "'deviceType', concat('T', CAST(user_id % 3 AS STRING)), "
+        "'iotId', concat('iot', CAST(user_id AS STRING)), "
+        "'requestId', CAST(first_event_id AS STRING), "
+        "'checkFailedData', '{}', "
+        "'productKey', concat('P', CAST(user_id % 5 AS STRING)), "
+        "'gmtCreate', last_ms, "
+        "'deviceName', concat('dev', CAST(user_id AS STRING)), "
+        f"'items', map_from_entries(filter(array({entries}), e -> e IS NOT NULL)))"
     )
-    return msg.select(
-        F.concat(F.lit('"'), dev["iotId"], F.lit('"')).cast("binary").alias("key"),
-        F.to_json(body).cast("binary").alias("value"),
-        F.lit(topic).alias("topic"),
-        F.pmod(F.col("user_id"), F.lit(n_partitions)).cast("int").alias("partition"),
-        F.col("first_event_id").alias("offset"),
-        F.timestamp_millis(F.col("last_ms")).alias("timestamp"),
+    return msg.selectExpr(
+        "CAST(concat('\"iot', CAST(user_id AS STRING), '\"') AS BINARY) AS key",
+        f"CAST(to_json({body}) AS BINARY) AS value",
+        f"'{topic}' AS topic",
+        f"CAST(pmod(user_id, {int(n_partitions)}) AS INT) AS partition",
+        "first_event_id AS offset",
+        "timestamp_millis(last_ms) AS timestamp",
     )
 
 
