@@ -6,17 +6,18 @@ to one task; one busy device would then hold a large share of the data in a
 single task.  Here the key's history is cut into event-time buckets:
 
 1. rows are hash-partitioned on (key, bucket) and sorted by (t, arrival):
-   duplicates of the same t are dropped (first arrival wins) and the previous
-   row *within* the bucket comes from ``lag`` -- one exchange for both windows;
-2. each (key, bucket) is summarised by its last row, flagged by ``lead`` in
-   the same window pass (a filter, no aggregation);
-3. the summaries (one row per key and bucket, far fewer than rows) get the
-   previous non-empty bucket's last row by a ``lag`` over the key;
-4. only the first row of every bucket needs that value: a join on
-   (key, bucket) that reuses the partitioning of step 1 for the large side.
-
-Grouped de-duplication without ordering (``first_arrival``) is a plain
-aggregation with map-side partial aggregation.
+   repeated times are dropped (first arrival wins) and every row but the
+   first of its bucket gets its previous row from ``lag`` in the bucket;
+2. only the bucket boundary rows (first and last row of every bucket, at most
+   two per key and bucket) are re-shuffled by key alone; ordered by time, the
+   row before a bucket's first row is the last row of the previous non-empty
+   bucket, so a ``lag`` over the boundary rows completes the answer;
+3. the two halves are unioned -- no join.  Both halves keep every column, so
+   they share one shuffle of the input (Spark reuses the exchange) and the
+   input is read and parsed once.
+
+The second shuffle carries at most ``2 x (time span / bucket_ms)`` rows per key,
+however hot the key.
 """
 
 from __future__ import annotations
@@ -42,7 +43,6 @@ def previous_in_key(
     carry: Sequence[str],
     bucket_ms: int,
     dedup_same_time: bool = False,
-    repartition_summary: bool = False,
 ) -> DataFrame:
     """Add ``_first`` (bool) and ``_prev`` (struct of ``carry`` of the previous
     row of the same key in (time, ties) order).
@@ -52,6 +52,7 @@ def previous_in_key(
     are not ordered and are dropped.  ``keys`` must be non-NULL columns.
     """
     keys = list(keys)
+    cols = list(df.columns)
     part = keys + ["_bucket"]
     order = [F.col(time_col)] + [F.col(c) for c in ties]
     rows = df.where(F.col(time_col).isNotNull()).withColumn("_bucket", _bucket(F.col(time_col), bucket_ms))
@@ -59,30 +60,36 @@ def previous_in_key(
     if dedup_same_time:
         rows = rows.withColumn("_dup", F.coalesce(F.lag(time_col).over(w) == F.col(time_col), F.lit(False)))
         rows = rows.where(~F.col("_dup")).drop("_dup")
-    carried = F.struct(*[F.col(c) for c in carry])
+    # Carried columns are lagged one by one and assembled after the window: a
+    # lagged struct would be built below the shuffle in one branch only.
     rows = rows.select(
         "*",
-        F.lag(carried).over(w).alias("_prev_in_bucket"),
-        (F.row_number().over(w) == 1).alias("_first_in_bucket"),
+        *[F.lag(c).over(w).alias(f"_pb_{c}") for c in carry],
+        F.lag(F.lit(True)).over(w).isNull().alias("_first_in_bucket"),
         F.lead(F.lit(True)).over(w).isNull().alias("_last_in_bucket"),
     )
 
-    # The last row of every (key, bucket) comes straight out of the window pass
-    # (no aggregation); the previous bucket's last row is a lag over the key on
-    # these summary rows only.
-    summary = rows.where(F.col("_last_in_bucket")).select(*part, carried.alias("_last"))
-    wb = Window.partitionBy(*keys).orderBy("_bucket")
-    summary = summary.select(*part, F.lag("_last").over(wb).alias("_prev_bucket_last"))
-    if repartition_summary:
-        summary = summary.repartition(*part)
-
-    joined = rows.join(summary, on=part, how="left")
-    first_in_bucket = F.col("_first_in_bucket")
-    return joined.select(
-        *[c for c in df.columns],
-        (first_in_bucket & F.col("_prev_bucket_last").isNull()).alias(FIRST),
-        F.when(first_in_bucket, F.col("_prev_bucket_last")).otherwise(F.col("_prev_in_bucket")).alias(PREV),
+    # ``_first`` is the (here always false) flag column rather than a literal:
+    # a literal would let Catalyst prune columns from this branch only, and the
+    # two branches would then no longer share the input shuffle.
+    inner = rows.where(~F.col("_first_in_bucket")).select(
+        *cols,
+        F.col("_first_in_bucket").alias(FIRST),
+        F.struct(*[F.col(f"_pb_{c}").alias(c) for c in carry]).alias(PREV),
     )
+    wk = Window.partitionBy(*keys).orderBy(*order)
+    boundary = rows.where(F.col("_first_in_bucket") | F.col("_last_in_bucket")).select(
+        *cols,
+        "_first_in_bucket",
+        F.lag(F.lit(True)).over(wk).isNull().alias("_no_prev"),
+        *[F.lag(c).over(wk).alias(f"_pk_{c}") for c in carry],
+    )
+    heads = boundary.where(F.col("_first_in_bucket")).select(
+        *cols,
+        F.col("_no_prev").alias(FIRST),
+        F.when(~F.col("_no_prev"), F.struct(*[F.col(f"_pk_{c}").alias(c) for c in carry])).alias(PREV),
+    )
+    return inner.unionByName(heads)
 
 
 def first_arrival(df: DataFrame, group: Sequence[str], ties: Sequence[str]) -> DataFrame:
