@@ -110,7 +110,10 @@ def _phased_replay(spark: SparkSession, sf_dir: str, late_half_first: bool, name
     fresh folder under the shared checkpoint root; phase order by day."""
     msgs = messages(spark, sf_dir)
     day = F.floor(F.unix_millis("timestamp") / F.lit(DAY_MS))  # epoch day, zone-independent
-    bounds = msgs.agg(F.min(day).alias("lo"), F.max(day).alias("hi")).first()
+    # Message days are the days of the events: the bounds come from a one-column
+    # aggregate over the table (a single small row), not from the messages.
+    ev_day = F.datediff(F.col("ts").cast("timestamp_ntz").cast("date"), F.lit("1970-01-01").cast("date"))
+    bounds = events(spark, sf_dir).agg(F.min(ev_day).alias("lo"), F.max(ev_day).alias("hi")).first()
     mid = F.lit(bounds["lo"] + (bounds["hi"] - bounds["lo"]) // 2)
     early, late = msgs.where(day < mid), msgs.where(day >= mid)
     phases = [late, early] if late_half_first else [early, late]

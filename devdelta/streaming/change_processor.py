@@ -13,8 +13,9 @@ T1 T3 T4 T5 T6 T7 T8 P9.  Per key (productKey, deviceName, eventName):
   ``eventValue`` when its code differs;
 * the newest released row stays in state as the baseline for the next release.
 
-One event-time timer per key (at the earliest pending time + 1) drives the
-release, so a key costs one timer call per batch however many rows are due.
+Pending rows and the baseline share one list state, so a release is one
+state read and one write; arriving rows register a timer at their earliest
+time + 1, and a release handles every due row at once.
 """
 
 from __future__ import annotations
@@ -32,98 +33,84 @@ from pyspark.sql.streaming.stateful_processor import (
 from devdelta.functions.codes import py_changed_against
 
 PAYLOAD = ("deviceType", "iotId", "requestId", "checkFailedData", "productKey", "deviceName")
-PENDING_SCHEMA = (
+# One list per key: the pending rows plus, flagged ``base``, the last released
+# row (the baseline).  Keeping both in one list makes a release one read and
+# one write of state.
+ROWS_SCHEMA = (
     "t long, partition int, offset long, deviceType string, iotId string, requestId string, "
     "checkFailedData string, productKey string, deviceName string, eventName string, eventValue string, "
-    "eventOriValue string"
+    "eventOriValue string, base boolean"
 )
-BASELINE_SCHEMA = "t long, eventValue string"
-TIMER_SCHEMA = "at long"
 OUTPUT_DDL = (
     "is_late boolean, deviceType string, iotId string, requestId string, checkFailedData string, "
     "productKey string, gmtCreate long, deviceName string, eventName string, eventValue string, "
     "eventOriValue string"
 )
 INPUT_COLUMNS = ["t", "partition", "offset", *PAYLOAD, "eventName", "eventValue", "eventOriValue"]
+T, PART, OFF, NAME, VALUE, BASE = 0, 1, 2, 9, 10, 12
 
 
 def _out(p: tuple, is_late: bool, ori: str | None = None) -> Row:
-    (t, _part, _off, dtype, iot, req, cfd, pk, dn, name, value, ori0) = p
     return Row(
         is_late=is_late,
-        deviceType=dtype,
-        iotId=iot,
-        requestId=req,
-        checkFailedData=cfd,
-        productKey=pk,
-        gmtCreate=t,
-        deviceName=dn,
-        eventName=name,
-        eventValue=value,
-        eventOriValue=ori0 if ori is None else ori,
+        deviceType=p[3],
+        iotId=p[4],
+        requestId=p[5],
+        checkFailedData=p[6],
+        productKey=p[7],
+        gmtCreate=p[T],
+        deviceName=p[8],
+        eventName=p[NAME],
+        eventValue=p[VALUE],
+        eventOriValue=p[11] if ori is None else ori,
     )
 
 
 class ChangeLogProcessor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", PENDING_SCHEMA)
-        self.baseline = handle.getValueState("baseline", BASELINE_SCHEMA)
-        self.timer = handle.getValueState("timer", TIMER_SCHEMA)
-
-    def _arm(self, earliest: int | None) -> None:
-        current = self.timer.get()[0] if self.timer.exists() else None
-        want = None if earliest is None else earliest + 1
-        if current == want:
-            return
-        if current is not None:
-            self.handle.deleteTimer(current)
-        if want is None:
-            self.timer.clear()
-        else:
-            self.handle.registerTimer(want)
-            self.timer.update((want,))
+        self.rows = handle.getListState("rows", ROWS_SCHEMA)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs()
         accepted = []
         for r in rows:
-            p = tuple(r[c] for c in INPUT_COLUMNS)
-            if wm > 0 and p[0] <= wm:
+            p = tuple(r[c] for c in INPUT_COLUMNS) + (False,)
+            if wm > 0 and p[T] <= wm:
                 yield _out(p, True)
             else:
                 accepted.append(p)
         if accepted:
-            self.pending.appendList(accepted)
-            earliest = min(p[0] for p in accepted)
-            if self.timer.exists():
-                earliest = min(earliest, self.timer.get()[0] - 1)
-            self._arm(earliest)
+            self.rows.appendList(accepted)
+            # Registering an existing timer again is a no-op; a timer left over
+            # from rows released early simply finds nothing due.
+            self.handle.registerTimer(min(p[T] for p in accepted) + 1)
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs()
-        self.timer.clear()
-        rows = list(self.pending.get()) if self.pending.exists() else []
-        due = sorted((p for p in rows if p[0] < wm), key=lambda p: (p[0], p[1], p[2]))
-        keep = [p for p in rows if p[0] >= wm]
-        prev = self.baseline.get() if self.baseline.exists() else None
+        stored = list(self.rows.get())
+        due = sorted((p for p in stored if not p[BASE] and p[T] < wm), key=lambda p: (p[T], p[PART], p[OFF]))
+        if not due:
+            return
+        keep = [p for p in stored if not p[BASE] and p[T] >= wm]
+        base = next((p for p in stored if p[BASE]), None)
+        first_ever = base is None
+        prev_value = None if base is None else base[VALUE]
         last_t = None
         for p in due:
-            if p[0] == last_t:
+            if p[T] == last_t:
                 continue  # same time: the first arrival stays
-            last_t = p[0]
-            if prev is None:
+            last_t = p[T]
+            if first_ever:
                 yield _out(p, False)
-            elif py_changed_against(prev[1], p[10], p[9]):
-                yield _out(p, False, prev[1])
-            prev = (p[0], p[10])
-        if prev is not None:
-            self.baseline.update(prev)
+                first_ever = False
+            elif py_changed_against(prev_value, p[VALUE], p[NAME]):
+                yield _out(p, False, prev_value)
+            prev_value = p[VALUE]
+        baseline = (last_t, None, None, None, None, None, None, None, None, due[0][NAME], prev_value, None, True)
+        self.rows.put(keep + [baseline])
         if keep:
-            self.pending.put(keep)
-            self._arm(min(p[0] for p in keep))
-        else:
-            self.pending.clear()
+            self.handle.registerTimer(min(p[T] for p in keep) + 1)
 
     def close(self) -> None:
         pass

@@ -27,16 +27,16 @@ from pyspark.sql.streaming.stateful_processor import (
 
 ENVELOPE = ("deviceType", "iotId", "requestId", "checkFailedData", "productKey", "deviceName")
 INPUT_COLUMNS = ["gmtCreate", "partition", "offset", *ENVELOPE, "items_json"]
-PENDING_SCHEMA = (
+# Pending snapshots and, flagged ``base``, the last released one share a list.
+ROWS_SCHEMA = (
     "t long, partition int, offset long, deviceType string, iotId string, requestId string, "
-    "checkFailedData string, productKey string, deviceName string, items_json string"
+    "checkFailedData string, productKey string, deviceName string, items_json string, base boolean"
 )
-LAST_SCHEMA = "t long, items_json string"
-TIMER_SCHEMA = "at long"
 OUTPUT_DDL = (
     "deviceType string, iotId string, requestId string, checkFailedData string, productKey string, "
     "gmtCreate long, deviceName string, newData string, oldData string, partition int, offset long"
 )
+T, PART, OFF, ITEMS, BASE = 0, 1, 2, 9, 10
 
 
 class SnapshotLagProcessor(StatefulProcessor):
@@ -45,50 +45,27 @@ class SnapshotLagProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.pending = handle.getListState("pending", PENDING_SCHEMA)
-        self.last = handle.getValueState("last", LAST_SCHEMA)
-        self.timer = handle.getValueState("timer", TIMER_SCHEMA)
-
-    def _next_due(self, pending: list[tuple]) -> int | None:
-        cands = [min(p[0] for p in pending)] if pending else []
-        if self.idle_ttl_ms is not None and self.last.exists():
-            cands.append(self.last.get()[0] + self.idle_ttl_ms)
-        return min(cands) if cands else None
-
-    def _arm(self, at: int | None) -> None:
-        current = self.timer.get()[0] if self.timer.exists() else None
-        if current == at:
-            return
-        if current is not None:
-            self.handle.deleteTimer(current)
-        if at is None:
-            self.timer.clear()
-        else:
-            self.handle.registerTimer(at)
-            self.timer.update((at,))
+        self.rows = handle.getListState("rows", ROWS_SCHEMA)
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs()
-        accepted = [tuple(r[c] for c in INPUT_COLUMNS) for r in rows]
-        accepted = [p for p in accepted if not (wm > 0 and p[0] <= wm)]
+        accepted = [tuple(r[c] for c in INPUT_COLUMNS) + (False,) for r in rows]
+        accepted = [p for p in accepted if not (wm > 0 and p[T] <= wm)]
         if accepted:
-            self.pending.appendList(accepted)
-            at = min(p[0] for p in accepted)
-            if self.timer.exists():
-                at = min(at, self.timer.get()[0])
-            self._arm(at)
+            self.rows.appendList(accepted)
+            self.handle.registerTimer(min(p[T] for p in accepted))
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs()
-        self.timer.clear()
-        rows = list(self.pending.get()) if self.pending.exists() else []
-        due = sorted((p for p in rows if p[0] <= wm), key=lambda p: (p[0], p[1], p[2]))
-        keep = [p for p in rows if p[0] > wm]
-        last = self.last.get() if self.last.exists() else None
         ttl = self.idle_ttl_ms
+        stored = list(self.rows.get())
+        base = next((p for p in stored if p[BASE]), None)
+        due = sorted((p for p in stored if not p[BASE] and p[T] <= wm), key=lambda p: (p[T], p[PART], p[OFF]))
+        keep = [p for p in stored if not p[BASE] and p[T] > wm]
+        last = None if base is None else (base[T], base[ITEMS])
         for p in due:
-            if last is not None and ttl is not None and p[0] - last[0] > ttl:
+            if last is not None and ttl is not None and p[T] - last[0] > ttl:
                 last = None
             yield Row(
                 deviceType=p[3],
@@ -96,25 +73,27 @@ class SnapshotLagProcessor(StatefulProcessor):
                 requestId=p[5],
                 checkFailedData=p[6],
                 productKey=p[7],
-                gmtCreate=p[0],
+                gmtCreate=p[T],
                 deviceName=p[8],
-                newData=p[9],
+                newData=p[ITEMS],
                 oldData=None if last is None else last[1],
-                partition=p[1],
-                offset=p[2],
+                partition=p[PART],
+                offset=p[OFF],
             )
-            last = (p[0], p[9])
+            last = (p[T], p[ITEMS])
         if last is not None and ttl is not None and last[0] + ttl <= wm:
-            last = None
-        if last is None:
-            self.last.clear()
+            last = None  # idle past the expiry: forget the device
+        if not due and (last is None) == (base is None):
+            return  # nothing released, nothing expired
+        new_base = [] if last is None else [(last[0], None, None, None, None, None, None, None, None, last[1], True)]
+        if keep or new_base:
+            self.rows.put(keep + new_base)
         else:
-            self.last.update(last)
+            self.rows.clear()
         if keep:
-            self.pending.put(keep)
-        else:
-            self.pending.clear()
-        self._arm(self._next_due(keep))
+            self.handle.registerTimer(min(p[T] for p in keep))
+        if last is not None and ttl is not None:
+            self.handle.registerTimer(last[0] + ttl)
 
     def close(self) -> None:
         pass
