@@ -121,10 +121,22 @@ def _phased_replay(spark: SparkSession, sf_dir: str, late_half_first: bool, name
 
 
 def _run_phases(spark: SparkSession, root: str, phases: list[DataFrame], build, writer) -> None:
+    """Drop each phase into the input folder and let the job catch up.
+
+    A new checkpoint fixes its state partitions from ``spark.sql.shuffle.partitions``;
+    for these bounded replays that is set to the cluster's default parallelism
+    for the first run (and restored afterwards), not to a large batch default.
+    """
     use_rocksdb(spark)
-    for i, phase in enumerate(phases):
-        phase.write.mode("append").parquet(f"{root}/in")
-        jobs.run_available(build(file_stream(spark, f"{root}/in")), writer, f"{root}/checkpoint")
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    try:
+        for phase in phases:
+            phase.write.mode("append").parquet(f"{root}/in")
+            jobs.run_available(build(file_stream(spark, f"{root}/in")), writer, f"{root}/checkpoint")
+    finally:
+        spark.conf.set(key, before)
 
 
 def q_stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -14,7 +14,9 @@ LOCAL_CONF = {
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.shuffle.partitions": "8",
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Local mode: the parse stages are CPU-bound on little data; coalescing the
+    # 8 shuffle partitions by bytes would leave cores idle.
+    "spark.sql.adaptive.coalescePartitions.enabled": "false",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.streaming.stateStore.providerClass": (
