@@ -6,7 +6,7 @@ here as plain text, in its natural order.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 # --- fixed values (must stay as they are for identical output) -------------
 # The linked property group: these properties are reported together.
@@ -57,7 +57,6 @@ class Settings:
     bound_ms: int = PATH_A_BOUND_MS
     legacy_old_group: bool = False
     idle_ttl_ms: int | None = None
-    extra: dict = field(default_factory=dict)
 
 
 def watermark_delay_ms(bound_ms: int) -> int:
