@@ -10,7 +10,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devdelta.config import DAY_MS, PATH_A_BOUND_MS, Settings, watermark_delay_ms
+from devdelta.config import DAY_MS, PATH_A_BOUND_MS, PATH_B_IDLE_TTL_MS, Settings, watermark_delay_ms
 from devdelta.operators import changelog, lateness, parse, snapshot
 from devdelta.schema import CHANGE_EVENT_COLUMNS
 from devdelta.session import scratch_path
@@ -89,6 +89,12 @@ def q_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return snapshot.snapshot_diff(snapshot_rows(spark, sf_dir))
 
 
+def q_snapshot_diff_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Path B with the 24 h idle expiry: a device silent for longer than that
+    is diffed as if seen for the first time."""
+    return snapshot.snapshot_diff(snapshot_rows(spark, sf_dir), Settings(idle_ttl_ms=PATH_B_IDLE_TTL_MS))
+
+
 def q_sink_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed_event_records(q_change_log(spark, sf_dir))
 
@@ -170,6 +176,7 @@ CATALOGUE: dict[str, Query] = {
     "change_log": q_change_log,
     "snapshot_lag": q_snapshot_lag,
     "snapshot_diff": q_snapshot_diff,
+    "snapshot_diff_idle": q_snapshot_diff_idle,
     "sink_rows": q_sink_rows,
     "snapshot_sink_rows": q_snapshot_sink_rows,
     "late_split": q_late_split,

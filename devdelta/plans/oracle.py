@@ -8,7 +8,7 @@ rows of a message are computed directly, the linked text with an ordered
 
 from __future__ import annotations
 
-from devdelta.config import LINKED_PROPERTIES
+from devdelta.config import LINKED_PROPERTIES, PATH_B_IDLE_TTL_MS
 from devdelta.sources.fixtures import EVENT_PROPERTIES, N_PARTITIONS
 
 _LINKED = ", ".join(f"'{n}'" for n in LINKED_PROPERTIES)
@@ -72,19 +72,24 @@ _GROUP_ORDER = "CASE name " + " ".join(f"WHEN '{n}' THEN {i}" for i, n in enumer
 
 # Path B: whole messages, previous message of the same device, group texts in
 # the fixed group order with a leading comma.
-SNAPSHOT_CTES = f"""
+SNAPSHOT_CTES_TEMPLATE = """
 items_json AS (
   SELECT user_id, day,
          '{{' || string_agg('"' || name || '":{{"value":' || CAST(code AS VARCHAR) || ',"time":' || CAST(t AS VARCHAR) || '}}',
                             ',' ORDER BY name) || '}}' AS items
   FROM prop GROUP BY user_id, day
 ),
-msgs AS (
+msgs0 AS (
   SELECT m.user_id, m.day, m.first_event_id, m.last_ms,
-         row_number() OVER (PARTITION BY m.user_id ORDER BY m.last_ms) AS rn,
-         lag(m.day) OVER (PARTITION BY m.user_id ORDER BY m.last_ms) AS prev_day
+         row_number() OVER (PARTITION BY m.user_id ORDER BY m.last_ms) AS rn0,
+         lag(m.day) OVER (PARTITION BY m.user_id ORDER BY m.last_ms) AS prev_day0,
+         m.last_ms - lag(m.last_ms) OVER (PARTITION BY m.user_id ORDER BY m.last_ms) AS gap
   FROM msg m
 ),
+msgs AS (
+  SELECT m0.*, CASE WHEN {idle} THEN 1 ELSE m0.rn0 END AS rn, CASE WHEN {idle} THEN NULL ELSE m0.prev_day0 END AS prev_day
+  FROM msgs0 m0
+),
 env AS (
   SELECT ms.*, 'T' || CAST(ms.user_id % 3 AS VARCHAR) AS deviceType,
          'iot' || CAST(ms.user_id AS VARCHAR) AS iotId,
@@ -120,6 +125,12 @@ diff AS (
   WHERE e.rn > 1 AND n.code <> o.code
 )"""
 
+SNAPSHOT_CTES = SNAPSHOT_CTES_TEMPLATE.format(_LINKED=_LINKED, _GROUP_ORDER=_GROUP_ORDER, idle="FALSE")
+# Idle expiry: a device silent for more than 24 h starts over.
+SNAPSHOT_IDLE_CTES = SNAPSHOT_CTES_TEMPLATE.format(
+    _LINKED=_LINKED, _GROUP_ORDER=_GROUP_ORDER, idle=f"coalesce(m0.gap > {PATH_B_IDLE_TTL_MS}, FALSE)"
+)
+
 EVENT_COLS = (
     "deviceType, iotId, requestId, checkFailedData, productKey, gmtCreate, deviceName, "
     "eventName, eventValue, eventOriValue"
@@ -130,8 +141,8 @@ def _with(body: str) -> str:
     return f"WITH {PROPERTY_CTES}\n{body}"
 
 
-def _with_b(body: str) -> str:
-    return f"WITH {PROPERTY_CTES},{SNAPSHOT_CTES}\n{body}"
+def _with_b(body: str, ctes: str | None = None) -> str:
+    return f"WITH {PROPERTY_CTES},{ctes or SNAPSHOT_CTES}\n{body}"
 
 
 _BEAN = sorted(c.strip() for c in EVENT_COLS.split(","))
@@ -165,6 +176,7 @@ SELECT e.deviceType, e.iotId, e.requestId, e.checkFailedData, e.productKey, e.gm
 FROM env e JOIN items_json i ON i.user_id = e.user_id AND i.day = e.day"""
     ),
     "snapshot_diff": _with_b("SELECT * FROM diff"),
+    "snapshot_diff_idle": _with_b("SELECT * FROM diff", SNAPSHOT_IDLE_CTES),
     "sink_rows": _with(
         "SELECT productKey || '-' || deviceName AS key, CAST(to_json(struct_pack("
         + ", ".join(f"{c} := {c}" for c in _BEAN)
