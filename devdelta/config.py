@@ -57,6 +57,10 @@ class Settings:
     bound_ms: int = PATH_A_BOUND_MS
     legacy_old_group: bool = False
     idle_ttl_ms: int | None = None
+    # Path A key: three separate columns (default) or, for byte parity, the
+    # original single text ``productKey_deviceName_eventName`` (where a ``_``
+    # inside a part can make two different keys collide).
+    legacy_joined_key: bool = False
 
 
 def watermark_delay_ms(bound_ms: int) -> int:

@@ -22,21 +22,37 @@ from devdelta.schema import CHANGE_EVENT_COLUMNS
 
 KEY_TEXT = ("productKey", "deviceName")
 KEYS = ["_k_productKey", "_k_deviceName", "eventName"]
+JOINED_KEYS = ["_k_joined"]
 
 
-def _keyed(events: DataFrame) -> DataFrame:
-    return events.select("*", *key_columns(*KEY_TEXT))
+def key_names(settings: Settings = Settings()) -> list[str]:
+    return JOINED_KEYS if settings.legacy_joined_key else KEYS
 
 
-def dedup_same_time(events: DataFrame) -> DataFrame:
+def key_exprs(settings: Settings = Settings()) -> list:
+    """Grouping columns of path A."""
+    if settings.legacy_joined_key:
+        joined = F.concat_ws(
+            "_", *[F.coalesce(F.col(c), F.lit("null")) for c in KEY_TEXT], F.col("eventName")
+        ).alias("_k_joined")
+        return [joined]
+    return key_columns(*KEY_TEXT)
+
+
+def _keyed(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    return events.select("*", *key_exprs(settings))
+
+
+def dedup_same_time(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """O2/T5: one row per (key, gmtCreate), the first to arrive."""
-    return first_arrival(_keyed(events), KEYS + ["gmtCreate"], ARRIVAL).select(*CHANGE_EVENT_COLUMNS, *ARRIVAL)
+    keys = key_names(settings) + ["gmtCreate"]
+    return first_arrival(_keyed(events, settings), keys, ARRIVAL).select(*CHANGE_EVENT_COLUMNS, *ARRIVAL)
 
 
-def first_seen(events: DataFrame) -> DataFrame:
+def first_seen(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The earliest row of every key, emitted as it is."""
-    keyed = _keyed(events).withColumn("_order", F.struct("gmtCreate", *ARRIVAL))
-    return first_arrival(keyed.where(F.col("gmtCreate").isNotNull()), KEYS, ["_order"]).select(
+    keyed = _keyed(events, settings).withColumn("_order", F.struct("gmtCreate", *ARRIVAL))
+    return first_arrival(keyed.where(F.col("gmtCreate").isNotNull()), key_names(settings), ["_order"]).select(
         *CHANGE_EVENT_COLUMNS
     )
 
@@ -44,8 +60,8 @@ def first_seen(events: DataFrame) -> DataFrame:
 def change_log(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """T6 + T7: the change log of property events (``property_events`` rows)."""
     lagged = previous_in_key(
-        _keyed(events),
-        keys=KEYS,
+        _keyed(events, settings),
+        keys=key_names(settings),
         time_col="gmtCreate",
         ties=ARRIVAL,
         carry=["eventValue"],

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from devdelta.config import PATH_B_BOUND_MS, Settings, watermark_delay_ms
 from devdelta.functions.keys import key_columns
 from devdelta.operators import parse, snapshot
-from devdelta.operators.changelog import KEY_TEXT, KEYS
+from devdelta.operators.changelog import key_exprs, key_names
 from devdelta.streaming import change_processor as cp
 from devdelta.streaming import lag_processor as lp
 
@@ -32,11 +32,11 @@ def change_log_stream(raw: DataFrame, settings: Settings = Settings()) -> DataFr
     delay = watermark_delay_ms(settings.bound_ms)
     timed = events.withColumn("_et", F.timestamp_millis("gmtCreate")).withWatermark("_et", f"{delay} milliseconds")
     slim = timed.select(
-        *key_columns(*KEY_TEXT),
+        *key_exprs(settings),
         F.col("gmtCreate").alias("t"),
         *[c for c in cp.INPUT_COLUMNS if c != "t"],
     )
-    return slim.groupBy(*KEYS).transformWithState(
+    return slim.groupBy(*key_names(settings)).transformWithState(
         cp.ChangeLogProcessor(), cp.OUTPUT_DDL, "Append", "EventTime"
     )
 

@@ -120,3 +120,15 @@ def test_first_seen(spark):
 def test_null_key_parts_group_as_text_null(spark):
     vals = [message([("T", "a", 1)], productKey=None), message([("T", "a", 2)], productKey="null")]
     assert run(spark, vals) == [("T", 1, "T:a", "T:")]
+
+
+def test_legacy_joined_key_collides_like_the_original(spark):
+    from devdelta.config import Settings
+
+    vals = [
+        message([("T", "a", 1)], productKey="p_x", deviceName="d"),
+        message([("T", "a", 2)], productKey="p", deviceName="x_d"),
+    ]
+    events = property_events(snapshot_messages(kafka_rows(spark, vals)))
+    assert change_log(events).count() == 2  # two keys, both first seen
+    assert change_log(events, Settings(legacy_joined_key=True)).count() == 1  # one joined key, no change
