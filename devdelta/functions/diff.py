@@ -73,24 +73,24 @@ def get_diff(
         )
     )
 
-    def changed(e: Column) -> Column:
-        nv = get_string(e["value"]["value"])
-        prev_item = F.try_element_at(old, e["key"])
-        ov = get_string(prev_item.getField("value"))
-        return prev_item.isNotNull() & nv.isNotNull() & (ov.isNull() | (F.lower(nv) != F.lower(ov)))
-
-    def row(e: Column) -> Column:
-        is_linked = e["key"].isin(*linked)
-        nv = get_string(e["value"]["value"])
-        ov = _value_text(old, e["key"])
-        return F.struct(
-            e["key"].alias("event_name"),
-            F.when(is_linked, new_group).otherwise(F.concat(e["key"], F.lit(":"), nv)).alias("event_value"),
-            F.when(is_linked, old_group)
-            .otherwise(F.concat(e["key"], F.lit(":"), F.coalesce(ov, F.lit("null"))))
-            .alias("event_ori_value"),
+    # ``map_zip_with`` aligns the two snapshots by key in one hashed pass, so a
+    # snapshot of n properties costs O(n), not n lookups into the other map.
+    def diff_entry(k: Column, n: Column, o: Column) -> Column:
+        nv = get_string(n.getField("value"))
+        ov = get_string(o.getField("value"))
+        changed = n.isNotNull() & o.isNotNull() & nv.isNotNull() & (ov.isNull() | (F.lower(nv) != F.lower(ov)))
+        is_linked = k.isin(*linked)
+        return F.when(
+            changed,
+            F.struct(
+                k.alias("event_name"),
+                F.when(is_linked, new_group).otherwise(F.concat(k, F.lit(":"), nv)).alias("event_value"),
+                F.when(is_linked, old_group)
+                .otherwise(F.concat(k, F.lit(":"), F.coalesce(ov, F.lit("null"))))
+                .alias("event_ori_value"),
+            ),
         )
 
-    rows = F.transform(F.filter(F.map_entries(new), changed), row)
+    rows = F.filter(F.map_values(F.map_zip_with(new, old, diff_entry)), lambda r: r.isNotNull())
     empty = F.array().cast("array<struct<event_name:string,event_value:string,event_ori_value:string>>")
     return F.when(new.isNull(), empty).when(old.isNull(), first).otherwise(rows)
