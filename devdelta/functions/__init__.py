@@ -5,8 +5,8 @@ from devdelta.functions.diff import get_diff
 from devdelta.functions.json_text import (
     as_text,
     as_text_sql,
-    flink_bigint,
-    flink_bigint_sql,
+    json_bigint,
+    json_bigint_sql,
     get_string,
     long_value,
     long_value_sql,
@@ -18,13 +18,13 @@ from devdelta.functions.keys import java_concat, key_columns, record_key
 __all__ = [
     "as_text",
     "as_text_sql",
-    "flink_bigint_sql",
+    "json_bigint_sql",
     "get_diff",
     "long_value_sql",
     "text_value_sql",
     "changed_against",
     "code_of",
-    "flink_bigint",
+    "json_bigint",
     "get_string",
     "java_concat",
     "key_columns",

@@ -61,7 +61,7 @@ def get_string_sql(v: str) -> str:
     return f"CAST({v} AS STRING)"
 
 
-def flink_bigint_sql(v: str) -> str:
+def json_bigint_sql(v: str) -> str:
     """BIGINT column of the SQL JSON table: numbers truncated, numeric strings
     parsed, anything else NULL."""
     k = f"schema_of_variant({v})"
@@ -92,5 +92,5 @@ def get_string(v: Column) -> Column:
     return v.cast("string")
 
 
-def flink_bigint(name: str) -> Column:
-    return _col(flink_bigint_sql, name)
+def json_bigint(name: str) -> Column:
+    return _col(json_bigint_sql, name)

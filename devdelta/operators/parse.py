@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devdelta.config import ENVELOPE_TEXT_FIELDS, LINKED_PROPERTIES
-from devdelta.functions.json_text import as_text_sql, flink_bigint, get_string, long_value_sql, text_value
+from devdelta.functions.json_text import as_text_sql, json_bigint, get_string, long_value_sql, text_value
 from devdelta.schema import SNAPSHOT_PARSE_DDL
 
 ARRIVAL = ("partition", "offset")
@@ -132,7 +132,7 @@ def snapshot_table(raw: DataFrame) -> DataFrame:
     """
     p = parse_messages(raw).where(F.col("m").isNotNull())
     fields = [get_string(F.col("m")[f]).alias(f) for f in ENVELOPE_TEXT_FIELDS]
-    gmt = flink_bigint("m.gmtCreate")
+    gmt = json_bigint("m.gmtCreate")
     return p.select(
         *fields[:5],
         gmt.alias("gmtCreate"),

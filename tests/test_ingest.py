@@ -6,7 +6,7 @@ import tempfile
 from conftest import message
 from pyspark.sql import functions as F
 
-from devdelta.functions.json_text import as_text_sql, flink_bigint_sql, long_value_sql, text_value_sql
+from devdelta.functions.json_text import as_text_sql, json_bigint_sql, long_value_sql, text_value_sql
 from devdelta.operators.parse import key_is_json, snapshot_messages, snapshot_table
 from devdelta.sinks.writers import fan_out, file_target, split_writer
 from devdelta.sources.files import kafka_rows
@@ -37,7 +37,7 @@ def test_coercions_per_json_type(spark):
             F.expr(text_value_sql("v")).alias("tv"),
             F.expr(as_text_sql("v")).alias("at"),
             F.expr(long_value_sql("v")).alias("lv"),
-            F.expr(flink_bigint_sql("v")).alias("fb"),
+            F.expr(json_bigint_sql("v")).alias("fb"),
         ).first()
         assert (row.tv, row.at, row.lv, row.fb) == (tv, at, lv, fb), raw
 
