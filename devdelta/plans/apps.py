@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from devdelta.config import LATE_SINK_TOPIC, SINK_TOPIC, SOURCE_TOPIC, Settings
 from devdelta.operators import changelog, parse, snapshot
-from devdelta.session import checkpoint_root
+from devdelta.session import apply_cluster_defaults, checkpoint_root
 from devdelta.sinks.records import as_kafka, table_event_records
 from devdelta.sinks.writers import kafka_target, split_writer
 from devdelta.sources.files import file_batch
@@ -121,6 +121,7 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument("--format", default="parquet")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName(f"devdelta-{args.cmd}").getOrCreate()
+    apply_cluster_defaults(spark)
     if args.cmd in ("path-a", "path-b"):
         start = int(args.start) if str(args.start).isdigit() else args.start
         fn = start_change_log_app if args.cmd == "path-a" else start_snapshot_diff_app

@@ -25,6 +25,45 @@ LOCAL_CONF = {
 }
 
 
+# Recommended settings for large clusters, applied only where the cluster has
+# not set them (``apply_cluster_defaults``).  Sizing rationale: the heavy work
+# is JSON parsing before the first shuffle and sorting inside the windows after
+# it, so input splits and post-shuffle partitions are kept near 256 MB; AQE
+# coalesces small partitions and splits skewed join partitions at run time;
+# stream state lives in RocksDB with changelog checkpointing (small, frequent
+# checkpoints instead of full snapshots).
+CLUSTER_DEFAULTS = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
+
+
+def apply_cluster_defaults(spark: SparkSession, input_bytes: int | None = None) -> dict[str, str]:
+    """Set the recommended values that the session does not set yet.
+
+    With ``input_bytes`` known, the shuffle partition count targets about
+    256 MB per partition (it also fixes the state partitions of a new stream).
+    Returns what was set.
+    """
+    applied = {}
+    for k, v in CLUSTER_DEFAULTS.items():
+        if spark.conf.get(k, None) in (None, ""):
+            spark.conf.set(k, v)
+            applied[k] = v
+    if input_bytes:
+        n = max(spark.sparkContext.defaultParallelism, -(-input_bytes // (256 << 20)))
+        spark.conf.set("spark.sql.shuffle.partitions", str(n))
+        applied["spark.sql.shuffle.partitions"] = str(n)
+    return applied
+
+
 def local_session(cores: int | str = "*", app: str = "devdelta", extra: dict | None = None) -> SparkSession:
     b = SparkSession.builder.master(f"local[{cores}]").appName(app)
     for k, v in {**LOCAL_CONF, **(extra or {})}.items():
