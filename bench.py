@@ -40,7 +40,14 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cpus, app="devdelta-bench", extra={"spark.driver.memory": "16g"})
+    spark = local_session(
+        cpus,
+        app="devdelta-bench",
+        extra={
+            "spark.driver.memory": "16g",
+            "spark.driver.extraJavaOptions": "-XX:ReservedCodeCacheSize=512m",
+        },
+    )
     use_rocksdb(spark)
     CATALOGUE["change_log"](spark, sf_dir).write.format("noop").mode("overwrite").save()
     times = {}
