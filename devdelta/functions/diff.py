@@ -28,69 +28,67 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from devdelta.config import FIRST_SNAPSHOT_DEFAULT, FIRST_SNAPSHOT_PROPERTY, LINKED_PROPERTIES
-from devdelta.functions.json_text import get_string
 
+DIFF_TYPE = "ARRAY<STRUCT<event_name: STRING, event_value: STRING, event_ori_value: STRING>>"
+ITEMS_TYPE = "MAP<STRING, STRUCT<value: VARIANT, time: VARIANT>>"
 
-def _value_text(items: Column, name: Column | str) -> Column:
-    key = F.lit(name) if isinstance(name, str) else name
-    return get_string(F.try_element_at(items, key).getField("value"))
 
+def _lit(s: str) -> str:
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
-def _group_text(items: Column, names: Sequence[str]) -> Column:
+
+def _value_text(items: str, name_sql: str) -> str:
+    return f"CAST(try_element_at({items}, {name_sql}).value AS STRING)"
+
+
+def _group_text(items: str, names: Sequence[str]) -> str:
     parts = [
-        F.when(
-            F.map_contains_key(items, F.lit(n)),
-            F.concat(F.lit("," + n + ":"), F.coalesce(_value_text(items, n), F.lit("null"))),
-        ).otherwise(F.lit(""))
+        f"CASE WHEN map_contains_key({items}, {_lit(n)}) "
+        f"THEN concat({_lit(',' + n + ':')}, coalesce({_value_text(items, _lit(n))}, 'null')) ELSE '' END"
         for n in names
     ]
-    return F.concat(*parts)
+    return f"concat({', '.join(parts)})"
+
+
+def get_diff_sql(
+    new: str, old: str, linked: Sequence[str] = LINKED_PROPERTIES, legacy_old_group: bool = False
+) -> str:
+    """SQL text of the diff of two item maps (``new``/``old`` are SQL expressions).
+
+    ``map_zip_with`` aligns the two snapshots by key in one hashed pass, so a
+    snapshot of n properties costs O(n), not n lookups into the other map.
+    """
+    linked = tuple(linked)
+    old_names = linked[:4] + (linked[3],) if legacy_old_group and len(linked) == 5 else linked
+    in_group = ", ".join(_lit(n) for n in linked)
+    ec = _lit(FIRST_SNAPSHOT_PROPERTY)
+    first = (
+        f"array(named_struct('event_name', {ec}, 'event_value', concat({_lit(FIRST_SNAPSHOT_PROPERTY + ':')}, "
+        f"CASE WHEN try_element_at({new}, {ec}) IS NULL THEN {_lit(FIRST_SNAPSHOT_DEFAULT)} "
+        f"ELSE coalesce({_value_text(new, ec)}, 'null') END), "
+        f"'event_ori_value', {_lit(FIRST_SNAPSHOT_PROPERTY + ':')}))"
+    )
+    nv, ov = "CAST(dn.value AS STRING)", "CAST(do.value AS STRING)"
+    entry = (
+        f"CASE WHEN dn IS NOT NULL AND do IS NOT NULL AND {nv} IS NOT NULL "
+        f"AND ({ov} IS NULL OR lower({nv}) <> lower({ov})) "
+        f"THEN named_struct('event_name', dk, "
+        f"'event_value', CASE WHEN dk IN ({in_group}) THEN {_group_text(new, linked)} ELSE concat(dk, ':', {nv}) END, "
+        f"'event_ori_value', CASE WHEN dk IN ({in_group}) THEN {_group_text(old, old_names)} "
+        f"ELSE concat(dk, ':', coalesce({ov}, 'null')) END) END"
+    )
+    rows = f"filter(map_values(map_zip_with({new}, {old}, (dk, dn, do) -> {entry})), dr -> dr IS NOT NULL)"
+    return (
+        f"CASE WHEN {new} IS NULL THEN CAST(array() AS {DIFF_TYPE}) "
+        f"WHEN {old} IS NULL THEN {first} ELSE {rows} END"
+    )
 
 
 def get_diff(
-    new: Column,
-    old: Column,
+    new: str = "newData",
+    old: str = "oldData",
     linked: Sequence[str] = LINKED_PROPERTIES,
     legacy_old_group: bool = False,
 ) -> Column:
-    linked = tuple(linked)
-    old_names = linked
-    if legacy_old_group and len(linked) == 5:
-        old_names = linked[:4] + (linked[3],)
-    new_group = _group_text(new, linked)
-    old_group = _group_text(old, old_names)
-
-    first = F.array(
-        F.struct(
-            F.lit(FIRST_SNAPSHOT_PROPERTY).alias("event_name"),
-            F.concat(
-                F.lit(FIRST_SNAPSHOT_PROPERTY + ":"),
-                F.when(
-                    F.try_element_at(new, F.lit(FIRST_SNAPSHOT_PROPERTY)).isNull(), F.lit(FIRST_SNAPSHOT_DEFAULT)
-                ).otherwise(F.coalesce(_value_text(new, FIRST_SNAPSHOT_PROPERTY), F.lit("null"))),
-            ).alias("event_value"),
-            F.lit(FIRST_SNAPSHOT_PROPERTY + ":").alias("event_ori_value"),
-        )
-    )
-
-    # ``map_zip_with`` aligns the two snapshots by key in one hashed pass, so a
-    # snapshot of n properties costs O(n), not n lookups into the other map.
-    def diff_entry(k: Column, n: Column, o: Column) -> Column:
-        nv = get_string(n.getField("value"))
-        ov = get_string(o.getField("value"))
-        changed = n.isNotNull() & o.isNotNull() & nv.isNotNull() & (ov.isNull() | (F.lower(nv) != F.lower(ov)))
-        is_linked = k.isin(*linked)
-        return F.when(
-            changed,
-            F.struct(
-                k.alias("event_name"),
-                F.when(is_linked, new_group).otherwise(F.concat(k, F.lit(":"), nv)).alias("event_value"),
-                F.when(is_linked, old_group)
-                .otherwise(F.concat(k, F.lit(":"), F.coalesce(ov, F.lit("null"))))
-                .alias("event_ori_value"),
-            ),
-        )
-
-    rows = F.filter(F.map_values(F.map_zip_with(new, old, diff_entry)), lambda r: r.isNotNull())
-    empty = F.array().cast("array<struct<event_name:string,event_value:string,event_ori_value:string>>")
-    return F.when(new.isNull(), empty).when(old.isNull(), first).otherwise(rows)
+    """The diff as a Column over the item-map columns named ``new`` and ``old``."""
+    return F.expr(get_diff_sql(f"`{new}`", f"`{old}`", linked, legacy_old_group))

@@ -43,7 +43,7 @@ def snapshot_lag(table: DataFrame, settings: Settings = Settings()) -> DataFrame
 def diff_rows(lag_view: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The diff view: ``INNER JOIN LATERAL getDiff(newData, oldData)`` -- a lag
     row whose diff is empty produces nothing."""
-    diff = get_diff(F.col("newData"), F.col("oldData"), settings.linked, settings.legacy_old_group)
+    diff = get_diff("newData", "oldData", settings.linked, settings.legacy_old_group)
     return lag_view.select(*ENVELOPE, F.inline(diff))
 
 

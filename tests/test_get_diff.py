@@ -10,7 +10,7 @@ from devdelta.streaming.jobs import ITEMS_DDL
 def diff(spark, new, old, legacy=False):
     df = spark.createDataFrame([(new, old)], "new string, old string")
     parsed = df.select(F.from_json("new", ITEMS_DDL).alias("n"), F.from_json("old", ITEMS_DDL).alias("o"))
-    out = parsed.select(F.inline(get_diff(F.col("n"), F.col("o"), legacy_old_group=legacy)))
+    out = parsed.select(F.inline(get_diff("n", "o", legacy_old_group=legacy)))
     return sorted(tuple(r) for r in out.collect())
 
 
