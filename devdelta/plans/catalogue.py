@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from devdelta.config import DAY_MS, PATH_A_BOUND_MS, PATH_B_IDLE_TTL_MS, Settings, watermark_delay_ms
 from devdelta.operators import changelog, lateness, parse, snapshot
-from devdelta.schema import CHANGE_EVENT_COLUMNS
+from devdelta.schema import CHANGE_EVENT_COLUMNS, CHANGE_EVENT_FIELDS
 from devdelta.session import scratch_path
 from devdelta.sinks.records import keyed_event_records, table_event_records
 from devdelta.sinks.writers import file_target, split_writer
@@ -145,12 +145,27 @@ def _run_phases(spark: SparkSession, root: str, phases: list[DataFrame], build,
         spark.conf.set(key, before)
 
 
+def _read_output(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """Read a replay's output folder; a folder never written (no rows) reads as empty."""
+    jpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not jpath.getFileSystem(spark._jsc.hadoopConfiguration()).exists(jpath):
+        return spark.createDataFrame([], ddl)
+    return spark.read.schema(ddl).parquet(path)
+
+
+EVENT_DDL = ", ".join(f"{n} {t.simpleString()}" for n, t in CHANGE_EVENT_FIELDS)
+DIFF_DDL = (
+    "deviceType string, iotId string, requestId string, checkFailedData string, productKey string, "
+    "gmtCreate bigint, deviceName string, event_name string, event_value string, event_ori_value string"
+)
+
+
 def q_stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, phases = _phased_replay(spark, sf_dir, False, "stream_change_log")
     _run_phases(
         spark, root, phases, jobs.change_log_stream, split_writer(file_target(f"{root}/main"), file_target(f"{root}/late"))
     )
-    return spark.read.parquet(f"{root}/main").select(*CHANGE_EVENT_COLUMNS)
+    return _read_output(spark, f"{root}/main", EVENT_DDL).select(*CHANGE_EVENT_COLUMNS)
 
 
 def q_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,13 +173,15 @@ def q_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     _run_phases(
         spark, root, phases, jobs.change_log_stream, split_writer(file_target(f"{root}/main"), file_target(f"{root}/late"))
     )
-    return spark.read.parquet(f"{root}/late").select(*CHANGE_EVENT_COLUMNS)
+    return _read_output(spark, f"{root}/late", EVENT_DDL).select(*CHANGE_EVENT_COLUMNS)
 
 
 def q_stream_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, phases = _phased_replay(spark, sf_dir, False, "stream_snapshot_diff")
     _run_phases(spark, root, phases, jobs.snapshot_diff_stream, file_target(f"{root}/diff"))
-    return spark.read.parquet(f"{root}/diff").select(*snapshot.ENVELOPE, "event_name", "event_value", "event_ori_value")
+    return _read_output(spark, f"{root}/diff", DIFF_DDL).select(
+        *snapshot.ENVELOPE, "event_name", "event_value", "event_ori_value"
+    )
 
 
 CATALOGUE: dict[str, Query] = {

@@ -83,14 +83,19 @@ def fan_out(*targets: Target) -> Target:
 
 
 def split_writer(main: Target, late: Target | None = None, flag: str = "is_late") -> Target:
-    """One pass, two outputs -- rows with ``flag`` go to ``late``."""
+    """One pass, two outputs -- rows with ``flag`` go to ``late``.
+
+    The batch is persisted once; an output with no rows in this batch is not
+    written (the check runs on the persisted batch, and a replayed batch ends
+    in the same state).
+    """
 
     def write(df: DataFrame, batch_id: int) -> None:
         df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            main(df.where(~F.col(flag)).drop(flag), batch_id)
-            if late is not None:
-                late(df.where(F.col(flag)).drop(flag), batch_id)
+            for target, rows in ((main, df.where(~F.col(flag))), (late, df.where(F.col(flag)))):
+                if target is not None and not rows.isEmpty():
+                    target(rows.drop(flag), batch_id)
         finally:
             df.unpersist()
 
