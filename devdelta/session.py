@@ -3,8 +3,7 @@ checkpoint folder taken from the cluster configuration."""
 
 from __future__ import annotations
 
-import os
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import SparkSession
@@ -74,26 +73,23 @@ def local_session(cores: int | str = "*", app: str = "devdelta", extra: dict | N
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder for intermediate data and checkpoints.
 
-    Only when the session does not name one (local tests) is a private folder
-    created and registered.
+    It is the one named by ``spark.checkpoint.dir``.  Where that is unset, a
+    single-machine session (``local[...]``) uses its own warehouse folder; any
+    other session gets an error, because a folder of the driver's machine would
+    be invisible to the executors and lost with the driver.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
-        "spark.checkpoint.dir", None
-    )
+    conf = spark.sparkContext.getConf()
+    root = spark.conf.get("spark.checkpoint.dir", None) or conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="devdelta-ckpt-")
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
         spark.conf.set("spark.checkpoint.dir", root)
-    spark.sparkContext.setCheckpointDir(root)
-    return root
+    return root.rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder below the shared checkpoint root."""
-    root = checkpoint_root(spark)
-    sep = "" if root.endswith("/") else "/"
-    path = f"{root}{sep}devdelta/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file://", "").replace("file:", ""), exist_ok=True)
-    return path
+    """The name of a new folder below the shared root (Spark's writers create it)."""
+    return f"{checkpoint_root(spark)}/devdelta/{name}-{uuid.uuid4().hex[:12]}"
