@@ -34,7 +34,7 @@ KLL_K = 400  # rank error of about 0.4 %
 FENCE = 6.0
 # measure -> (SQL text, +1: large is bad or -1: small is bad, the least extreme threshold)
 MEASURES = {
-    "repeat_share": ("n_repeat_words / n_words", 1, 0.30),
+    "repeat_share": ("n_repeat_words / n_words", 1, 0.45),
     "symbol_share": ("n_symbols / n_words", 1, 0.30),
     "dup_line_share": ("n_dup_lines / n_lines", 1, 0.40),
     "long_words": ("word_chars / n_words", 1, 12.0),
