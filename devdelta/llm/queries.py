@@ -8,22 +8,40 @@ from pyspark.sql import DataFrame, SparkSession
 
 from devdelta.llm.common import table
 from devdelta.llm.exact_dedup import exact_groups
+from devdelta.llm.license_scan import license_scan
+from devdelta.llm.quality_qda import quality_scores
 from devdelta.llm.quality_rules import quality_rules
+from devdelta.llm.toxicity import toxicity_scores
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Query] = {
+    "op1_quality_qda": op1_quality_qda,
     "op4_exact_dedup": op4_exact_dedup,
+    "op7_license_scan": op7_license_scan,
     "op8_quality_rules": op8_quality_rules,
+    "op10_toxicity": op10_toxicity,
 }
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
