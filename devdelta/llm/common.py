@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,7 +36,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str, limit: int = 4 << 20) -
     """Cut record batches so that a slice holds about ``limit`` bytes of text (one row at least)."""
     for b in batches:
         col = b.column(text)
-        sizes = pa.compute.fill_null(pa.compute.binary_length(col), 0).to_numpy(zero_copy_only=False)
+        sizes = pc.fill_null(pc.binary_length(col), 0).to_numpy(zero_copy_only=False)
         start, held = 0, 0
         for i, n in enumerate(sizes.tolist()):
             if i > start and held + n > limit:
