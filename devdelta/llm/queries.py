@@ -5,13 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from devdelta.llm.common import table
 from devdelta.llm.exact_dedup import exact_groups
 from devdelta.llm.license_scan import license_scan
+from devdelta.llm.mixing import LEAF, mix
+from devdelta.llm.packing import pack
 from devdelta.llm.quality_qda import quality_scores
 from devdelta.llm.quality_rules import quality_rules
 from devdelta.llm.toxicity import toxicity_scores
+from devdelta.llm.warc import archive_history
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,10 +24,26 @@ def op1_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of all tokens, shared out equally over four groups of sources, their languages and sources, in up to two epochs."""
+    domain = F.concat(F.lit("group"), F.crc32(F.coalesce("source", F.lit("")).cast("binary")) % 4)
+    mixed = mix(table(spark, sf_dir, "documents"), fraction=0.5, epochs=2, domain=domain)
+    return mixed.select("doc_id", *LEAF, "epoch", "tokens")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    history = archive_history(table(spark, sf_dir, "pages"))
+    return history.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"))
+
+
 def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents")).drop("spans")
 
@@ -38,7 +58,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_qda": op1_quality_qda,
+    "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_warc": op5_warc,
+    "op6_packing": op6_packing,
     "op7_license_scan": op7_license_scan,
     "op8_quality_rules": op8_quality_rules,
     "op10_toxicity": op10_toxicity,
@@ -52,4 +75,12 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)""",
+    "op5_warc": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+             d AS (SELECT page_id, strlen(h) AS payload_bytes, sha1(h) AS payload_digest FROM p),
+             g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS best FROM d)
+        SELECT page_id, payload_bytes, payload_digest,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> best THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id <> best THEN best END AS refers_to
+        FROM g""",
 }
