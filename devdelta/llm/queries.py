@@ -14,6 +14,7 @@ from devdelta.llm.mixing import LEAF, mix
 from devdelta.llm.packing import pack
 from devdelta.llm.quality_qda import quality_scores
 from devdelta.llm.quality_rules import quality_rules
+from devdelta.llm.suffix_dedup import remove_repeats
 from devdelta.llm.toxicity import toxicity_scores
 from devdelta.llm.warc import archive_history
 
@@ -52,6 +53,10 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Query] = {
     "op6_packing": op6_packing,
     "op7_license_scan": op7_license_scan,
     "op8_quality_rules": op8_quality_rules,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_toxicity": op10_toxicity,
 }
 
