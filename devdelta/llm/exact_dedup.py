@@ -148,11 +148,12 @@ def _finished(level: DataFrame, rounds: int) -> DataFrame:
 
 
 def exact_groups(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs`` (doc_id, text)."""
+    """uid (the row's number), doc_id, keep_id, group_size, kept, text_sha256 for every row of ``docs`` (doc_id, text)."""
     ids = document_names(docs, block_bytes)
     best: Column = F.max(F.struct("doc_id", "uid"))
     groups = ids.groupBy("level", "name").agg(best.alias("best"), F.count("*").alias("group_size"))
     return ids.join(groups, ["level", "name"]).select(
+        "uid",
         "doc_id",
         F.col("best.doc_id").alias("keep_id"),
         "group_size",

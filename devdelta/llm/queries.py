@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from devdelta.llm.common import table
 from devdelta.llm.exact_dedup import exact_groups
+from devdelta.llm.jaccard_join import similar_components
 from devdelta.llm.license_scan import license_scan
 from devdelta.llm.mixing import LEAF, mix
 from devdelta.llm.packing import pack
@@ -25,6 +26,10 @@ def op1_quality_qda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return similar_components(table(spark, sf_dir, "documents")).drop("uid", "kept")
+
+
 def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of all tokens, shared out equally over four groups of sources, their languages and sources, in up to two epochs."""
     domain = F.concat(F.lit("group"), F.crc32(F.coalesce("source", F.lit("")).cast("binary")) % 4)
@@ -33,7 +38,7 @@ def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_groups(table(spark, sf_dir, "documents"))
+    return exact_groups(table(spark, sf_dir, "documents")).drop("uid")
 
 
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,6 +68,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_qda": op1_quality_qda,
+    "op2_jaccard_join": op2_jaccard_join,
     "op3_mixing": op3_mixing,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_warc": op5_warc,

@@ -234,6 +234,13 @@ def sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int, train
     return [r["text"] for r in rows], [r["y"] for r in rows], (counts.get(0, 0) / total, counts.get(1, 0) / total)
 
 
+def _logits(model: Model, texts: list[str | None]) -> np.ndarray:
+    ids, size, per_text = bags(texts)
+    u = word_values(model.weight, ids, size)
+    edge = np.cumsum(per_text)
+    return np.array([strongest(u[e - n : e])[0] + model.bias if n else MIN_LOGIT for e, n in zip(edge, per_text)], np.float64)
+
+
 def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score and the strongest window's logit for every row of ``docs``."""
     shared = docs.sparkSession.sparkContext.broadcast(model)  # BUCKETS floats
@@ -241,17 +248,30 @@ def score_texts(docs: DataFrame, model: Model) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = shared.value
         for b in slices(batches, "text", 1 << 20):
-            ids, size, per_text = bags(b["text"].to_pylist())
-            u = word_values(m.weight, ids, size)
-            edge = np.cumsum(per_text)
-            logits = [strongest(u[e - n : e])[0] + m.bias if n else MIN_LOGIT for e, n in zip(edge, per_text)]
-            x = np.array(logits, np.float64)
+            x = _logits(m, b["text"].to_pylist())
             yield pa.RecordBatch.from_arrays([b["doc_id"], pa.array(m.probability(x)), pa.array(x)], ["doc_id", "score", "logit"])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     return rows.mapInArrow(run, "doc_id long, score double, logit double")
 
 
+def fitted(docs: DataFrame, labels: DataFrame, label: str = "toxic", per_class: int = PER_CLASS, train_chars: int = TRAIN_CHARS) -> Model:
+    """The model trained on ``labels`` (doc_id, toxic) of ``docs`` that are not held out."""
+    return fit(*sample(docs, labels, label, per_class, train_chars))
+
+
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
+    """The rows of ``docs`` that score below the threshold, with all their columns."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = shared.value
+        for b in slices(batches, "text", 1 << 20):
+            yield b.filter(pa.array(m.probability(_logits(m, b["text"].to_pylist())) < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity_scores(
     docs: DataFrame,
     labels: DataFrame,
@@ -261,9 +281,7 @@ def toxicity_scores(
     threshold: float = 0.3,
 ) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of ``docs``; trained on ``labels`` (doc_id, toxic)."""
-    texts, y, shares = sample(docs, labels, label, per_class, train_chars)
-    model = fit(texts, y, shares)
-    scored = score_texts(docs, model)
+    scored = score_texts(docs, fitted(docs, labels, label, per_class, train_chars))
     return scored.select(
         "doc_id",
         held_out(F.col("doc_id")).alias("held_out"),
