@@ -21,7 +21,7 @@ two needs none, so the patterns with room for it are left alone.
 
 Tokenizer: words are independent in it (white space is dropped and no merge
 crosses it), so ids are kept per distinct chunk between white space, in a
-table of bounded size.
+table of bounded size that a worker process keeps from task to task.
 
 Null or empty text: the end id alone.  Repeated ids or rows: each row is packed
 (its pieces share doc_id).  Empty table: no rows.
@@ -31,9 +31,11 @@ from __future__ import annotations
 
 import os
 import re
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,12 +43,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from devdelta.llm.common import staged
+from devdelta.llm.common import slices, staged
 
 SIZE = 2048
 END_ID = 1
 GROUPS = 4096
-CHUNKS = 200_000  # distinct chunks whose ids are kept
+CHUNKS = 700_000  # distinct chunks whose ids are kept
 #: Code points (first, last) of Unicode's White_Space, which the tokenizer's normaliser turns to blanks.
 WHITE_SPACE = [(0x9, 0xD), (0x20, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A)]
 WHITE_SPACE += [(0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)]
@@ -59,6 +61,14 @@ def default_tokenizer() -> str:
     return str(public_tokenizers.path("word_bpe_49k.json"))
 
 
+#: Ids of chunks that a worker process has met, for each tokenizer file.
+_KNOWN: dict[str, dict[str, bytes]] = {}
+#: Characters that Python's split also takes as white space, the tokenizer doesn't.
+_SEPARATORS = re.compile("[\x1c-\x1f]")
+_TAIL = ".,;:!?"
+WORD_END = "</w>"  # of the vocabulary's entries that end a word
+
+
 class Ids:
     """Ids of texts as little-endian unsigned 32-bit bytes."""
 
@@ -68,18 +78,65 @@ class Ids:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.limit = chunks
-        self.known: dict[str, bytes] = {}
-
-    def of(self, text: str | None) -> bytes:
-        chunks = [c for c in WHITE.split(text) if c] if text else []
+        self.known = _KNOWN.setdefault(path, {})
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith(WORD_END)]] = True
+
+    @staticmethod
+    def chunks(text: str | None) -> list[str]:
+        if not text:
+            return []
+        return [c for c in WHITE.split(text) if c] if _SEPARATORS.search(text) else text.split()
+
+    def learn(self, new: list[str]) -> None:
+        """Ids of new chunks; letters before a tail of punctuation are a word of their own."""
+        parts = {}
+        for c in new:
+            core = c.rstrip(_TAIL)
+            if not core.isalpha():
+                parts[c] = (c,)
+                continue
+            # Case is dropped; outside ASCII that is left to the tokenizer.
+            word = core.lower() if core.isascii() else core
+            parts[c] = (word, c[len(core) :]) if len(core) < len(c) else (word,)
         known = self.known
-        new = [c for c in dict.fromkeys(chunks) if c not in known]
-        if len(known) + len(new) > self.limit:
-            known.clear()
-            new = list(dict.fromkeys(chunks))
-        for c, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False) if new else []):
-            known[c] = np.array(e.ids, "<u4").tobytes()
-        return b"".join([known[c] for c in chunks])
+        unknown = [w for w in {w for p in parts.values() for w in p} if w not in known]
+        words = [w for w in unknown if w.isalpha()]
+        self._encode([w for w in unknown if not w.isalpha()])
+        for i in range(0, len(words), 4000):
+            self._encode_words(words[i : i + 4000])
+        for c, p in parts.items():
+            if c not in known:
+                known[c] = b"".join([known[w] for w in p])
+
+    def _encode(self, chunks: list[str]) -> None:
+        for c, e in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False) if chunks else []):
+            ids = e.ids
+            self.known[c] = struct.pack(f"<{len(ids)}I", *ids)
+
+    def _encode_words(self, words: list[str]) -> None:
+        """Words of letters only, in one text: the last id of each is one that ends a word."""
+        ids = np.array(self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)[0].ids, "<u4")
+        last = np.flatnonzero(self.ends[ids]) + 1
+        if len(last) != len(words) or last[-1] != len(ids):  # a letter that the normaliser takes apart
+            self._encode(words)
+            return
+        data, edge = ids.tobytes(), [0, *(4 * last).tolist()]
+        for w, a, b in zip(words, edge, edge[1:]):
+            self.known[w] = data[a:b]
+
+    def of(self, texts: list[str | None]) -> list[bytes]:
+        chunks = [self.chunks(t) for t in texts]
+        used = set(chain.from_iterable(chunks))
+        new = used.difference(self.known)
+        if new:
+            if len(self.known) + len(new) > self.limit:
+                self.known.clear()
+                new = used
+            self.learn(list(new))
+        get = self.known.__getitem__
+        return [b"".join(map(get, c)) for c in chunks]
 
 
 def cut(total: int, size: int) -> list[int]:
@@ -94,10 +151,10 @@ def document_pieces(docs: DataFrame, tokenizer: str, size: int = SIZE, end_id: i
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         ids = Ids(tokenizer)
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens"]
-        for b in batches:
+        for b in slices(batches, "text", 1 << 20):
             rows = []
-            for doc, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist()):
-                data = ids.of(text) + end
+            for doc, data in zip(b["doc_id"].to_pylist(), ids.of(b["text"].to_pylist())):
+                data += end
                 total, start = len(data) // 4, 0
                 for n in cut(total, size):
                     rows.append((doc, start, n, zlib.crc32(data[4 * start : 4 * (start + n)]), total))
