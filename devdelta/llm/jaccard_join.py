@@ -22,10 +22,11 @@ Equal sets are one node (nodes are named by a hash of the set; a second hash
 would show a clash, upon which other seeds are taken), so copies are neither
 joined nor expanded.  Of the nodes that share a word, first each is compared
 with the smallest; after connecting these, only pairs from different components
-are compared.  A word whose nodes are still in many components is refined: its
-nodes must also agree in a word of a second, independent sketch.  So no group
-of similar or equal texts is expanded into its pairs, and no link between
-components is lost.
+are compared.  Linked sets agree in several words: where a word is crowded (by a
+passage that many texts share), a set joins by it only if it has so many crowded
+words that a partner could agree in those alone, and then only by its rarest.
+So no group of similar or equal texts is expanded into its pairs, and no link
+between components is lost.
 
 Hot groups: rows are distinct per batch before they are shuffled; a word's rows
 are read as a sorted stream, never held; joins are on plain equality, so Spark
@@ -47,6 +48,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from devdelta.llm.common import slices, staged, utf8
 from devdelta.llm.components import connected
@@ -55,7 +57,8 @@ SHINGLE = 4
 PERCENT = 85
 FIRST_SIZE = 2
 RATIO = 1.6
-MANY = 64  # nodes of one word in several components: refined beyond this
+MANY = 24  # a word with more nodes in several components is crowded
+BAND_MASK = 63  # the low bits of a word: its band
 MAX_SEEDS = 4
 
 _U = np.uint64
@@ -133,7 +136,7 @@ class Bands:
             low = self.next
             high = max(low + 1, int(np.ceil(low * self.ratio)))
             d = self.difference(2 * (high - 1))
-            self.bands.append(Band(len(self.bands), low, high, d, d + 4 + d // 16))
+            self.bands.append(Band(len(self.bands), low, high, d, d + 6 + d // 8))
             self.next = high
         return self.bands[number]
 
@@ -148,8 +151,8 @@ class Bands:
         return [own, after] if 100 * n >= self.percent * after.low else [own]
 
 
-def sketch_words(hashes: np.ndarray, band: Band, seed: int) -> np.ndarray:
-    """Join keys of a set in a band (signed 64-bit)."""
+def sketch_words(hashes: np.ndarray, band: Band, seed: int) -> tuple[np.ndarray, int]:
+    """Join keys of a set in a band (signed 64-bit), and in how many of them a linked set agrees at least."""
     m = band.words
     h = _mix(hashes + _U(0x9E3779B97F4A7C15 * (2 * seed + 1) % 2**64))
     part = (((h >> _U(32)) * _U(m)) >> _U(32)).astype(np.int64)
@@ -167,7 +170,8 @@ def sketch_words(hashes: np.ndarray, band: Band, seed: int) -> np.ndarray:
             for c in combinations(empty, agree)
         ]
         keys = np.concatenate((keys, np.array(more, np.uint64)))
-    return keys.view(np.int64)
+    keys = (keys & ~_U(BAND_MASK)) | _U(band.number)
+    return keys.view(np.int64), max(1, agree - (m - len(first)))
 
 
 def bit_sketch(hashes: np.ndarray) -> bytes:
@@ -214,27 +218,27 @@ def _documents(seed: int, size: int):
 
 
 def _emitted(seed: int, size: int, percent: int):
-    """text -> word, node; the rows of equal sets once in a batch."""
+    """text -> word, node, need; the rows of equal sets once in a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bands = Bands(percent)
         for big in batches:
             seen: set[int] = set()
             for b in slices(iter([big]), "text", 1 << 20):
-                words, nodes, counts = [], [], []
+                words, nodes, needs, counts = [], [], [], []
                 for s in shingle_sets(b["text"].to_pylist(), size):
                     if not len(s) or (node := _node(s, seed)) in seen:
                         continue
                     seen.add(node)
                     for band in bands.of(len(s)):
-                        keys = sketch_words(s, band, seed)
+                        keys, need = sketch_words(s, band, seed)
                         words.append(keys)
+                        needs.append(need)
                         nodes.append(node)
                         counts.append(len(keys))
                 if words:
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.concatenate(words)), pa.array(np.repeat(np.array(nodes, np.int64), counts))], ["word", "node"]
-                    )
+                    each = [pa.array(np.repeat(x, counts)) for x in (np.array(nodes, np.int64), np.array(needs, np.int32))]
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(words)), *each], ["word", "node", "need"])
 
     return run
 
@@ -243,23 +247,25 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by word and node -> those of words with several nodes, each once."""
     last = None  # a row whose word may go on in the next batch, and whether it was given out
     for b in batches:
-        word, node = b["word"].to_numpy(), b["node"].to_numpy()
+        word, node, need = (b[c].to_numpy() for c in ("word", "node", "need"))
         if last is not None:
-            word, node = np.concatenate(([last[0]], word)), np.concatenate(([last[1]], node))
+            word, node, need = (np.concatenate(([x], y)) for x, y in zip(last, (word, node, need)))
         if not len(word):
             continue
         fresh = np.ones(len(word), bool)
         fresh[1:] = (word[1:] != word[:-1]) | (node[1:] != node[:-1])
-        word, node = word[fresh], node[fresh]
+        word, node, need = word[fresh], node[fresh], need[fresh]
         same = word[1:] == word[:-1]
         out = np.zeros(len(word), bool)
         out[1:] |= same
         out[:-1] |= same
-        if last is not None and last[2]:
+        if last is not None and last[3]:
             out[0] = False
-        given = bool(len(same) and same[-1]) or bool(last is not None and last[2] and len(word) == 1)
-        last = (word[-1], node[-1], given)
-        yield pa.RecordBatch.from_arrays([pa.array(word[out]), pa.array(node[out])], ["word", "node"])
+        given = bool(len(same) and same[-1]) or bool(last is not None and last[3] and len(word) == 1)
+        last = (word[-1], node[-1], need[-1], given)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(word[out]), pa.array(node[out]), pa.array(need[out].astype(np.int32))], ["word", "node", "need"]
+        )
 
 
 def _near(percent: int):
@@ -302,21 +308,6 @@ def _verified(percent: int):
     return run
 
 
-def _refined(seed: int, percent: int):
-    """word, node, s -> word, sub, node: the words of a second sketch."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bands = Bands(percent)
-        for b in batches:
-            for i in range(b.num_rows):
-                s = b["s"][i].values.to_numpy().view(np.uint64)
-                keys = np.concatenate([sketch_words(s, band, seed) for band in bands.of(len(s))])
-                same = [pa.array(np.full(len(keys), b[c][i].as_py()), pa.int64()) for c in ("word", "node")]
-                yield pa.RecordBatch.from_arrays([same[0], pa.array(keys), same[1]], ["word", "sub", "node"])
-
-    return run
-
-
 class Join:
     """The join of one table; ``rows``: uid, doc_id, text."""
 
@@ -335,10 +326,10 @@ class Join:
         raise ValueError("sets clash under every seed")
 
     def members(self) -> DataFrame:
-        """word, node of all words that several nodes share."""
-        emitted = self.rows.select("text").mapInArrow(_emitted(self.seed, self.size, self.percent), "word long, node long")
+        """word, node, need of all words that several nodes share."""
+        emitted = self.rows.select("text").mapInArrow(_emitted(self.seed, self.size, self.percent), "word long, node long, need int")
         dealt = emitted.repartition("word").sortWithinPartitions("word", "node")
-        return staged(dealt.mapInArrow(_shared, "word long, node long"), "members")
+        return staged(dealt.mapInArrow(_shared, "word long, node long, need int"), "members")
 
     def near(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a < b) that size and bit sketch allow."""
@@ -371,24 +362,32 @@ class Join:
         # of two nodes one was the lead
         open_ = staged(placed.join(spread.where("c0 <> c1 and k > 2").select("word", "k"), "word"), "open-members")
         few = open_.where(F.col("k") <= MANY).select("word", "node", "comp")
-        pairs = self.across(few, ["word"])
-        many = open_.where(F.col("k") > MANY)
-        if not many.isEmpty():
-            sets = self.sets(many.select("node").distinct())
-            sub = many.join(sets, "node").select("word", "node", "s")
-            sub = sub.mapInArrow(_refined(self.seed + MAX_SEEDS, self.percent), "word long, sub long, node long")
-            sub = staged(sub.join(many.select("word", "node", "comp"), ["word", "node"]), "refined")
-            pairs = pairs.unionByName(self.across(sub, ["word", "sub"]))
+        pairs = self.across(few).unionByName(self.across(self.crowded(open_.where(F.col("k") > MANY))))
         pairs = pairs.distinct().join(star, ["a", "b"], "left_anti")
         near = self.near(pairs)
         return links if near.isEmpty() else links.unionByName(self.verified(near))
 
+    def crowded(self, members: DataFrame) -> DataFrame:
+        """The rows of crowded words that a link may still need.
+
+        A linked set agrees with a node in ``need`` words of a band.  A node
+        with fewer crowded words than that agrees with any partner in a word
+        that isn't crowded.  Two nodes that agree in crowded words only share
+        ``need`` of them, so the rarest that they share is, for either, not
+        among its last ``need`` - 1 in order of frequency.
+        """
+        own = Window.partitionBy("node", "band")  # the words of one set
+        placed = members.withColumn("band", F.col("word").bitwiseAND(F.lit(BAND_MASK))).withColumns(
+            {"z": F.count("*").over(own), "place": F.row_number().over(own.orderBy("k", "word"))}
+        )
+        return placed.where("place <= z - need + 1").select("word", "node", "comp")
+
     @staticmethod
-    def across(members: DataFrame, on: list[str]) -> DataFrame:
-        """Pairs (a < b) of nodes that share the columns ``on`` and are in different components."""
-        x = members.select(*on, F.col("node").alias("a"), F.col("comp").alias("ca"))
-        y = members.select(*on, F.col("node").alias("b"), F.col("comp").alias("cb"))
-        return x.join(y, on).where("ca <> cb and a < b").select("a", "b").distinct()
+    def across(members: DataFrame) -> DataFrame:
+        """Pairs (a < b) of nodes that share a word and are in different components."""
+        x = members.select("word", F.col("node").alias("a"), F.col("comp").alias("ca"))
+        y = members.select("word", F.col("node").alias("b"), F.col("comp").alias("cb"))
+        return x.join(y, "word").where("ca <> cb and a < b").select("a", "b").distinct()
 
 
 def similar_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
