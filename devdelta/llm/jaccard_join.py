@@ -136,10 +136,21 @@ class Bands:
             low = self.next
             high = max(low + 1, int(np.ceil(low * self.ratio)))
             d = self.difference(2 * (high - 1))
-            self.bands.append(Band(len(self.bands), low, high, d, d + 6 + d // 8))
+            self.bands.append(Band(len(self.bands), low, high, d, self._words(d, -(-self.percent * low // 100))))
             self.next = high
         return self.bands[number]
 
+    @staticmethod
+    def _words(d: int, least: int) -> int:
+        """Enough words that a set of ``least`` shingles or more hardly ever leaves as many empty as linked sets share."""
+        m = d + 4
+        while m < 2 * d + 8:
+            empty = m * float(np.exp(-least / m))
+            if m - d >= 1.2 * empty + 3 * empty**0.5 + 2:
+                break
+            m += 1
+        return m
+
     def of(self, n: int) -> list[Band]:
         """A set's own band, and the next if a partner may be there."""
         if n < self.band(0).low:
@@ -148,7 +159,8 @@ class Bands:
         while n >= self.band(i).high:
             i += 1
         own, after = self.band(i), self.band(i + 1)
-        return [own, after] if 100 * n >= self.percent * after.low else [own]
+        bands = [own, after] if 100 * n >= self.percent * after.low else [own]
+        return [b for b in bands if b.difference]  # without a difference only equal sets link
 
 
 def sketch_words(hashes: np.ndarray, band: Band, seed: int) -> tuple[np.ndarray, int]:
