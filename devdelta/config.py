@@ -29,10 +29,16 @@ ENVELOPE_TEXT_FIELDS: tuple[str, ...] = (
 # Property reported for a device's first snapshot in path B, and its default.
 FIRST_SNAPSHOT_PROPERTY = "ErrorCode"
 FIRST_SNAPSHOT_DEFAULT = "0"
-# Topic names of the original deployment (defaults only; always overridable).
+# Names that the original diff printed on the old side of the linked group.
+LEGACY_OLD_GROUP: tuple[str, ...] = (
+    "CookbookID",
+    "MultiStageName",
+    "StOvMode",
+    "LStOvMode",
+    "LStOvMode",
+)
+# Topic of the snapshot messages (a default; sink topics have none).
 SOURCE_TOPIC = "items-model"
-SINK_TOPIC = "dwd_device_feiyan_log_event"
-LATE_SINK_TOPIC = "dwd_device_feiyan_log_late_event"
 # Watermark bounds: path A 30 s bounded out-of-orderness (the watermark sits
 # one millisecond below max - bound), path B 30 s interval, path B idle state 24 h.
 PATH_A_BOUND_MS = 30_000
@@ -55,7 +61,8 @@ class Settings:
     linked: tuple[str, ...] = LINKED_PROPERTIES
     lag_bucket_ms: int = DAY_MS
     bound_ms: int = PATH_A_BOUND_MS
-    legacy_old_group: bool = False
+    # Names of the old-side group text; None: the same as ``linked``.
+    old_linked: tuple[str, ...] | None = None
     idle_ttl_ms: int | None = None
     # Path A key: three separate columns (default) or, for byte parity, the
     # original single text ``productKey_deviceName_eventName`` (where a ``_``

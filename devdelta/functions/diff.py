@@ -1,7 +1,8 @@
 """``get_diff(new, old)``: the snapshot-to-snapshot diff of path B.
 
 Both snapshots are parsed item maps ``map<string, struct<value, time>>`` (the
-previous one typically comes from a lag).  The result is an array of
+previous one typically comes from a lag); ``value`` is the text as it stands in
+the message (``3.0`` stays ``3.0``).  The result is an array of
 ``struct<event_name, event_value, event_ori_value>`` meant for ``inline``:
 
 * no previous snapshot -> exactly one ``ErrorCode`` row (value ``0`` when the
@@ -16,8 +17,9 @@ previous one typically comes from a lag).  The result is an array of
 Deviations from the original function, all deliberate: a key missing from the
 previous snapshot skips that key only (the original abandoned the remaining
 keys, in hash order); an unparsable or missing new snapshot gives no rows.
-``legacy_old_group=True`` reproduces the original old-side group text, which
-printed ``LStOvMode`` twice and never ``RStOvState``.
+``old_linked`` names the members of the old-side group text where they differ
+(``config.LEGACY_OLD_GROUP``: the original printed ``LStOvMode`` twice and never
+``RStOvState``).
 """
 
 from __future__ import annotations
@@ -28,9 +30,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from devdelta.config import FIRST_SNAPSHOT_DEFAULT, FIRST_SNAPSHOT_PROPERTY, LINKED_PROPERTIES
+from devdelta.functions.items import items_map_sql
 
 DIFF_TYPE = "ARRAY<STRUCT<event_name: STRING, event_value: STRING, event_ori_value: STRING>>"
-ITEMS_TYPE = "MAP<STRING, STRUCT<value: VARIANT, time: VARIANT>>"
+ITEMS_TYPE = "MAP<STRING, STRUCT<value: STRING, time: VARIANT>>"
 
 
 def _lit(s: str) -> str:
@@ -51,7 +54,7 @@ def _group_text(items: str, names: Sequence[str]) -> str:
 
 
 def get_diff_sql(
-    new: str, old: str, linked: Sequence[str] = LINKED_PROPERTIES, legacy_old_group: bool = False
+    new: str, old: str, linked: Sequence[str] = LINKED_PROPERTIES, old_linked: Sequence[str] | None = None
 ) -> str:
     """SQL text of the diff of two item maps (``new``/``old`` are SQL expressions).
 
@@ -59,7 +62,9 @@ def get_diff_sql(
     snapshot of n properties costs O(n), not n lookups into the other map.
     """
     linked = tuple(linked)
-    old_names = linked[:4] + (linked[3],) if legacy_old_group and len(linked) == 5 else linked
+    old_names = linked if old_linked is None else tuple(old_linked)
+    if not set(old_names) <= set(linked):
+        raise ValueError(f"old_linked has names outside the linked group: {sorted(set(old_names) - set(linked))}")
     in_group = ", ".join(_lit(n) for n in linked)
     ec = _lit(FIRST_SNAPSHOT_PROPERTY)
     first = (
@@ -84,11 +89,27 @@ def get_diff_sql(
     )
 
 
+def get_diff_text_sql(
+    new: str, old: str, linked: Sequence[str] = LINKED_PROPERTIES, old_linked: Sequence[str] | None = None
+) -> str:
+    """SQL text of the diff of two JSON texts; each is parsed once."""
+    entry = "value: STRING, time: VARIANT"
+    pair = f"named_struct('n', {items_map_sql(new, entry)}, 'o', {items_map_sql(old, entry)})"
+    return f"transform(array({pair}), _p -> {get_diff_sql('_p.n', '_p.o', linked, old_linked)})[0]"
+
+
+def get_diff_text(
+    new: str = "newData", old: str = "oldData", linked: Sequence[str] = LINKED_PROPERTIES, old_linked: Sequence[str] | None = None
+) -> Column:
+    """The diff as a Column over the JSON text columns named ``new`` and ``old``."""
+    return F.expr(get_diff_text_sql(f"`{new}`", f"`{old}`", linked, old_linked))
+
+
 def get_diff(
     new: str = "newData",
     old: str = "oldData",
     linked: Sequence[str] = LINKED_PROPERTIES,
-    legacy_old_group: bool = False,
+    old_linked: Sequence[str] | None = None,
 ) -> Column:
     """The diff as a Column over the item-map columns named ``new`` and ``old``."""
-    return F.expr(get_diff_sql(f"`{new}`", f"`{old}`", linked, legacy_old_group))
+    return F.expr(get_diff_sql(f"`{new}`", f"`{old}`", linked, old_linked))

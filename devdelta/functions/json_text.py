@@ -72,6 +72,16 @@ def json_bigint_sql(v: str) -> str:
     )
 
 
+# Milliseconds of 0001-01-01 and 9999-12-31T23:59:59.999, the timestamps that Spark prints.
+FIRST_MS, LAST_MS = -62_135_596_800_000, 253_402_300_799_999
+
+
+def timestamp_ms_sql(ms: str) -> str:
+    """epoch milliseconds as a timestamp, NULL outside the years 1 to 9999
+    (a sender's nanoseconds would overflow and end the job)."""
+    return f"CASE WHEN {ms} BETWEEN {FIRST_MS} AND {LAST_MS} THEN timestamp_millis({ms}) END"
+
+
 def _col(sql_of, name: str) -> Column:
     return F.expr(sql_of(f"`{name}`" if "." not in name else name))
 

@@ -12,8 +12,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from devdelta.config import ENVELOPE_TEXT_FIELDS, LINKED_PROPERTIES
-from devdelta.functions.json_text import as_text_sql, json_bigint, get_string, long_value_sql, text_value
-from devdelta.schema import SNAPSHOT_PARSE_DDL
+from devdelta.functions.items import dedup_items_sql, items_map_sql
+from devdelta.functions.json_text import (
+    as_text_sql,
+    get_string,
+    json_bigint,
+    long_value_sql,
+    text_value,
+    timestamp_ms_sql,
+)
+from devdelta.schema import SNAPSHOT_PARSE_DDL, TABLE_PARSE_DDL
 
 ARRIVAL = ("partition", "offset")
 
@@ -25,27 +33,17 @@ def key_is_json(key: Column) -> Column:
     return k.isNull() | F.try_parse_json(k).isNotNull() | F.json_object_keys(k).isNotNull()
 
 
-def dedup_items_sql(items: str) -> str:
-    """Repeated names inside one ``items`` object: keep the first position and
-    the last value, as a JSON tree does.  The repeated-name path is only taken
-    by messages that actually repeat a name."""
-    return (
-        f"CASE WHEN size(array_distinct(map_keys({items}))) = size(map_keys({items})) THEN {items} "
-        f"ELSE map_from_entries(transform(array_distinct(map_keys({items})), "
-        f"k -> named_struct('key', k, 'value', element_at(filter(map_entries({items}), e -> e.key = k), -1).value))) END"
-    )
-
-
-def parse_messages(raw: DataFrame) -> DataFrame:
+def parse_messages(raw: DataFrame, ddl: str = SNAPSHOT_PARSE_DDL) -> DataFrame:
     """Kafka-shaped rows -> one row per record with the parsed message in ``m``.
 
     The parsed struct leaves through a one-element ``inline``: filters on its
     fields then stay above the generator, so Catalyst cannot push them below
     and re-run ``from_json`` once per referenced field.
     """
-    parsed = F.from_json(F.col("value").cast("string"), SNAPSHOT_PARSE_DDL)
+    parsed = F.from_json(F.col("value").cast("string"), ddl)
     return raw.select(
         key_is_json(F.col("key")).alias("_key_ok"),
+        F.col("value").cast("string").alias("_text"),
         F.inline(F.array(F.struct(parsed.alias("m")))),
         *[F.col(c) for c in ARRIVAL],
     )
@@ -56,21 +54,36 @@ def snapshot_messages(raw: DataFrame) -> DataFrame:
 
     Envelope fields are text only when the JSON node is a string (else NULL).
     A message whose ``items`` is null or not an object yields no properties,
-    so it is dropped here already.
+    so it is dropped here already.  A property that is not an object is left
+    out; the others of its message stay (``skipped_properties`` counts them).
     """
     p = parse_messages(raw)
-    present = [F.col("m")[f].isNotNull() for f in ENVELOPE_TEXT_FIELDS]
     gate = F.col("_key_ok")
-    for c in present:
-        gate = gate & c
-    gate = gate & F.col("m.items").isNotNull()
-    return p.where(gate).select(
-        *[text_value(f"m.{f}").alias(f) for f in ENVELOPE_TEXT_FIELDS],
-        F.expr(dedup_items_sql("m.items")).alias("items"),
-        *[F.col(c) for c in ARRIVAL],
+    for f in ENVELOPE_TEXT_FIELDS:
+        gate = gate & F.col("m")[f].isNotNull()
+    apart = items_map_sql("get_json_object(_text, '$.items')", "value: VARIANT, time: VARIANT")
+    is_object = "get_json_object(_text, '$.items') LIKE '{%' AND schema_of_variant(from_json(_text, 'items VARIANT').items) LIKE 'OBJECT%'"
+    items = f"CASE WHEN m.items IS NOT NULL THEN {dedup_items_sql('m.items')} WHEN {is_object} THEN {apart} END"
+    return (
+        p.where(gate)
+        .select(
+            *[text_value(f"m.{f}").alias(f) for f in ENVELOPE_TEXT_FIELDS],
+            F.expr(items).alias("items"),
+            *[F.col(c) for c in ARRIVAL],
+        )
+        .where(F.col("items").isNotNull())
     )
 
 
+def skipped_properties(raw: DataFrame) -> DataFrame:
+    """Counts, per name, of properties that are left out: not an object, or without value or time."""
+    text = "from_json(get_json_object(CAST(value AS STRING), '$.items'), 'MAP<STRING, STRING>')"
+    rows = raw.select(F.explode(F.expr(text)).alias("eventName", "_item"))
+    item = F.from_json("_item", "value variant, time variant")
+    usable = F.col("_item").startswith("{") & item["value"].isNotNull() & item["time"].isNotNull()
+    return rows.where(~F.coalesce(usable, F.lit(False))).groupBy("eventName").agg(F.count("*").alias("skipped"))
+
+
 def property_events(messages: DataFrame, linked: Sequence[str] = LINKED_PROPERTIES) -> DataFrame:
     """G1 + G2: one change-event candidate per property.
 
@@ -127,17 +140,20 @@ def snapshot_table(raw: DataFrame) -> DataFrame:
     """S4 + S5 (path B): the SQL JSON table over the topic.
 
     Missing fields are NULL (no gate); text columns render any scalar as text;
-    ``gmtCreate`` is a BIGINT; ``ts_ltz = TO_TIMESTAMP_LTZ(gmtCreate, 3)``.
+    ``gmtCreate`` is a BIGINT; ``items`` is a STRING, as it stands in the message;
+    ``ts_ltz = TO_TIMESTAMP_LTZ(gmtCreate, 3)``, NULL where no timestamp can hold it.
     Records that are not a JSON object are dropped (the original job failed).
     """
-    p = parse_messages(raw).where(F.col("m").isNotNull())
+    p = parse_messages(raw, TABLE_PARSE_DDL)
+    names = [*ENVELOPE_TEXT_FIELDS, "gmtCreate", "items"]
+    # A record with a field is an object; only others are looked at again.
+    is_object = F.coalesce(*(F.col("m")[f].isNotNull() | F.lit(None) for f in names)) | F.json_object_keys("_text").isNotNull()
     fields = [get_string(F.col("m")[f]).alias(f) for f in ENVELOPE_TEXT_FIELDS]
     gmt = json_bigint("m.gmtCreate")
-    return p.select(
+    return p.where(is_object).select(
         *fields[:5],
         gmt.alias("gmtCreate"),
         fields[5],
-        F.expr(dedup_items_sql("m.items")).alias("items"),
-        F.timestamp_millis(gmt).alias("ts_ltz"),
+        F.col("m.items").alias("items"),
         *[F.col(c) for c in ARRIVAL],
-    )
+    ).select("*", F.expr(timestamp_ms_sql("gmtCreate")).alias("ts_ltz"))

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devdelta.config import Settings
-from devdelta.functions.diff import get_diff
+from devdelta.functions.diff import get_diff_text
 from devdelta.functions.keys import key_columns
 from devdelta.operators.ordering import PREV, previous_in_key
 from devdelta.operators.parse import ARRIVAL
@@ -43,7 +43,7 @@ def snapshot_lag(table: DataFrame, settings: Settings = Settings()) -> DataFrame
 def diff_rows(lag_view: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """The diff view: ``INNER JOIN LATERAL getDiff(newData, oldData)`` -- a lag
     row whose diff is empty produces nothing."""
-    diff = get_diff("newData", "oldData", settings.linked, settings.legacy_old_group)
+    diff = get_diff_text("newData", "oldData", settings.linked, settings.old_linked)
     return lag_view.select(*ENVELOPE, F.inline(diff))
 
 

@@ -10,7 +10,8 @@
 Addresses, topics and credentials are parameters only.  The checkpoint folder
 defaults to a subfolder of the cluster's ``spark.checkpoint.dir``.
 
-    python -m devdelta.plans.apps path-a --bootstrap host:9092 --sink-bootstrap host:9092
+    python -m devdelta.plans.apps path-a --bootstrap host:9092 --sink-bootstrap host:9092 \\
+        --sink-topic changes --late-topic late-changes
     python -m devdelta.plans.apps backfill-a --input /data/items-model --output /data/change_log
 """
 
@@ -21,9 +22,10 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devdelta.config import LATE_SINK_TOPIC, SINK_TOPIC, SOURCE_TOPIC, Settings
+from devdelta.config import PATH_A_BOUND_MS, PATH_B_BOUND_MS, PATH_B_IDLE_TTL_MS, SOURCE_TOPIC, Settings
 from devdelta.operators import changelog, parse, snapshot
 from devdelta.session import apply_cluster_defaults, checkpoint_root
+from devdelta.functions.json_text import timestamp_ms_sql
 from devdelta.sinks.records import as_kafka, table_event_records
 from devdelta.sinks.writers import kafka_target, split_writer
 from devdelta.sources.files import file_batch
@@ -42,18 +44,22 @@ def start_change_log_app(
     spark: SparkSession,
     bootstrap: str,
     sink_bootstrap: str,
+    main_topic: str,
+    late_topic: str,
     topic: str = SOURCE_TOPIC,
     start: str | int = "latest",
     group_id: str | None = None,
-    main_topic: str = SINK_TOPIC,
-    late_topic: str = LATE_SINK_TOPIC,
     settings: Settings = Settings(),
     checkpoint: str | None = None,
     trigger_seconds: int = 10,
+    source_options: dict | None = None,
     sink_options: dict | None = None,
 ):
+    """``source_options`` go to the Kafka reader: security settings, and
+    ``maxOffsetsPerTrigger`` to bound a batch (and a key's rows in it) when the
+    job starts far behind."""
     jobs.use_rocksdb(spark)
-    stream = jobs.change_log_stream(kafka_stream(spark, bootstrap, topic, start, group_id), settings)
+    stream = jobs.change_log_stream(kafka_stream(spark, bootstrap, topic, start, group_id, source_options), settings)
     writer = split_writer(
         kafka_target(sink_bootstrap, main_topic, sink_options), kafka_target(sink_bootstrap, late_topic, sink_options)
     )
@@ -70,21 +76,26 @@ def start_snapshot_diff_app(
     spark: SparkSession,
     bootstrap: str,
     sink_bootstrap: str,
+    sink_topic: str,
     topic: str = SOURCE_TOPIC,
     start: str | int = "latest",
     group_id: str | None = None,
-    sink_topic: str = SINK_TOPIC,
-    settings: Settings = Settings(),
+    settings: Settings = Settings(idle_ttl_ms=PATH_B_IDLE_TTL_MS),
+    bound_ms: int = PATH_B_BOUND_MS,
     checkpoint: str | None = None,
     trigger_seconds: int = 10,
+    source_options: dict | None = None,
+    sink_options: dict | None = None,
 ):
+    """Devices idle for 24 h are forgotten unless ``settings`` say otherwise."""
     jobs.use_rocksdb(spark)
-    diff = jobs.snapshot_diff_stream(kafka_stream(spark, bootstrap, topic, start, group_id), settings)
-    records = as_kafka(table_event_records(diff), sink_topic).drop("topic")
+    raw = kafka_stream(spark, bootstrap, topic, start, group_id, source_options)
+    records = as_kafka(table_event_records(jobs.snapshot_diff_stream(raw, settings, bound_ms)), sink_topic).drop("topic")
     return (
         records.writeStream.format("kafka")
         .option("kafka.bootstrap.servers", sink_bootstrap)
         .option("topic", sink_topic)
+        .options(**(sink_options or {}))
         .option("checkpointLocation", _checkpoint(spark, "snapshot_diff_app", checkpoint))
         .trigger(processingTime=f"{trigger_seconds} seconds")
         .queryName("device_snapshot_diff")
@@ -103,34 +114,74 @@ def snapshot_diff_backfill(raw: DataFrame, settings: Settings = Settings()) -> D
     ).withColumnRenamed("event_value", "eventValue").withColumnRenamed("event_ori_value", "eventOriValue")
 
 
-def main(argv: list[str] | None = None) -> None:
+def _options(pairs: list[str]) -> dict[str, str]:
+    return dict(p.split("=", 1) for p in pairs)
+
+
+def arguments() -> argparse.ArgumentParser:
     ap = argparse.ArgumentParser(prog="devdelta")
     sub = ap.add_subparsers(dest="cmd", required=True)
-    for name in ("path-a", "path-b"):
+    for name, bound in (("path-a", PATH_A_BOUND_MS), ("path-b", PATH_B_BOUND_MS)):
         p = sub.add_parser(name)
         p.add_argument("--bootstrap", required=True)
         p.add_argument("--sink-bootstrap", required=True)
+        p.add_argument("--sink-topic", required=True)
         p.add_argument("--topic", default=SOURCE_TOPIC)
         p.add_argument("--start", default="latest")
         p.add_argument("--group-id")
         p.add_argument("--checkpoint")
+        p.add_argument("--bound-ms", type=int, default=bound)
+        p.add_argument("--trigger-seconds", type=int, default=10)
+        p.add_argument("--max-offsets-per-trigger", type=int)
+        p.add_argument("--source-option", action="append", default=[], metavar="NAME=VALUE")
+        p.add_argument("--sink-option", action="append", default=[], metavar="NAME=VALUE")
+        if name == "path-a":
+            p.add_argument("--late-topic", required=True)
+        else:
+            p.add_argument("--idle-ttl-ms", type=int, default=PATH_B_IDLE_TTL_MS, help="0: devices are never forgotten")
     for name in ("backfill-a", "backfill-b"):
         p = sub.add_parser(name)
         p.add_argument("--input", required=True)
         p.add_argument("--output", required=True)
         p.add_argument("--format", default="parquet")
-    args = ap.parse_args(argv)
+    return ap
+
+
+def start_from(spark: SparkSession, args: argparse.Namespace):
+    """Start the streaming application that the arguments name."""
+    source = _options(args.source_option)
+    if args.max_offsets_per_trigger:
+        source["maxOffsetsPerTrigger"] = str(args.max_offsets_per_trigger)
+    common = {
+        "topic": args.topic,
+        "start": int(args.start) if args.start.isdigit() else args.start,
+        "group_id": args.group_id,
+        "checkpoint": args.checkpoint,
+        "trigger_seconds": args.trigger_seconds,
+        "source_options": source,
+        "sink_options": _options(args.sink_option),
+    }
+    if args.cmd == "path-a":
+        settings = Settings(bound_ms=args.bound_ms)
+        return start_change_log_app(
+            spark, args.bootstrap, args.sink_bootstrap, args.sink_topic, args.late_topic, settings=settings, **common
+        )
+    settings = Settings(idle_ttl_ms=args.idle_ttl_ms or None)
+    return start_snapshot_diff_app(
+        spark, args.bootstrap, args.sink_bootstrap, args.sink_topic, settings=settings, bound_ms=args.bound_ms, **common
+    )
+
+
+def main(argv: list[str] | None = None) -> None:
+    args = arguments().parse_args(argv)
     spark = SparkSession.builder.appName(f"devdelta-{args.cmd}").getOrCreate()
     apply_cluster_defaults(spark)
     if args.cmd in ("path-a", "path-b"):
-        start = int(args.start) if str(args.start).isdigit() else args.start
-        fn = start_change_log_app if args.cmd == "path-a" else start_snapshot_diff_app
-        fn(spark, args.bootstrap, args.sink_bootstrap, args.topic, start, args.group_id,
-           checkpoint=args.checkpoint).awaitTermination()
+        start_from(spark, args).awaitTermination()
     else:
         raw = file_batch(spark, args.input, args.format)
         out = change_log_backfill(raw) if args.cmd == "backfill-a" else snapshot_diff_backfill(raw)
-        out.withColumn("_day", F.to_date(F.timestamp_millis("gmtCreate"))).write.mode("overwrite").partitionBy(
+        out.withColumn("_day", F.to_date(F.expr(timestamp_ms_sql("gmtCreate")))).write.mode("overwrite").partitionBy(
             "_day"
         ).parquet(args.output)
 

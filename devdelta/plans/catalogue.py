@@ -10,8 +10,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devdelta.config import DAY_MS, PATH_A_BOUND_MS, PATH_B_IDLE_TTL_MS, Settings, watermark_delay_ms
-from devdelta.operators import changelog, lateness, parse, snapshot
+from devdelta.config import DAY_MS, ENVELOPE_TEXT_FIELDS, PATH_B_IDLE_TTL_MS, SOURCE_TOPIC, Settings
+from devdelta.operators import changelog, parse, snapshot
+from devdelta.plans.views import register_sql_views
 from devdelta.schema import CHANGE_EVENT_COLUMNS, CHANGE_EVENT_FIELDS
 from devdelta.session import scratch_path
 from devdelta.sinks.records import keyed_event_records, table_event_records
@@ -80,9 +81,7 @@ def snapshot_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_snapshot_lag(spark: SparkSession, sf_dir: str) -> DataFrame:
     lag = snapshot.snapshot_lag(snapshot_rows(spark, sf_dir))
-    return lag.select(
-        *snapshot.ENVELOPE, F.to_json("newData").alias("newData"), F.to_json("oldData").alias("oldData")
-    )
+    return lag.select(*snapshot.ENVELOPE, "newData", "oldData")
 
 
 def q_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,12 +102,22 @@ def q_snapshot_sink_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table_event_records(q_snapshot_diff(spark, sf_dir)).select("value")
 
 
-def q_late_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Replay one Kafka partition per micro-batch: rows of later partitions
-    that fall below the running watermark are late."""
-    rows = property_rows(spark, sf_dir)
-    flagged = lateness.late_split(rows, "partition", "gmtCreate", watermark_delay_ms(PATH_A_BOUND_MS))
-    return flagged.select(*CHANGE_EVENT_COLUMNS, F.col("partition").cast("long").alias("batch"), "watermark", "is_late")
+FLUSH_AFTER_MS = 2 * PATH_B_IDLE_TTL_MS
+
+
+def flush_message(spark: SparkSession, at_ms: int) -> DataFrame:
+    """A message of a device of its own whose time moves the watermark past all
+    others, so that a bounded replay releases every row; it stays pending itself."""
+    envelope = ", ".join(f"'{f}', 'flush'" for f in ENVELOPE_TEXT_FIELDS)
+    item = f"map('Flush', named_struct('value', 0, 'time', {int(at_ms)}L))"
+    return spark.range(1).selectExpr(
+        "CAST('\"flush\"' AS BINARY) AS key",
+        f"CAST(to_json(named_struct({envelope}, 'gmtCreate', {int(at_ms)}L, 'items', {item})) AS BINARY) AS value",
+        f"'{SOURCE_TOPIC}' AS topic",
+        "0 AS partition",
+        f"{int(at_ms)}L AS offset",
+        f"timestamp_millis({int(at_ms)}L) AS timestamp",
+    )
 
 
 def _phased_replay(spark: SparkSession, sf_dir: str, late_half_first: bool, name: str) -> tuple[str, list[DataFrame]]:
@@ -122,7 +131,11 @@ def _phased_replay(spark: SparkSession, sf_dir: str, late_half_first: bool, name
     bounds = events(spark, sf_dir).agg(F.min(ev_day).alias("lo"), F.max(ev_day).alias("hi")).first()
     mid = F.lit(bounds["lo"] + (bounds["hi"] - bounds["lo"]) // 2)
     early, late = msgs.where(day < mid), msgs.where(day >= mid)
-    phases = [late, early] if late_half_first else [early, late]
+    if late_half_first:
+        phases = [late, early]
+    else:
+        last_ms = (bounds["hi"] + 1) * DAY_MS
+        phases = [early, late, flush_message(spark, last_ms + FLUSH_AFTER_MS)]
     return scratch_path(spark, name), phases
 
 
@@ -184,6 +197,21 @@ def q_stream_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_stream_snapshot_diff_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``stream_snapshot_diff`` with the 24 h idle expiry."""
+    root, phases = _phased_replay(spark, sf_dir, False, "stream_snapshot_diff_idle")
+    settings = Settings(idle_ttl_ms=PATH_B_IDLE_TTL_MS)
+    _run_phases(spark, root, phases, lambda raw: jobs.snapshot_diff_stream(raw, settings), file_target(f"{root}/diff"))
+    return _read_output(spark, f"{root}/diff", DIFF_DDL).select(
+        *snapshot.ENVELOPE, "event_name", "event_value", "event_ori_value"
+    )
+
+
+def q_sql_get_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Path B through its SQL surface: table and views of texts, ``getDiff(STRING, STRING)``."""
+    return register_sql_views(spark, messages(spark, sf_dir))
+
+
 CATALOGUE: dict[str, Query] = {
     "parse_envelope": q_parse_envelope,
     "explode_properties": q_explode_properties,
@@ -196,8 +224,9 @@ CATALOGUE: dict[str, Query] = {
     "snapshot_diff_idle": q_snapshot_diff_idle,
     "sink_rows": q_sink_rows,
     "snapshot_sink_rows": q_snapshot_sink_rows,
-    "late_split": q_late_split,
     "stream_change_log": q_stream_change_log,
     "stream_late": q_stream_late,
     "stream_snapshot_diff": q_stream_snapshot_diff,
+    "stream_snapshot_diff_idle": q_stream_snapshot_diff_idle,
+    "sql_get_diff": q_sql_get_diff,
 }

@@ -188,18 +188,8 @@ FROM env e JOIN items_json i ON i.user_id = e.user_id AND i.day = e.day"""
         + "productKey := productKey, gmtCreate := gmtCreate, deviceName := deviceName, eventName := event_name, "
         + "eventValue := event_value, eventOriValue := event_ori_value)) AS VARCHAR) AS value FROM diff"
     ),
-    "late_split": _with(
-        f"""
-, batched AS (SELECT pe.*, CAST(user_id % {N_PARTITIONS} AS BIGINT) AS batch FROM pe),
-marks AS (
-  SELECT batch, max(max_t) OVER (ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 30001 AS watermark
-  FROM (SELECT batch, max(gmtCreate) AS max_t FROM batched GROUP BY batch)
-)
-SELECT {EVENT_COLS}, b.batch, m.watermark, coalesce(b.gmtCreate <= m.watermark, false) AS is_late
-FROM batched b JOIN marks m ON b.batch = m.batch"""
-    ),
     "stream_change_log": _with(
-        "SELECT " + EVENT_COLS + " FROM changes WHERE gmtCreate < (SELECT max(t) FROM prop) - 30001"
+        "SELECT " + EVENT_COLS + " FROM changes"
     ),
     "stream_late": _with(
         """
@@ -208,8 +198,10 @@ SELECT """ + EVENT_COLS + """ FROM pe, bounds
 WHERE pe.day < bounds.lo + CAST(floor((bounds.hi - bounds.lo) / 2) AS INTEGER)"""
     ),
     "stream_snapshot_diff": _with_b(
-        "SELECT * FROM diff WHERE gmtCreate <= (SELECT max(last_ms) FROM msg) - 30000"
+        "SELECT * FROM diff"
     ),
+    "sql_get_diff": _with_b("SELECT * FROM diff"),
+    "stream_snapshot_diff_idle": _with_b("SELECT * FROM diff", SNAPSHOT_IDLE_CTES),
     "dedup_same_time": f"""
 WITH ev AS (
   SELECT user_id, event_id, event_type, CAST(ts AS DATE) AS day,

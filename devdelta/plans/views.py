@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from devdelta.config import Settings
-from devdelta.functions.diff import DIFF_TYPE, ITEMS_TYPE, get_diff_sql
+from devdelta.functions.diff import DIFF_TYPE, get_diff_text_sql
 from devdelta.operators import parse, snapshot
 
 # --- fixed values: names of the SQL objects of the original job -------------
@@ -24,9 +24,9 @@ DIFF_FUNCTION = "getDiff"
 
 
 def register_diff_function(spark: SparkSession, settings: Settings = Settings(), name: str = DIFF_FUNCTION) -> None:
-    body = get_diff_sql("newData", "oldData", settings.linked, settings.legacy_old_group)
+    body = get_diff_text_sql("newData", "oldData", settings.linked, settings.old_linked)
     spark.sql(
-        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(newData {ITEMS_TYPE}, oldData {ITEMS_TYPE}) "
+        f"CREATE OR REPLACE TEMPORARY FUNCTION {name}(newData STRING, oldData STRING) "
         f"RETURNS {DIFF_TYPE} RETURN {body}"
     )
 

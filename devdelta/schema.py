@@ -15,10 +15,6 @@ KAFKA_ROW = T.StructType(
         T.StructField("timestamp", T.TimestampType()),
     ]
 )
-KAFKA_ROW_DDL = (
-    "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp"
-)
-
 # One parse of the message.  Envelope fields stay VARIANT so that the JSON
 # type is known (missing field = SQL NULL, JSON null = variant null); items keep
 # message order because they are read as a MAP.
@@ -28,6 +24,13 @@ SNAPSHOT_PARSE_DDL = (
     "items map<string, struct<value: variant, time: variant>>"
 )
 
+# Path B reads ``items`` as text, exactly as it stands in the message (an object
+# or a string that holds one).
+TABLE_PARSE_DDL = (
+    "deviceType variant, iotId variant, requestId variant, checkFailedData variant, "
+    "productKey variant, deviceName variant, gmtCreate variant, items string"
+)
+
 # Change event (main and late output), field order of the event object.
 CHANGE_EVENT_FIELDS = (
     ("deviceType", T.StringType()),
@@ -41,11 +44,4 @@ CHANGE_EVENT_FIELDS = (
     ("eventValue", T.StringType()),
     ("eventOriValue", T.StringType()),
 )
-CHANGE_EVENT = T.StructType([T.StructField(n, t) for n, t in CHANGE_EVENT_FIELDS])
 CHANGE_EVENT_COLUMNS = [n for n, _ in CHANGE_EVENT_FIELDS]
-
-# Path B diff row.
-DIFF_ROW_DDL = "event_name string, event_value string, event_ori_value string"
-
-# Path B sink columns, mapped by position from the diff view.
-SNAPSHOT_SINK_COLUMNS = CHANGE_EVENT_COLUMNS

@@ -4,43 +4,54 @@ Each target is a callable ``(batch_df, batch_id) -> None`` used inside
 ``foreachBatch``.  ``split_writer`` writes the main and the late rows of one
 micro-batch from a single pass over the batch (persisted once, written twice).
 
-Delivery: the file target is idempotent per batch id (a replayed batch
-overwrites its own folder), so file output is exactly-once.  Kafka and JDBC
-writes from Spark are at-least-once; records carry the idempotent key
-(productKey, deviceName, eventName, gmtCreate) plus the batch id for
-downstream de-duplication.
+Delivery: all targets are at-least-once with the means to drop repeats.  The
+file target writes a folder per batch id; a replayed batch overwrites its own
+folder (a reader may find that folder missing meanwhile).  Kafka records carry
+the batch id in a header, JDBC rows in a column, besides the idempotent key
+(productKey, deviceName, eventName, gmtCreate).
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from devdelta.schema import CHANGE_EVENT_COLUMNS
 from devdelta.sinks.records import as_kafka, keyed_event_records
 
 Target = Callable[[DataFrame, int], None]
 
 
+BATCH_ID = "batch_id"
+
+
 def file_target(path: str, fmt: str = "parquet") -> Target:
-    """Exactly-once file output: one folder per batch id, overwritten on replay."""
+    """One folder per batch id, overwritten on replay."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/batch_id={batch_id}")
+        df.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/{BATCH_ID}={batch_id}")
 
     return write
 
 
+def kafka_records(df: DataFrame, topic: str, batch_id: int) -> DataFrame:
+    """Keyed change events as Kafka columns, with the batch id as a header."""
+    header = F.array(F.struct(F.lit(BATCH_ID).alias("key"), F.lit(str(batch_id)).cast("binary").alias("value")))
+    return as_kafka(keyed_event_records(df), topic).withColumn("headers", header)
+
+
 def kafka_target(bootstrap_servers: str, topic: str, options: dict | None = None) -> Target:
     """K1/K2: keyed change events to a Kafka topic (needs the Kafka connector)."""
 
     def write(df: DataFrame, batch_id: int) -> None:
         (
-            as_kafka(keyed_event_records(df), topic)
+            kafka_records(df, topic, batch_id)
             .write.format("kafka")
             .option("kafka.bootstrap.servers", bootstrap_servers)
+            .option("includeHeaders", "true")
             .options(**(options or {}))
             .save()
         )
@@ -48,22 +59,29 @@ def kafka_target(bootstrap_servers: str, topic: str, options: dict | None = None
     return write
 
 
+def jdbc_rows(df: DataFrame, batch_id: int) -> DataFrame:
+    """The ten change-event columns and the batch id."""
+    return df.select(*CHANGE_EVENT_COLUMNS, F.lit(batch_id).cast("long").alias(BATCH_ID))
+
+
 def jdbc_target(url: str, table: str, properties: dict) -> Target:
-    """K5: append the ten change-event columns to a database table.
-    Credentials come only from ``properties``."""
+    """K5: append the change events to a database table.  Credentials come only from ``properties``."""
 
     def write(df: DataFrame, batch_id: int) -> None:
-        df.write.jdbc(url=url, table=table, mode="append", properties=properties)
+        jdbc_rows(df, batch_id).write.jdbc(url=url, table=table, mode="append", properties=properties)
 
     return write
 
 
-def console_target(prefix: str, n: int = 20) -> Target:
-    """K4: print a batch with a prefix."""
+def console_target(prefix: str) -> Target:
+    """K4: print every row of a batch as JSON after a prefix, on the executors' standard output."""
+
+    def show(rows: Iterator) -> None:
+        for r in rows:
+            print(f"{prefix}{r[0]}", flush=True)
 
     def write(df: DataFrame, batch_id: int) -> None:
-        print(f"{prefix} batch {batch_id}")
-        df.show(n, truncate=False)
+        df.select(F.to_json(F.struct(*(F.col(c) for c in df.columns)))).foreachPartition(show)
 
     return write
 

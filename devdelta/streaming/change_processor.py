@@ -31,6 +31,7 @@ from pyspark.sql.streaming.stateful_processor import (
 )
 
 from devdelta.functions.codes import py_changed_against
+from devdelta.functions.json_text import LAST_MS
 
 PAYLOAD = ("deviceType", "iotId", "requestId", "checkFailedData", "productKey", "deviceName")
 # One list per key: the pending rows plus, flagged ``base``, the last released
@@ -84,7 +85,7 @@ class ChangeLogProcessor(StatefulProcessor):
             self.rows.appendList(accepted)
             # Registering an existing timer again is a no-op; a timer left over
             # from rows released early simply finds nothing due.
-            self.handle.registerTimer(min(p[T] for p in accepted) + 1)
+            self.handle.registerTimer(min(min(p[T] for p in accepted), LAST_MS) + 1)
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs()
@@ -110,7 +111,7 @@ class ChangeLogProcessor(StatefulProcessor):
         baseline = (last_t, None, None, None, None, None, None, None, None, due[0][NAME], prev_value, None, True)
         self.rows.put(keep + [baseline])
         if keep:
-            self.handle.registerTimer(min(p[T] for p in keep) + 1)
+            self.handle.registerTimer(min(min(p[T] for p in keep), LAST_MS) + 1)
 
     def close(self) -> None:
         pass

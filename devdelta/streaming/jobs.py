@@ -6,13 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from devdelta.config import PATH_B_BOUND_MS, Settings, watermark_delay_ms
+from devdelta.functions.json_text import timestamp_ms_sql
 from devdelta.functions.keys import key_columns
 from devdelta.operators import parse, snapshot
 from devdelta.operators.changelog import key_exprs, key_names
 from devdelta.streaming import change_processor as cp
 from devdelta.streaming import lag_processor as lp
 
-ITEMS_DDL = "map<string, struct<value: variant, time: variant>>"
+ITEMS_DDL = "map<string, struct<value: string, time: variant>>"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -30,7 +31,7 @@ def change_log_stream(raw: DataFrame, settings: Settings = Settings()) -> DataFr
     """
     events = parse.property_events(parse.snapshot_messages(raw), settings.linked)
     delay = watermark_delay_ms(settings.bound_ms)
-    timed = events.withColumn("_et", F.timestamp_millis("gmtCreate")).withWatermark("_et", f"{delay} milliseconds")
+    timed = events.withColumn("_et", F.expr(timestamp_ms_sql("gmtCreate"))).withWatermark("_et", f"{delay} milliseconds")
     slim = timed.select(
         *key_exprs(settings),
         F.col("gmtCreate").alias("t"),
@@ -45,7 +46,7 @@ def snapshot_lag_stream(
     raw: DataFrame, bound_ms: int = PATH_B_BOUND_MS, idle_ttl_ms: int | None = None
 ) -> DataFrame:
     """Path B stream, lag stage: previous snapshot per device (JSON texts)."""
-    table = parse.snapshot_table(raw).where(F.col("gmtCreate").isNotNull())
+    table = parse.snapshot_table(raw).where(F.col("ts_ltz").isNotNull())
     timed = table.withWatermark("ts_ltz", f"{bound_ms} milliseconds")
     slim = timed.select(
         *key_columns("productKey", "iotId"),
@@ -53,7 +54,7 @@ def snapshot_lag_stream(
         "partition",
         "offset",
         *lp.ENVELOPE,
-        F.to_json("items").alias("items_json"),
+        F.col("items").alias("items_json"),
     )
     return slim.groupBy("_k_productKey", "_k_iotId").transformWithState(
         lp.SnapshotLagProcessor(idle_ttl_ms), lp.OUTPUT_DDL, "Append", "EventTime"
@@ -63,12 +64,7 @@ def snapshot_lag_stream(
 def snapshot_diff_stream(raw: DataFrame, settings: Settings = Settings(), bound_ms: int = PATH_B_BOUND_MS) -> DataFrame:
     """Path B stream: lag stage, then the native diff on the released pairs."""
     lagged = snapshot_lag_stream(raw, bound_ms, settings.idle_ttl_ms)
-    view = lagged.select(
-        *snapshot.ENVELOPE,
-        F.from_json("newData", ITEMS_DDL).alias("newData"),
-        F.from_json("oldData", ITEMS_DDL).alias("oldData"),
-    )
-    return snapshot.diff_rows(view, settings)
+    return snapshot.diff_rows(lagged.select(*snapshot.ENVELOPE, "newData", "oldData"), settings)
 
 
 def run_available(stream: DataFrame, writer, checkpoint: str, name: str | None = None) -> None:

@@ -92,8 +92,12 @@ class SnapshotLagProcessor(StatefulProcessor):
             self.rows.clear()
         if keep:
             self.handle.registerTimer(min(p[T] for p in keep))
-        if last is not None and ttl is not None:
-            self.handle.registerTimer(last[0] + ttl)
+        if ttl is not None:
+            # One expiry timer per device: the old baseline's goes when a new one comes.
+            if base is not None and (last is None or last[0] != base[T]):
+                self.handle.deleteTimer(base[T] + ttl)
+            if last is not None:
+                self.handle.registerTimer(last[0] + ttl)
 
     def close(self) -> None:
         pass

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from devdelta.config import LEGACY_OLD_GROUP
 from devdelta.functions.diff import get_diff
 from devdelta.streaming.jobs import ITEMS_DDL
 
@@ -10,7 +11,7 @@ from devdelta.streaming.jobs import ITEMS_DDL
 def diff(spark, new, old, legacy=False):
     df = spark.createDataFrame([(new, old)], "new string, old string")
     parsed = df.select(F.from_json("new", ITEMS_DDL).alias("n"), F.from_json("old", ITEMS_DDL).alias("o"))
-    out = parsed.select(F.inline(get_diff("n", "o", legacy_old_group=legacy)))
+    out = parsed.select(F.inline(get_diff("n", "o", old_linked=LEGACY_OLD_GROUP if legacy else None)))
     return sorted(tuple(r) for r in out.collect())
 
 
