@@ -20,7 +20,7 @@ from devdelta.sinks.writers import file_target, split_writer
 from devdelta.sources.files import file_stream
 from devdelta.streaming import jobs
 from devdelta.streaming.jobs import use_rocksdb
-from devdelta.sources.fixtures import fixture_messages, raw_property_events
+from devdelta.sources.fixtures import edge_messages, fixture_messages, raw_property_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -212,6 +212,17 @@ def q_sql_get_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return register_sql_views(spark, messages(spark, sf_dir))
 
 
+def q_edge_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Path A over irregular messages: what is skipped, rendered, compared and tied."""
+    messages = parse.snapshot_messages(edge_messages(events(spark, sf_dir)))
+    return changelog.change_log(parse.property_events(messages))
+
+
+def q_edge_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Path B over the same messages."""
+    return snapshot.snapshot_diff(parse.snapshot_table(edge_messages(events(spark, sf_dir))))
+
+
 CATALOGUE: dict[str, Query] = {
     "parse_envelope": q_parse_envelope,
     "explode_properties": q_explode_properties,
@@ -229,4 +240,6 @@ CATALOGUE: dict[str, Query] = {
     "stream_snapshot_diff": q_stream_snapshot_diff,
     "stream_snapshot_diff_idle": q_stream_snapshot_diff_idle,
     "sql_get_diff": q_sql_get_diff,
+    "edge_change_log": q_edge_change_log,
+    "edge_snapshot_diff": q_edge_snapshot_diff,
 }

@@ -148,7 +148,55 @@ def _with_b(body: str, ctes: str | None = None) -> str:
 _BEAN = sorted(c.strip() for c in EVENT_COLS.split(","))
 
 
+# Irregular messages, one per event: what each kind must come to.
+EDGE_CTES = f"""
+ev AS (
+  SELECT user_id, event_id, event_id % 16 AS kind, epoch_us(ts) // 1000 AS ms,
+         CAST(json_extract(props, '$.k') AS BIGINT) % 4 AS code, user_id % {N_PARTITIONS} AS part
+  FROM events
+),
+e AS (
+  SELECT *, CASE WHEN kind IN (9, 10, 11) THEN NULL ELSE 'T' || CAST(user_id % 3 AS VARCHAR) END AS deviceType,
+         'iot' || CAST(user_id AS VARCHAR) AS iotId, CAST(event_id AS VARCHAR) AS requestId, '{{}}' AS checkFailedData,
+         'P' || CAST(user_id % 5 AS VARCHAR) AS productKey, 'dev' || CAST(user_id AS VARCHAR) AS deviceName,
+         CASE kind WHEN 1 THEN CAST(code AS VARCHAR) || '.0' WHEN 2 THEN CASE WHEN code % 2 = 0 THEN 'On' ELSE 'ON' END
+                   WHEN 3 THEN CASE WHEN code % 2 = 0 THEN 'a:b' ELSE 'a:c' END ELSE CAST(code AS VARCHAR) END AS v
+  FROM ev
+)"""
+
+
 ORACLE: dict[str, str] = {
+    "edge_change_log": f"""
+WITH {EDGE_CTES},
+p AS (
+  SELECT *, CASE WHEN kind = 12 THEN ms - ms % 3600000 ELSE ms END AS t,
+         CASE kind WHEN 14 THEN 'null' WHEN 15 THEN '' ELSE v END AS txt
+  FROM e WHERE kind NOT IN (5, 6, 7, 8, 9)
+),
+d AS (SELECT *, row_number() OVER (PARTITION BY user_id, t ORDER BY part, event_id) AS dup FROM p),
+l AS (
+  SELECT *, lag(txt) OVER w AS prev, row_number() OVER w AS rn
+  FROM d WHERE dup = 1 WINDOW w AS (PARTITION BY user_id ORDER BY t)
+)
+SELECT deviceType, iotId, requestId, checkFailedData, productKey, t AS gmtCreate, deviceName, 'Mode' AS eventName,
+       'Mode:' || txt AS eventValue, CASE WHEN rn = 1 THEN 'Mode:' ELSE 'Mode:' || prev END AS eventOriValue
+FROM l WHERE rn = 1 OR split_part(txt, ':', 1) <> split_part(prev, ':', 1)""",
+    "edge_snapshot_diff": f"""
+WITH {EDGE_CTES},
+p AS (
+  SELECT *, CASE WHEN kind = 11 THEN '7' ELSE deviceType END AS dt,
+         CASE WHEN kind IN (6, 14) THEN NULL WHEN kind = 15 THEN '{{"a":1}}' ELSE v END AS txt
+  FROM e WHERE kind <> 7
+),
+l AS (
+  SELECT *, lag(txt) OVER w AS prev, row_number() OVER w AS rn
+  FROM p WINDOW w AS (PARTITION BY user_id ORDER BY ms, part, event_id)
+)
+SELECT dt AS deviceType, iotId, requestId, checkFailedData, productKey, ms AS gmtCreate, deviceName,
+       CASE WHEN rn = 1 THEN 'ErrorCode' ELSE 'Mode' END AS event_name,
+       CASE WHEN rn = 1 THEN 'ErrorCode:0' ELSE 'Mode:' || txt END AS event_value,
+       CASE WHEN rn = 1 THEN 'ErrorCode:' ELSE 'Mode:' || coalesce(prev, 'null') END AS event_ori_value
+FROM l WHERE rn = 1 OR (txt IS NOT NULL AND (prev IS NULL OR lower(txt) <> lower(prev)))""",
     "parse_envelope": _with(
         """
 SELECT 'T' || CAST(m.user_id % 3 AS VARCHAR) AS deviceType,

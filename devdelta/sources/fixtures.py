@@ -129,3 +129,47 @@ def raw_property_events(events: DataFrame, truncate_to_day: bool = True) -> Data
         F.pmod(F.col("user_id"), F.lit(N_PARTITIONS)).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),
     )
+
+
+EDGE_KINDS = 16
+
+
+def edge_messages(events: DataFrame, topic: str = SOURCE_TOPIC, n_partitions: int = N_PARTITIONS) -> DataFrame:
+    """One Kafka-shaped message per event, each sixteenth of them with another irregularity.
+
+    All report the property ``Mode``.  By ``event_id % 16``: 0 nothing odd, 1 a
+    fractional number, 2 text that differs in case, 3 text with a colon, 4 a
+    property beside it that is not an object, 5 no time, 6 no value, 7 not JSON,
+    8 a key that is not JSON, 9 no deviceType, 10 deviceType null, 11 deviceType
+    a number, 12 a time cut to the hour (ties), 13 the name repeated, 14 a null
+    value, 15 an object as value.
+    """
+    rows = event_rows(events).withColumn("kind", F.col("event_id") % EDGE_KINDS)
+    t = "CASE WHEN kind = 12 THEN ms - pmod(ms, 3600000L) ELSE ms END"
+    value = (
+        "CASE kind WHEN 1 THEN concat(code, '.0') WHEN 2 THEN if(code % 2 = 0, '\\\"On\\\"', '\\\"ON\\\"') "
+        "WHEN 3 THEN if(code % 2 = 0, '\\\"a:b\\\"', '\\\"a:c\\\"') WHEN 14 THEN 'null' WHEN 15 THEN '{\\\"a\\\":1}' ELSE CAST(code AS STRING) END"
+    )
+    mode = (
+        f"concat('\\\"Mode\\\":{{', CASE kind WHEN 5 THEN concat('\\\"value\\\":', {value}) WHEN 6 THEN concat('\\\"time\\\":', {t}) "
+        f"ELSE concat('\\\"value\\\":', {value}, ',\\\"time\\\":', {t}) END, '}}')"
+    )
+    items = (
+        f"concat('{{', CASE kind WHEN 4 THEN '\\\"Bad\\\":5,' WHEN 13 THEN '\\\"Mode\\\":{{\\\"value\\\":9,\\\"time\\\":0}},' ELSE '' END, {mode}, '}}')"
+    )
+    device = (
+        "CASE kind WHEN 9 THEN '' WHEN 10 THEN '\\\"deviceType\\\":null,' WHEN 11 THEN '\\\"deviceType\\\":7,' "
+        "ELSE concat('\\\"deviceType\\\":\\\"T', user_id % 3, '\\\",') END"
+    )
+    body = (
+        f"concat('{{', {device}, '\\\"iotId\\\":\\\"iot', user_id, '\\\",\\\"requestId\\\":\\\"', event_id, '\\\",\\\"checkFailedData\\\":\\\"{{}}\\\",', "
+        f"'\\\"productKey\\\":\\\"P', user_id % 5, '\\\",\\\"gmtCreate\\\":', ms, ',\\\"deviceName\\\":\\\"dev', user_id, '\\\",\\\"items\\\":', {items}, '}}')"
+    )
+    return rows.selectExpr(
+        "CAST(CASE WHEN kind = 8 THEN 'not json' END AS BINARY) AS key",
+        f"CAST(CASE WHEN kind = 7 THEN concat('no message ', event_id) ELSE {body} END AS BINARY) AS value",
+        f"'{topic}' AS topic",
+        f"CAST(pmod(user_id, {int(n_partitions)}) AS INT) AS partition",
+        "event_id AS offset",
+        "timestamp_millis(ms) AS timestamp",
+    )
