@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devdelta.llm.common import staged, table
+from devdelta.llm.common import row_id, staged, table
 from devdelta.llm.exact_dedup import exact_groups
 from devdelta.llm.jaccard_join import similar_components
 from devdelta.llm.mixing import mix
@@ -27,7 +27,7 @@ FRACTION = 0.8
 
 def _only(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose numbers are in ``kept`` (uid)."""
-    numbered = docs.select(*COLUMNS, F.monotonically_increasing_id().alias("uid"))
+    numbered = docs.select(*COLUMNS, row_id(docs).alias("uid"))
     return numbered.join(kept, "uid", "left_semi").select(*COLUMNS)
 
 

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +28,24 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Type of a row's number.
+ROW_ID = "struct<f: long, r: long>"
+
+
+def row_id(docs: DataFrame) -> Column:
+    """A number for each row that is the same whenever the rows are read.
+
+    For Parquet files: the file and the row's place in it.  Numbers that depend
+    on how the files are split into tasks would change between two scans when
+    executors come or go.  Other frames are numbered by task and place.
+    """
+    try:
+        docs.select("_metadata.row_index")
+    except AnalysisException:
+        return F.struct(F.lit(0).cast("long").alias("f"), F.monotonically_increasing_id().alias("r"))
+    return F.struct(F.xxhash64("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("r"))
+
+
 def held_out(doc_id: Column) -> Column:
     """Rows whose labels are never learnt: crc32 of the id's text, modulo 4, is 2."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2, F.lit(False))

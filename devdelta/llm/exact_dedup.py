@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devdelta.llm.common import staged, utf8
+from devdelta.llm.common import ROW_ID, row_id, staged, utf8
 
 BLOCK_BYTES = 16 * 1024
 NONE = -(2**63)  # stands after the last name of an odd number of names
@@ -50,19 +50,18 @@ def _members(size: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: tuple[list, ...] = ([], [], [], [], [], [])
-            for uid, doc, text in zip(b["uid"].to_pylist(), b["doc_id"].to_pylist(), b["text"].to_pylist()):
+            out: tuple[list, ...] = ([], [], [], [], [])
+            for row, text in enumerate(b["text"].to_pylist()):
                 parts = _blocks(text, size)
                 sha = hashlib.sha256()
                 for pos, part in enumerate(parts):
                     sha.update(part)
-                    for col, v in zip(out, (uid, doc, len(parts), pos, _hash(part), None)):
+                    for col, v in zip(out, (row, len(parts), pos, _hash(part), None)):
                         col.append(v)
-                out[5][-len(parts)] = sha.hexdigest()
-            types = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(out, types)], ["uid", "doc_id", "n", "pos", "h", "sha"]
-            )
+                out[4][-len(parts)] = sha.hexdigest()
+            types = (pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string())
+            row, *cols = (pa.array(c, t) for c, t in zip(out, types))
+            yield pa.RecordBatch.from_arrays([b["uid"].take(row), b["doc_id"].take(row), *cols], ["uid", "doc_id", "n", "pos", "h", "sha"])
 
     return run
 
@@ -72,17 +71,15 @@ def _contents(size: int, with_uid: bool):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            uids = b["uid"].to_pylist() if with_uid else [0] * b.num_rows
             rows = [
-                (uid, pos, _hash(part), part)
-                for uid, text in zip(uids, b["text"].to_pylist())
+                (row, pos, _hash(part), part)
+                for row, text in enumerate(b["text"].to_pylist())
                 for pos, part in enumerate(_blocks(text, size))
             ]
-            cols = list(zip(*rows)) if rows else [[]] * 4
-            types = (pa.int64(), pa.int32(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, types)], ["uid", "pos", "h", "block"]
-            )
+            types = (pa.int32(), pa.int32(), pa.int64(), pa.binary())
+            row, *cols = (pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 4, types))
+            uid = [b["uid"].take(row)] if with_uid else []
+            yield pa.RecordBatch.from_arrays([*uid, *cols], [*["uid"][: len(uid)], "pos", "h", "block"])
 
     return run
 
@@ -94,14 +91,14 @@ def _named(distinct: DataFrame, *by: str) -> DataFrame:
 
 def _first_names(rows: DataFrame, members: DataFrame, size: int) -> DataFrame:
     """The members with the names of their blocks."""
-    blocks = rows.select("text").mapInArrow(_contents(size, False), "uid long, pos int, h long, block binary")
+    blocks = rows.select("text").mapInArrow(_contents(size, False), "pos int, h long, block binary")
     names = staged(_named(blocks.groupBy("h", "block").agg(F.count("*").alias("c")), "block").select("h", "name"), "names")
     shared = names.groupBy("h").agg(F.count("*").alias("c")).where("c > 1").select("h")
     if shared.isEmpty():
         return members.join(names, "h")
     # Different blocks with one hash: named by their bytes, below zero.
     single = members.join(shared, "h", "left_anti").join(names, "h")
-    exact = rows.select("uid", "text").mapInArrow(_contents(size, True), "uid long, pos int, h long, block binary")
+    exact = rows.select("uid", "text").mapInArrow(_contents(size, True), f"uid {ROW_ID}, pos int, h long, block binary")
     exact = exact.join(shared, "h", "left_semi")
     own = _named(exact.select("h", "block").distinct(), "block").withColumn("name", -1 - F.col("name"))
     found = staged(exact.join(staged(own, "exact-names"), ["h", "block"]).select("uid", "pos", "name"), "exact-members")
@@ -111,11 +108,10 @@ def _first_names(rows: DataFrame, members: DataFrame, size: int) -> DataFrame:
 
 def document_names(docs: DataFrame, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """(uid, doc_id, level, name, sha): rows with one (level, name) have equal normalised texts."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    # uid numbers the rows; both passes read the same splits in the same order.
-    rows = rows.withColumn("uid", F.monotonically_increasing_id())
+    text = F.col("text").cast("string").alias("text")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text, row_id(docs).alias("uid"))
     members = rows.mapInArrow(
-        _members(block_bytes), "uid long, doc_id long, n int, pos int, h long, sha string"
+        _members(block_bytes), f"uid {ROW_ID}, doc_id long, n int, pos int, h long, sha string"
     )
     members = staged(members, "members")
     level = staged(_first_names(rows, members, block_bytes).select("uid", "doc_id", "n", "pos", "name", "sha"), "level0")

@@ -50,7 +50,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from devdelta.llm.common import slices, staged, utf8
+from devdelta.llm.common import ROW_ID, row_id, slices, staged, utf8
 from devdelta.llm.components import connected
 
 SHINGLE = 4
@@ -325,7 +325,7 @@ class Join:
 
     def __init__(self, rows: DataFrame, percent: int, size: int):
         self.rows, self.percent, self.size = rows, percent, size
-        ddl = "uid long, doc_id long, n long, node long, check long, sketch binary"
+        ddl = f"uid {ROW_ID}, doc_id long, n long, node long, check long, sketch binary"
         for seed in range(MAX_SEEDS):
             docs = staged(rows.mapInArrow(_documents(seed, size), ddl), "shingle-sets")
             nodes = docs.where("n > 0").groupBy("node").agg(
@@ -408,7 +408,7 @@ def similar_components(docs: DataFrame, percent: int = PERCENT, size: int = SHIN
     Besides, uid (the row's number) and kept (one row of each component: of its smallest doc_id).
     """
     rows = docs.select(
-        F.monotonically_increasing_id().alias("uid"),
+        row_id(docs).alias("uid"),
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
     )

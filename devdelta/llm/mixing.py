@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from devdelta.llm.common import staged
+from devdelta.llm.common import row_id, staged
 
 BUCKETS = 1024
 MAX_LEAVES = 100_000
@@ -126,12 +126,13 @@ def mix(
     The budget is ``fraction`` of all tokens.  ``row_id`` numbers the rows of ``docs``.
     """
     named = docs.select(
-        F.monotonically_increasing_id().alias("row_id"),
+        row_id(docs).alias("row_id"),
         F.col("doc_id").cast("long").alias("doc_id"),
         (default_domain() if domain is None else domain).alias("domain"),
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("language"),
         F.coalesce(F.col("source").cast("string"), F.lit("")).alias("source_name"),
         token_count(F.col("text").cast("string")).alias("tokens"),
+        F.xxhash64(F.col("text").cast("string")).alias("content"),  # tells rows with one id apart
     )
     spark = docs.sparkSession
     rows = staged(named, "mix-tokens")
@@ -151,7 +152,7 @@ def mix(
     per_epoch = per_epoch.withColumn("allowed", F.least("held", F.col("budget") - F.col("epoch") * F.col("held")))
     per_epoch = F.broadcast(per_epoch.where("allowed > 0").select(*LEAF, "epoch", "allowed"))  # max_leaves * epochs rows
 
-    order = F.xxhash64(F.lit(seed), F.col("epoch"), F.col("doc_id"), F.col("row_id"))
+    order = F.xxhash64(F.lit(seed), F.col("epoch"), F.col("doc_id"), F.col("content"))
     taken = rows.join(per_epoch, LEAF).withColumn("order", order)
     taken = taken.withColumn("bucket", F.expr(f"shiftright(`order`, {64 - (buckets - 1).bit_length()})"))
     sums = taken.groupBy(*LEAF, "epoch", "bucket").agg(F.sum("tokens").alias("t"))

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devdelta.llm.common import slices, staged, utf8
+from devdelta.llm.common import ROW_ID, row_id, slices, staged, utf8
 from devdelta.llm.suffix_array import permuted_prefixes, suffix_array
 
 SIZE = 400
@@ -108,18 +108,18 @@ def _text_runs(data: bytes, size: int, gram: int, stretch: int) -> Iterator[tupl
 
 def text_runs(rows: DataFrame, size: int, gram: int, stretch: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
+        types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
         names = ["uid", "key", "start", "n", "own", "cid"]
         for b in slices(batches, "text"):
             out = [
-                (uid, *r)
-                for uid, text in zip(b["uid"].to_pylist(), b["text"].to_pylist())
+                (row, *r)
+                for row, text in enumerate(b["text"].to_pylist())
                 for r in _text_runs(utf8(text), size, gram, stretch)
             ]
-            cols = list(zip(*out)) if out else [[]] * 6
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
+            row, *cols = (pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, types))
+            yield pa.RecordBatch.from_arrays([b["uid"].take(row), *cols], names)
 
-    return rows.mapInArrow(run, "uid long, key long, start long, n long, own boolean, cid long")
+    return rows.mapInArrow(run, f"uid {ROW_ID}, key long, start long, n long, own boolean, cid long")
 
 
 def _intervals(flags: np.ndarray) -> list[dict]:
@@ -277,7 +277,7 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, **options: int) -> DataFra
     rows = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
-        F.monotonically_increasing_id().alias("uid"),
+        row_id(docs).alias("uid"),
     )
     found = repeated_intervals(rows.select("uid", "text"), size, **options)
     spans = found.groupBy("uid").agg(F.collect_list(F.struct("a", "b")).alias("spans"))  # of one text

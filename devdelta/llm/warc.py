@@ -30,6 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from devdelta.llm.common import row_id
 from devdelta.session import scratch_path
 
 LEAST = 1000
@@ -50,7 +51,7 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST, captured: Co
         F.regexp_replace(F.coalesce(F.col("url").cast("string"), F.lit("")), r"[\x00-\x20]", "").alias("url"),
         F.coalesce(F.col("html").cast("string"), F.lit("")).alias("html"),
         F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("at"),
-        F.monotonically_increasing_id().alias("uid"),
+        row_id(pages).alias("uid"),
     )
     base = base.withColumn("digest", F.sha1(F.encode("html", "UTF-8"))).withColumn("n", F.octet_length("html"))
     best = base.groupBy("digest", "n").agg(F.max(F.struct("page_id", "uid")).alias("best"))

@@ -6,6 +6,7 @@ from collections import defaultdict
 import pytest
 
 from devdelta.llm import exact_dedup
+from devdelta.llm.common import ROW_ID
 from tests.llm.helpers import awkward, documents, none, words
 
 LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
@@ -50,7 +51,7 @@ def test_blocks_with_one_hash_are_told_apart(spark, monkeypatch):
 
 
 def test_collisions_are_named_by_bytes(spark):
-    members = spark.createDataFrame([(0, 0, 1, 0, 5, "s0"), (1, 1, 1, 0, 5, "s1"), (2, 2, 1, 0, 5, "s0")], "uid long, doc_id long, n int, pos int, h long, sha string")
+    members = spark.createDataFrame([((0, 0), 0, 1, 0, 5, "s0"), ((0, 1), 1, 1, 0, 5, "s1"), ((0, 2), 2, 1, 0, 5, "s0")], f"uid {ROW_ID}, doc_id long, n int, pos int, h long, sha string")
 
     class Fixed:
         pass
@@ -62,14 +63,15 @@ def test_collisions_are_named_by_bytes(spark):
             import pyarrow as pa
 
             for b in original(size, with_uid)(batches):
-                yield pa.RecordBatch.from_arrays([b["uid"], b["pos"], pa.array([5] * b.num_rows, pa.int64()), b["block"]], ["uid", "pos", "h", "block"])
+                h = pa.array([5] * b.num_rows, pa.int64())
+                yield pa.RecordBatch.from_arrays([h if n == "h" else b[n] for n in b.schema.names], b.schema.names)
 
         return run
 
-    rows = spark.createDataFrame([(0, "one"), (1, "two"), (2, "ONE")], "uid long, text string").coalesce(1)
+    rows = spark.createDataFrame([((0, 0), "one"), ((0, 1), "two"), ((0, 2), "ONE")], f"uid {ROW_ID}, text string").coalesce(1)
     exact_dedup._contents = contents
     try:
-        got = {r["uid"]: r["name"] for r in exact_dedup._first_names(rows, members, 16).collect()}
+        got = {r["uid"]["r"]: r["name"] for r in exact_dedup._first_names(rows, members, 16).collect()}
     finally:
         exact_dedup._contents = original
     assert got[0] == got[2] != got[1]
