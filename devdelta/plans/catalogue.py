@@ -135,7 +135,8 @@ def _phased_replay(spark: SparkSession, sf_dir: str, late_half_first: bool, name
         phases = [late, early]
     else:
         last_ms = (bounds["hi"] + 1) * DAY_MS
-        phases = [early, late, flush_message(spark, last_ms + FLUSH_AFTER_MS)]
+        # In the last drop: it moves the watermark for the batch after, which releases all.
+        phases = [early, late.unionByName(flush_message(spark, last_ms + FLUSH_AFTER_MS))]
     return scratch_path(spark, name), phases
 
 

@@ -28,7 +28,7 @@ def test_every_query_has_a_callable_and_known_oracles():
     assert "change_log" in o and "snapshot_diff" in o
 
 
-@pytest.mark.parametrize("name", ["change_log", "snapshot_diff", "first_seen"])
+@pytest.mark.parametrize("name", ["change_log", "snapshot_diff", "first_seen", "sql_get_diff", "edge_change_log", "edge_snapshot_diff"])
 def test_oracle_agrees_at_sf0001(spark, name):
     con = duckdb.connect()
     con.execute(f"CREATE VIEW events AS SELECT * FROM read_parquet('{SF}/events.parquet')")
