@@ -22,10 +22,10 @@ Equal sets are one node (nodes are named by a hash of the set; a second hash
 would show a clash, upon which other seeds are taken), so copies are neither
 joined nor expanded.  Of the nodes that share a word, first each is compared
 with the smallest; after connecting these, only pairs from different components
-are compared.  Linked sets agree in several words: where a word is crowded (by a
-passage that many texts share), a set joins by it only if it has so many crowded
-words that a partner could agree in those alone, and then only by its rarest.
-So no group of similar or equal texts is expanded into its pairs, and no link
+are compared.  Linked sets agree in several words, so a set whose words in question
+are fewer than that has no such partner, and any other need only be joined by
+its rarest (texts that merely share a passage agree in a few, common words).  So
+no group of similar or equal texts is expanded into its pairs, and no link
 between components is lost.
 
 Hot groups: rows are distinct per batch before they are shuffled; a word's rows
@@ -57,7 +57,6 @@ SHINGLE = 4
 PERCENT = 85
 FIRST_SIZE = 2
 RATIO = 1.6
-MANY = 24  # a word with more nodes in several components is crowded
 BAND_MASK = 63  # the low bits of a word: its band
 MAX_SEEDS = 4
 
@@ -373,20 +372,18 @@ class Join:
         spread = placed.groupBy("word").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("k"))
         # of two nodes one was the lead
         open_ = staged(placed.join(spread.where("c0 <> c1 and k > 2").select("word", "k"), "word"), "open-members")
-        few = open_.where(F.col("k") <= MANY).select("word", "node", "comp")
-        pairs = self.across(few).unionByName(self.across(self.crowded(open_.where(F.col("k") > MANY))))
-        pairs = pairs.distinct().join(star, ["a", "b"], "left_anti")
+        pairs = self.across(self.rarest(open_)).join(star, ["a", "b"], "left_anti")
         near = self.near(pairs)
         return links if near.isEmpty() else links.unionByName(self.verified(near))
 
-    def crowded(self, members: DataFrame) -> DataFrame:
-        """The rows of crowded words that a link may still need.
+    @staticmethod
+    def rarest(members: DataFrame) -> DataFrame:
+        """The rows of ``members`` that a link between components may still need.
 
-        A linked set agrees with a node in ``need`` words of a band.  A node
-        with fewer crowded words than that agrees with any partner in a word
-        that isn't crowded.  Two nodes that agree in crowded words only share
-        ``need`` of them, so the rarest that they share is, for either, not
-        among its last ``need`` - 1 in order of frequency.
+        ``members`` holds all words in which a link may agree.  A node and its
+        partner agree in ``need`` of them at least, so the rarest that they
+        share isn't, for either, among the last ``need`` - 1 in order of
+        frequency; a node with fewer than ``need`` has no partner.
         """
         own = Window.partitionBy("node", "band")  # the words of one set
         placed = members.withColumn("band", F.col("word").bitwiseAND(F.lit(BAND_MASK))).withColumns(

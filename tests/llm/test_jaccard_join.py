@@ -60,8 +60,7 @@ def test_components_equal_brute_force(spark, percent, size):
     assert sum(r["kept"] for r in got) == len(parts)
 
 
-def test_crowded_words_lose_no_link(spark, monkeypatch):
-    monkeypatch.setattr(J, "MANY", 2)
+def test_other_texts(spark):
     texts = near_copies(random.Random(5))
     got = J.similar_components(documents(spark, texts)).collect()
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == expected(texts, 85, 4)
