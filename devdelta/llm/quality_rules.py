@@ -6,13 +6,15 @@ aggregation, so a source that holds a third of all rows is summarised by many
 tasks and only sketches of bounded size are merged.  A measure's threshold is a
 quartile plus a multiple of the quartile range (in the direction that marks a
 bad document); the thresholds are joined to the documents by language and
-source, and a document beyond any of them is not kept.
+source, and a document beyond any of them is not kept.  A group of fewer than
+``SMALL`` documents takes the thresholds of its language's merged sketch.
 
 The measures are shares, so a long document isn't flagged for its length:
 repeated words in windows of three, symbols per word, duplicate lines per line,
-and characters per word (both ends).  Each threshold also has a floor, written
-as a share at which a document is still plainly clean, so that a group with no
-spread does not flag its ordinary members.
+and characters per word (both ends).  The quartile range counts as a small width
+at least, so that a group with no spread does not flag its ordinary members.
+Most documents of most groups have no repeats, symbols or duplicate lines: there
+both quartiles are 0 and the width decides (0 + ``FENCE`` widths).
 
 Null text: no words.  Null language or source: a group of its own.  Empty table:
 no rows.  Repeated ids: every row is returned.
@@ -32,13 +34,14 @@ SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 KLL_K = 400  # rank error of about 0.4 %
 FENCE = 6.0
-# measure -> (SQL text, +1: large is bad or -1: small is bad, the least extreme threshold)
+SMALL = 30  # documents below which a group's own quartiles tell little
+# measure -> (SQL text, +1: large is bad or -1: small is bad, the least quartile range)
 MEASURES = {
-    "repeat_share": ("n_repeat_words / n_words", 1, 0.45),
-    "symbol_share": ("n_symbols / n_words", 1, 0.30),
-    "dup_line_share": ("n_dup_lines / n_lines", 1, 0.40),
-    "long_words": ("word_chars / n_words", 1, 12.0),
-    "short_words": ("word_chars / n_words", -1, 2.5),
+    "repeat_share": ("n_repeat_words / n_words", 1, 0.05),
+    "symbol_share": ("n_symbols / n_words", 1, 0.02),
+    "dup_line_share": ("n_dup_lines / n_lines", 1, 0.06),
+    "long_words": ("word_chars / n_words", 1, 0.1),
+    "short_words": ("word_chars / n_words", -1, 0.1),
 }
 
 
@@ -93,17 +96,25 @@ def base_failed() -> Column:
     return F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words")
 
 
-def thresholds(measured: DataFrame, fence: float = FENCE, k: int = KLL_K) -> DataFrame:
-    """lang, source and a threshold for each measure, from sketches of the rows that pass the base rules."""
-    aggs = [F.kll_sketch_agg_double(F.col(m), F.lit(k)).alias(m) for m in MEASURES]
-    sketches = measured.where(~F.col("base_failed")).groupBy("lang", "source").agg(*aggs)
+def _limits(fence: float) -> list[Column]:
     limits = []
-    for m, (_, sign, least) in MEASURES.items():
+    for m, (_, sign, width) in MEASURES.items():
         q1 = F.kll_sketch_get_quantile_double(m, F.lit(0.25))
         q3 = F.kll_sketch_get_quantile_double(m, F.lit(0.75))
-        far = q3 + fence * (q3 - q1) if sign > 0 else q1 - fence * (q3 - q1)
-        limits.append((F.greatest if sign > 0 else F.least)(far, F.lit(least)).alias(f"{m}_limit"))
-    return sketches.select("lang", "source", *limits)
+        far = F.lit(fence) * F.greatest(q3 - q1, F.lit(width))
+        limits.append((q3 + far if sign > 0 else q1 - far).alias(f"{m}_limit"))
+    return limits
+
+
+def thresholds(measured: DataFrame, fence: float = FENCE, k: int = KLL_K, small: int = SMALL) -> DataFrame:
+    """lang, source and a threshold for each measure, from sketches of the rows that pass the base rules."""
+    aggs = [F.kll_sketch_agg_double(F.col(m), F.lit(k)).alias(m) for m in MEASURES]
+    sketches = measured.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("n"), *aggs)
+    merged = sketches.groupBy("lang").agg(*[F.kll_merge_agg_double(F.col(m), F.lit(k)).alias(m) for m in MEASURES])
+    own = sketches.select("lang", "source", "n", *_limits(fence)).alias("own")
+    language = merged.select("lang", *_limits(fence)).alias("language")
+    chosen = [F.when(F.col("n") < small, F.col(f"language.{m}_limit")).otherwise(F.col(f"own.{m}_limit")).alias(f"{m}_limit") for m in MEASURES]
+    return own.join(language, F.col("own.lang").eqNullSafe(F.col("language.lang"))).select("own.lang", "source", *chosen)
 
 
 def quality_rules(docs: DataFrame, fence: float = FENCE) -> DataFrame:

@@ -3,7 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 from devdelta.llm import quality_rules as Q
-from tests.llm.helpers import awkward, documents, none, words
+from tests.llm.helpers import DOCS_DDL, awkward, documents, none, words
 
 
 def counts(text):
@@ -46,6 +46,25 @@ def test_sketch_quantiles_are_near_the_exact_ones(spark):
     assert abs(limit - (values[3750] + values[3750] - values[1250])) < 0.05
 
 
+def test_the_groups_quantiles_set_the_limits(spark):
+    rng = random.Random(8)
+    spell = lambda n: "".join(rng.choice("abcdefghij") for _ in range(n))
+    text = lambda low, high: " ".join(spell(rng.randrange(low, high)) for _ in range(100))
+    marked = text(3, 8) + " #" * 20  # 1 symbol in 6 words
+    twice = " ".join([text(3, 8), *["some three words"] * 22])  # 2 words in 5 stand in repeats
+    lines = "\n".join([text(3, 8) for _ in range(31)] + [spell(9)] * 20)  # 19 lines of 51
+    rows = [(text(3, 8), "en", "short") for _ in range(60)] + [(text(8, 13), "de", "long") for _ in range(60)]
+    # beyond what most of their groups hold, below 12 characters a word, 0.30 symbols a word, 0.45 repeats, 0.40 lines, above 2.5 characters
+    bad = [(text(8, 13), "en", "short"), (text(3, 8), "de", "long"), (marked, "en", "short"), (twice, "en", "short"), (lines, "en", "short")]
+    # alone in its source: judged by its language
+    bad += [(text(20, 25), "en", "alone")]
+    good = [(text(4, 8), "en", "alone too")]
+    table = spark.createDataFrame([(i, *r, len(r[0])) for i, r in enumerate(rows + bad + good)], DOCS_DDL)
+    got = {r["doc_id"]: r for r in Q.quality_rules(table).collect()}
+    assert not any(r["base_failed"] for r in got.values())
+    assert [i for i, r in sorted(got.items()) if not r["kept"]] == list(range(120, 126))
+
+
 def test_awkward_and_empty(spark):
     df = awkward(spark)
     got = defaultdict(list)
