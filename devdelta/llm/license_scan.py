@@ -7,9 +7,11 @@ non-ASCII characters) joined by single spaces.
 * A notice of a label may also occur with up to ``k`` character edits (one for
   every 12 characters, three at most).  It is split into k + 1 pieces; any
   occurrence with k edits contains one piece unchanged (pigeonhole).  One
-  automaton finds all pieces of all notices in one pass; around each find the
-  regex library matches the whole notice with at most k edits, which verifies
-  the edits and gives the span.
+  automaton finds all pieces of all notices in one pass; in a window around
+  each find, of the notice's length and k on both sides, the regex library
+  matches the whole notice with at most k edits, which verifies the edits and
+  gives the span.  Of overlapping matches of a notice the one with the fewest
+  edits stays, and the rest of the others' windows is searched again.
 
 Everything is worked out per document inside the scan; nothing is shuffled.
 Null or empty text: no words, no labels, score 0.  Empty table: no rows.
@@ -18,8 +20,10 @@ Repeated ids: every row is returned.
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import ahocorasick
 import pyarrow as pa
@@ -86,26 +90,45 @@ def _searcher(notices: tuple[tuple[str, str], ...]):
     return automaton, patterns
 
 
+def _best(pattern: regex.Pattern, words: str, lo: int, hi: int) -> tuple[int, int, int, int, int] | None:
+    """(edits, start, end, lo, hi) of the best match between two places."""
+    m = pattern.search(words, lo, hi)
+    return m and (sum(m.fuzzy_counts), m.start(), m.end(), lo, hi)
+
+
+def _disjoint(pattern: regex.Pattern, words: str, windows: set[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
+    """(start, end, edits) of matches that don't overlap, those with the fewest edits first."""
+    heap = [m for lo, hi in windows if (m := _best(pattern, words, lo, hi))]
+    heapify(heap)
+    starts: list[int] = []
+    kept: list[tuple[int, int, int]] = []  # both in order
+    while heap:
+        edits, start, end, lo, hi = heappop(heap)
+        at = bisect_left(starts, end)
+        if at and kept[at - 1][1] > start:
+            a, b, _ = kept[at - 1]
+            for part in ((lo, a), (b, hi)):
+                if part[1] - part[0] >= least and (m := _best(pattern, words, *part)):
+                    heappush(heap, m)
+        else:
+            starts.insert(at, start)
+            kept.insert(at, (start, end, edits))
+    return kept
+
+
 def fuzzy_matches(words: str, notices: tuple[tuple[str, str], ...]) -> list[tuple[str, int, int, int, int]]:
     """(label, start, end, edits, notice length): the spans of notices with a bounded number of edits."""
     automaton, patterns = _searcher(notices)
-    areas: dict[int, list[list[int]]] = {}
+    windows: dict[int, set[tuple[int, int]]] = {}
     for end, (size, where) in automaton.iter(words):
         for i, offset in where:
             _, n, k, _ = patterns[i]
             at = end + 1 - size - offset
-            lo, hi = max(0, at - k), min(len(words), at + n + k)
-            last = areas.setdefault(i, [])
-            if last and lo <= last[-1][1]:
-                last[-1][1] = max(last[-1][1], hi)
-            else:
-                last.append([lo, hi])
+            windows.setdefault(i, set()).add((max(0, at - k), min(len(words), at + n + k)))
     out = []
-    for i, spans in areas.items():
+    for i, places in windows.items():
         pattern, n, k, label = patterns[i]
-        for lo, hi in spans:
-            for m in pattern.finditer(words, lo, hi):
-                out.append((label, m.start(), m.end(), sum(m.fuzzy_counts), n))
+        out += [(label, a, b, e, n) for a, b, e in _disjoint(pattern, words, places, n - k)]
     return sorted(set(out), key=lambda m: (m[1], m[2], m[0]))
 
 

@@ -52,6 +52,26 @@ def test_every_notice_is_found_with_its_edits():
     assert L.fuzzy_matches("no notice stands in this text at all but rights", notices) == []
 
 
+def test_every_notice_of_a_row_of_notices_is_found():
+    rng = random.Random(11)
+    for notice, label in L.NOTICES.items():
+        notices = ((notice, label),)
+        worse = notice[:7] + notice[8:]
+        for text in (f"{worse} {notice}", f"{notice} {worse}", f"{worse} {notice} {worse}"):
+            found = L.fuzzy_matches(text, notices)
+            assert sorted(m[3] for m in found) == [0, *[1] * (len(found) - 1)] and len(found) == 1 + text.count(worse), text
+        for _ in range(10):
+            k = L.max_edits(notice)
+            # edits inside the copies, so that each copy's place is certain
+            copies = [notice[0] + edited(rng, notice[1:-1], rng.randrange(k + 1)) + notice[-1] for _ in range(8)]
+            found = L.fuzzy_matches(" ".join(copies), notices)
+            at = 0
+            for copy in copies:
+                assert any(m[1] < at + len(copy) and m[2] > at for m in found), copies
+                at += len(copy) + 1
+            assert len(found) == len(copies) and all(a[2] <= b[1] for a, b in zip(found, found[1:])), copies
+
+
 def test_spans_are_words(spark):
     df = documents(spark, ["one two All rights reservd end", "All rights reserved"])
     a, b = sorted(L.license_scan(df).collect(), key=lambda r: r["doc_id"])
