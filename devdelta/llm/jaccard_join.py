@@ -26,7 +26,8 @@ are compared.  Linked sets agree in several words, so a set whose words in quest
 are fewer than that has no such partner, and any other need only be joined by
 its rarest (texts that merely share a passage agree in a few, common words).  So
 no group of similar or equal texts is expanded into its pairs, and no link
-between components is lost.
+between components is lost.  The result is the components: links inside a
+component are not all found, so it gives neither the list nor the number of links.
 
 Hot groups: rows are distinct per batch before they are shuffled; a word's rows
 are read as a sorted stream, never held; joins are on plain equality, so Spark
