@@ -8,9 +8,11 @@ gives the rest to its siblings, in proportion to their weights, until all are
 full or nothing is left; only what no sibling can take goes up to the parent,
 which offers it to its own siblings in the same way.
 
-The tree has one row per (domain, language, source) and is worked out on the
-driver; it comes from a pre-aggregated count.  More leaves than ``max_leaves``
-raise an error: the weights' table, not the corpus, decides their number.
+The tree has one row per (domain, language, source) and comes from a
+pre-aggregated count.  Up to ``max_leaves`` leaves it is worked out on the driver;
+above, level by level in Spark: siblings fill up in the order of capacity over
+weight, so sums over a parent's distinct values of that ratio tell which are full
+and what the others get for each unit of weight.
 
 Each leaf takes a prefix, in tokens, of its documents.  Every epoch has its own
 order, seeded: by a hash of seed, epoch and document.  Epochs before the last
@@ -98,6 +100,37 @@ def leaf_budgets(node: Node, path: tuple[str, ...] = ()) -> list[tuple[tuple[str
     return [x for n, c in sorted(node.children.items()) for x in leaf_budgets(c, (*path, n))]
 
 
+def shared_leaves(leaves: DataFrame, fraction: float, weights: dict[tuple[str, ...], float] | None, epochs: int) -> DataFrame:
+    """LEAF, budget, held: what ``share_out`` gives to ``leaves`` (LEAF, tokens), by grouped aggregations."""
+    spark = leaves.sparkSession
+    total = leaves.agg(F.sum("tokens")).first()[0]
+    top = F.lit(0).alias("top")  # names the root
+    above = leaves.select(top).limit(1).withColumn("offered", F.lit(min(fraction * total, float(total * epochs))))
+    for depth in range(1, len(LEAF) + 1):
+        parent, path = ["top", *LEAF[: depth - 1]], ["top", *LEAF[:depth]]
+        nodes = leaves.groupBy(top, *LEAF[:depth]).agg(F.sum("tokens").alias("tokens"))
+        given = [(0, *p, float(w)) for p, w in (weights or {}).items() if len(p) == depth]
+        if given:
+            ddl = ", ".join(["top int", *(f"{c} string" for c in LEAF[:depth]), "weight double"])
+            nodes = nodes.join(spark.createDataFrame(given, ddl), path, "left")
+        else:
+            nodes = nodes.withColumn("weight", F.lit(None).cast("double"))
+        nodes = nodes.withColumn("weight", F.coalesce("weight", F.lit(1.0))).where("weight > 0 and tokens > 0")
+        nodes = nodes.withColumn("capacity", F.col("tokens") * F.lit(float(epochs)))
+        nodes = staged(nodes.withColumn("ratio", F.expr("capacity / weight")), "mix-nodes")
+        # One row for each ratio: with equal weights at most the root of twice the tokens.
+        steps = nodes.groupBy(*parent, "ratio").agg(F.sum("capacity").alias("c"), F.sum("weight").alias("w"))
+        rising = Window.partitionBy(*parent).orderBy("ratio").rowsBetween(Window.unboundedPreceding, -1)
+        falling = Window.partitionBy(*parent).orderBy(F.desc("ratio")).rowsBetween(Window.unboundedPreceding, 0)
+        steps = steps.select(*parent, "ratio", F.coalesce(F.sum("c").over(rising), F.lit(0.0)).alias("before"), F.sum("w").over(falling).alias("rest"))
+        steps = steps.join(above.select(*parent, "offered"), parent).withColumn("unit", F.expr("(offered - before) / rest"))
+        # Siblings that are not full share by weight; null if all are full.
+        units = steps.groupBy(*parent).agg(F.max(F.expr("CASE WHEN unit < ratio THEN unit END")).alias("unit"))
+        shared = nodes.join(F.broadcast(units) if depth == 1 else units, parent)  # one row for the root
+        above = staged(shared.select(*path, "tokens", F.expr("least(capacity, unit * weight)").alias("offered")), "mix-offers")
+    return above.select(*LEAF, F.expr("cast(floor(offered + 1e-6) as long)").alias("budget"), F.col("tokens").alias("held"))
+
+
 def token_count(text: Column) -> Column:
     """Words between white space, one at least."""
     return F.greatest(F.size(F.split(F.trim(F.coalesce(text, F.lit(""))), r"\s+")), F.lit(1)).cast("long")
@@ -136,21 +169,25 @@ def mix(
     )
     spark = docs.sparkSession
     rows = staged(named, "mix-tokens")
-    leaves = rows.groupBy(*LEAF).agg(F.sum("tokens").alias("tokens")).limit(max_leaves + 1).collect()
-    if len(leaves) > max_leaves:
-        raise ValueError(f"more than {max_leaves} leaves")
-    root = tree([((r["domain"], r["language"], r["source_name"]), r["tokens"]) for r in leaves], weights)
-    share_out(root, fraction * root.tokens, epochs)
-    budgets = [(*path, b) for path, b in leaf_budgets(root) if path]
-    budget = spark.createDataFrame(budgets, "domain string, language string, source_name string, budget long")
-    held = spark.createDataFrame(
-        [(r["domain"], r["language"], r["source_name"], r["tokens"]) for r in leaves],
-        "domain string, language string, source_name string, held long",
-    )
+    counted = rows.groupBy(*LEAF).agg(F.sum("tokens").alias("tokens"))
+    leaves = counted.limit(max_leaves + 1).collect()
+    if many := len(leaves) > max_leaves:
+        shares = shared_leaves(staged(counted, "mix-leaves"), fraction, weights, epochs)
+    else:
+        root = tree([((r["domain"], r["language"], r["source_name"]), r["tokens"]) for r in leaves], weights)
+        share_out(root, fraction * root.tokens, epochs)
+        budgets = [(*path, b) for path, b in leaf_budgets(root) if path]
+        budget = spark.createDataFrame(budgets, "domain string, language string, source_name string, budget long")
+        held = spark.createDataFrame(
+            [(r["domain"], r["language"], r["source_name"], r["tokens"]) for r in leaves],
+            "domain string, language string, source_name string, held long",
+        )
+        shares = budget.join(held, LEAF)
     # An epoch's budget: what is left of the leaf's after the whole epochs before it.
-    per_epoch = budget.join(held, LEAF).select(*LEAF, "held", "budget", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
+    per_epoch = shares.select(*LEAF, "held", "budget", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
     per_epoch = per_epoch.withColumn("allowed", F.least("held", F.col("budget") - F.col("epoch") * F.col("held")))
-    per_epoch = F.broadcast(per_epoch.where("allowed > 0").select(*LEAF, "epoch", "allowed"))  # max_leaves * epochs rows
+    per_epoch = per_epoch.where("allowed > 0").select(*LEAF, "epoch", "allowed")
+    per_epoch = per_epoch if many else F.broadcast(per_epoch)  # max_leaves * epochs rows
 
     order = F.xxhash64(F.lit(seed), F.col("epoch"), F.col("doc_id"), F.col("content"))
     taken = rows.join(per_epoch, LEAF).withColumn("order", order)

@@ -56,6 +56,23 @@ def test_leaves_take_a_prefix_of_seeded_epochs(spark):
     assert ids[0] == ids[1] != ids[2]
 
 
+def test_more_leaves_than_the_driver_takes(spark):
+    rng = random.Random(2)
+    held = {(f"d{rng.randrange(4)}", f"l{rng.randrange(3)}", f"s{i}"): rng.choice([1, 5, 5, 40, 300]) for i in range(60)}
+    weights = {("d1",): 3.0, ("d2", "l0"): 0.25, **{p: rng.choice([0.0, 0.5, 2.0]) for p in list(held)[::4]}}
+    leaves = spark.createDataFrame([(*p, t) for p, t in held.items()], "domain string, language string, source_name string, tokens long")
+    for fraction, given, epochs in ((0.3, weights, 1), (0.9, weights, 2), (2.0, None, 1)):
+        root = M.tree(list(held.items()), given)
+        M.share_out(root, fraction * root.tokens, epochs)
+        got = {tuple(r)[:3]: (r["budget"], r["held"]) for r in M.shared_leaves(leaves, fraction, given, epochs).collect()}
+        assert got == {p: (b, held[p]) for p, b in M.leaf_budgets(root) if p in got}
+        assert all(b == 0 for p, b in M.leaf_budgets(root) if p not in got)
+    texts = [words(rng, rng.randrange(1, 30)) for _ in range(100)]
+    df = documents(spark, texts)
+    few, many = (sorted(M.mix(df, 0.9, {("src", "en"): 4.0}, epochs=2, max_leaves=n).collect()) for n in (100, 3))
+    assert few == many
+
+
 def test_awkward_and_empty(spark):
     df = awkward(spark)
     got = M.mix(df, 1.0).collect()
