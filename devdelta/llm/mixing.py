@@ -16,8 +16,9 @@ and what the others get for each unit of weight.
 
 Each leaf takes a prefix, in tokens, of its documents.  Every epoch has its own
 order, seeded: by a hash of seed, epoch and document.  Epochs before the last
-are taken whole; of the last, the documents that the budget still pays for
-whole.  Prefix sums are made in two steps (sums of hash-ordered buckets, then
+are taken whole; of the last, the documents up to the first that the budget
+doesn't pay for whole: less than its tokens stay unspent, and no sibling gets them.
+Prefix sums are made in two steps (sums of hash-ordered buckets, then
 sums inside the one bucket where the budget ends), so a source that holds a
 third of all rows is never ordered by one task.
 

@@ -56,6 +56,23 @@ def test_leaves_take_a_prefix_of_seeded_epochs(spark):
     assert ids[0] == ids[1] != ids[2]
 
 
+def test_a_leaf_leaves_less_unspent_than_a_document_left_out(spark):
+    rng = random.Random(5)
+    texts = [words(rng, rng.choice([1, 10, 500])) for _ in range(150)]
+    tokens, leaf = sizes(texts), lambda i: ("src", ["en", "de", ""][i % 3], f"src{i % 5}")
+    held, taken, left_out = Counter(), Counter(), Counter()
+    got = {r["doc_id"] for r in M.mix(documents(spark, texts), 0.5).collect()}
+    for i, t in enumerate(tokens):
+        held[leaf(i)] += t
+        if i in got:
+            taken[leaf(i)] += t
+        else:
+            left_out[leaf(i)] = max(left_out[leaf(i)], t)
+    root = M.tree(list(held.items()))
+    M.share_out(root, 0.5 * sum(tokens), 1)
+    assert all(0 <= b - taken[p] < max(left_out[p], 1) for p, b in M.leaf_budgets(root))
+
+
 def test_more_leaves_than_the_driver_takes(spark):
     rng = random.Random(2)
     held = {(f"d{rng.randrange(4)}", f"l{rng.randrange(3)}", f"s{i}"): rng.choice([1, 5, 5, 40, 300]) for i in range(60)}
