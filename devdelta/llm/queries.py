@@ -15,9 +15,12 @@ from devdelta.llm.mixing import LEAF, mix
 from devdelta.llm.packing import pack
 from devdelta.llm.quality_qda import quality_scores
 from devdelta.llm.quality_rules import quality_rules
+from devdelta.llm.resampling import resample
+from devdelta.llm.secret_scan import secret_scan
 from devdelta.llm.suffix_dedup import remove_repeats
 from devdelta.llm.toxicity import toxicity_scores
 from devdelta.llm.warc import archive_history
+from devdelta.llm.whitening import whitened_vectors
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -66,6 +69,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_vectors(table(spark, sf_dir, "embeddings"))
+
+
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+def op13_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_qda": op1_quality_qda,
     "op2_jaccard_join": op2_jaccard_join,
@@ -77,6 +93,9 @@ QUERIES: dict[str, Query] = {
     "op8_quality_rules": op8_quality_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_toxicity": op10_toxicity,
+    "op11_whitening": op11_whitening,
+    "op12_resampling": op12_resampling,
+    "op13_secret_scan": op13_secret_scan,
 }
 
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"

@@ -7,7 +7,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11)) and set(queries.ORACLES) <= set(queries.QUERIES)
+    assert numbers == list(range(1, 14)) and set(queries.ORACLES) <= set(queries.QUERIES)
     assert [n for n, _ in C.STAGES] == ["toxicity", "exact_dedup", "near_duplicates", "mixing", "packing"]
 
 
