@@ -64,6 +64,10 @@ class Settings:
     # Names of the old-side group text; None: the same as ``linked``.
     old_linked: tuple[str, ...] | None = None
     idle_ttl_ms: int | None = None
+    # What the idle time of path B's stream is measured on: "event" or "processing" (the wall clock).
+    idle_clock: str = "event"
+    # Event time in one slice of a stream's pending rows (see ``streaming.pending``).
+    slice_ms: int = PATH_A_BOUND_MS
     # Path A key: three separate columns (default) or, for byte parity, the
     # original single text ``productKey_deviceName_eventName`` (where a ``_``
     # inside a part can make two different keys collide).

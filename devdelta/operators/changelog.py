@@ -23,6 +23,7 @@ from devdelta.schema import CHANGE_EVENT_COLUMNS
 KEY_TEXT = ("productKey", "deviceName")
 KEYS = ["_k_productKey", "_k_deviceName", "eventName"]
 JOINED_KEYS = ["_k_joined"]
+BASE_TIME, BASE_VALUE = "_base_t", "_base_value"
 
 
 def key_names(settings: Settings = Settings()) -> list[str]:
@@ -40,6 +41,9 @@ def key_exprs(settings: Settings = Settings()) -> list:
 
 
 def _keyed(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """With the key columns; rows that have them already keep them, and so the way they are dealt."""
+    if set(key_names(settings)) <= set(events.columns):
+        return events
     return events.select("*", *key_exprs(settings))
 
 
@@ -58,7 +62,11 @@ def first_seen(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
 
 def change_log(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """T6 + T7: the change log of property events (``property_events`` rows)."""
+    """T6 + T7: the change log of property events (``property_events`` rows).
+
+    Rows may carry, as ``BASE_VALUE``, the baseline of their key from an earlier
+    run: the key's first row is then compared with it instead of being emitted as first seen.
+    """
     lagged = previous_in_key(
         _keyed(events, settings),
         keys=key_names(settings),
@@ -68,9 +76,42 @@ def change_log(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
         bucket_ms=settings.lag_bucket_ms,
         dedup_same_time=True,
     )
-    prev_value = F.col(PREV)["eventValue"]
-    emit = F.col(FIRST) | changed_against(prev_value, F.col("eventValue"), F.col("eventName"))
-    out = lagged.where(emit).withColumn(
-        "eventOriValue", F.when(F.col(FIRST), F.col("eventOriValue")).otherwise(prev_value)
-    )
+    prev_value, first = F.col(PREV)["eventValue"], F.col(FIRST)
+    if BASE_VALUE in events.columns:
+        prev_value = F.when(first, F.col(BASE_VALUE)).otherwise(prev_value)
+        first = first & F.col(BASE_TIME).isNull()
+    emit = first | changed_against(prev_value, F.col("eventValue"), F.col("eventName"))
+    out = lagged.where(emit).withColumn("eventOriValue", F.when(first, F.col("eventOriValue")).otherwise(prev_value))
     return out.select(*CHANGE_EVENT_COLUMNS)
+
+
+def with_baseline(events: DataFrame, last: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
+    """(rows newer than their key's baseline, with BASE_TIME and BASE_VALUE; the late rest).  ``last``: see ``baseline``.
+
+    One join on the key; the baseline has one row a key, so Spark can split a hot key's rows.
+    """
+    keys = key_names(settings)
+    joined = _keyed(events, settings).join(
+        last.select(*keys, F.col("t").alias(BASE_TIME), F.col("value").alias(BASE_VALUE)), keys, "left"
+    )
+    late = F.coalesce(F.col("gmtCreate") <= F.col(BASE_TIME), F.lit(False))
+    return joined.where(~late), joined.where(late).select(*CHANGE_EVENT_COLUMNS, *ARRIVAL)
+
+
+def later_baseline(last: DataFrame, fresh: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The baseline after ``fresh`` rows, all newer than ``last``."""
+    keys = key_names(settings)
+    both = last.select(*keys, "t", "value").unionByName(baseline(fresh, settings))
+    return both.groupBy(*keys).agg(F.max_by(F.struct("t", "value"), "t").alias("_last")).select(*keys, "_last.t", "_last.value")
+
+
+def baseline(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The row of every key that the next one will be compared with, as key columns, ``t`` and ``value``.
+
+    The newest time, of equal ones the first arrival; aggregated before the shuffle.
+    """
+    keyed = _keyed(events, settings).where(F.col("gmtCreate").isNotNull())
+    newest = F.struct("gmtCreate", *[(-F.col(c)).alias(c) for c in ARRIVAL])
+    last = F.max_by(F.struct(F.col("gmtCreate").alias("t"), F.col("eventValue").alias("value")), newest)
+    keys = key_names(settings)
+    return keyed.groupBy(*keys).agg(last.alias("_last")).select(*keys, "_last.t", "_last.value")

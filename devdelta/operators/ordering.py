@@ -28,11 +28,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 FIRST = "_first"  # first row of its key
+BUCKET = "_bucket"  # the time bucket; taken as it is where the rows have it (a table that is bucketed by it)
 PREV = "_prev"  # struct of the carried columns of the previous row (NULL if first)
 
 
-def _bucket(t: Column, bucket_ms: int) -> Column:
-    return F.floor(t / F.lit(bucket_ms)).cast("long")
+def bucket_of(time_col: str, bucket_ms: int) -> Column:
+    return F.floor(F.col(time_col) / F.lit(bucket_ms)).cast("long")
 
 
 def previous_in_key(
@@ -53,9 +54,11 @@ def previous_in_key(
     """
     keys = list(keys)
     cols = list(df.columns)
-    part = keys + ["_bucket"]
+    part = keys + [BUCKET]
     order = [F.col(time_col)] + [F.col(c) for c in ties]
-    rows = df.where(F.col(time_col).isNotNull()).withColumn("_bucket", _bucket(F.col(time_col), bucket_ms))
+    rows = df.where(F.col(time_col).isNotNull())
+    if BUCKET not in cols:
+        rows = rows.withColumn(BUCKET, bucket_of(time_col, bucket_ms))
     w = Window.partitionBy(*part).orderBy(*order)
     if dedup_same_time:
         rows = rows.withColumn("_dup", F.coalesce(F.lag(time_col).over(w) == F.col(time_col), F.lit(False)))

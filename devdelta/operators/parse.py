@@ -1,7 +1,11 @@
 """Message ingestion: gate, envelope, property explosion, linked group.
 
 S1 P1 P2 P3 G1 G2 A1 F1 F2 F6 F11.  Everything here is a narrow, per-message
-transformation (no shuffle); the JSON text is parsed exactly once.
+transformation (no shuffle).  A regular message's JSON text is parsed once; only
+messages with irregular items, or without a single envelope field, are looked at again.
+
+With ``observe`` the rows and properties that are left out are counted by cause in
+the same pass, as observed metrics of that name (``streaming.drops`` reads them).
 """
 
 from __future__ import annotations
@@ -49,30 +53,67 @@ def parse_messages(raw: DataFrame, ddl: str = SNAPSHOT_PARSE_DDL) -> DataFrame:
     )
 
 
-def snapshot_messages(raw: DataFrame) -> DataFrame:
+def _drop_causes() -> Column:
+    """Why the gate drops a parsed message, NULL if it doesn't: the first of its faults."""
+    fields = [F.col("m")[f] for f in ENVELOPE_TEXT_FIELDS]
+    is_object = F.coalesce(*(f.isNotNull() | F.lit(None) for f in fields)) | F.json_object_keys("_text").isNotNull()
+    names_items = F.expr("m.items IS NOT NULL OR coalesce(array_contains(json_object_keys(_text), 'items'), false)")
+    missing = F.lit(False)
+    for f in fields:
+        missing = missing | f.isNull()
+    no_items = F.expr(f"coalesce(size(m.items) = 0, NOT ({ITEMS_ARE_OBJECT}), true)")
+    return (
+        F.when(~F.col("_key_ok"), "bad_key")
+        .when(~F.coalesce(is_object, F.lit(False)), "not_object")
+        .when(missing | ~names_items, "missing_field")
+        .when(no_items, "no_items")
+    )
+
+
+MESSAGE_CAUSES = ("bad_key", "not_object", "missing_field", "no_items")
+PROPERTY_CAUSES = ("property_not_object", "property_incomplete")
+ITEMS_TEXT = "get_json_object(_text, '$.items')"
+ITEMS_ARE_OBJECT = f"{ITEMS_TEXT} LIKE '{{%' AND schema_of_variant(from_json(_text, 'items VARIANT').items) LIKE 'OBJECT%'"
+
+
+def snapshot_messages(raw: DataFrame, observe: str | None = None) -> DataFrame:
     """P1 + P2 (path A): messages that carry all seven envelope fields.
 
     Envelope fields are text only when the JSON node is a string (else NULL).
     A message whose ``items`` is null or not an object yields no properties,
     so it is dropped here already.  A property that is not an object is left
-    out; the others of its message stay (``skipped_properties`` counts them).
+    out; the others of its message stay (``skipped_properties`` names them).
     """
     p = parse_messages(raw)
+    if observe:
+        counts = [F.count_if(F.col("_cause") == c).alias(c) for c in MESSAGE_CAUSES]
+        p = p.withColumn("_cause", _drop_causes()).observe(f"{observe}_messages", F.count("*").alias("messages"), *counts)
     gate = F.col("_key_ok")
     for f in ENVELOPE_TEXT_FIELDS:
         gate = gate & F.col("m")[f].isNotNull()
-    apart = items_map_sql("get_json_object(_text, '$.items')", "value: VARIANT, time: VARIANT")
-    is_object = "get_json_object(_text, '$.items') LIKE '{%' AND schema_of_variant(from_json(_text, 'items VARIANT').items) LIKE 'OBJECT%'"
-    items = f"CASE WHEN m.items IS NOT NULL THEN {dedup_items_sql('m.items')} WHEN {is_object} THEN {apart} END"
-    return (
+    apart = items_map_sql(ITEMS_TEXT, "value: VARIANT, time: VARIANT")
+    items = f"CASE WHEN m.items IS NOT NULL THEN {dedup_items_sql('m.items')} WHEN {ITEMS_ARE_OBJECT} THEN {apart} END"
+    # Names of irregular items, of which those that hold no object are left out.
+    named = f"CASE WHEN m.items IS NULL THEN size(array_distinct(json_object_keys({ITEMS_TEXT}))) END"
+    messages = (
         p.where(gate)
         .select(
             *[text_value(f"m.{f}").alias(f) for f in ENVELOPE_TEXT_FIELDS],
             F.expr(items).alias("items"),
             *[F.col(c) for c in ARRIVAL],
+            *([F.expr(named).alias("_named")] if observe else []),
         )
         .where(F.col("items").isNotNull())
     )
+    if not observe:
+        return messages
+    usable = "size(filter(map_entries(items), e -> e.value.value IS NOT NULL AND e.value.time IS NOT NULL))"
+    left_out = {
+        "property_not_object": "coalesce(_named - size(items), 0)",
+        "property_incomplete": f"size(items) - {usable}",
+    }
+    counts = [F.coalesce(F.sum(F.expr(left_out[c])), F.lit(0)).cast("long").alias(c) for c in PROPERTY_CAUSES]
+    return messages.observe(f"{observe}_properties", *counts).drop("_named")
 
 
 def skipped_properties(raw: DataFrame) -> DataFrame:

@@ -49,3 +49,10 @@ def diff_rows(lag_view: DataFrame, settings: Settings = Settings()) -> DataFrame
 
 def snapshot_diff(table: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return diff_rows(snapshot_lag(table, settings), settings)
+
+
+def baseline(table: DataFrame) -> DataFrame:
+    """The last snapshot of every device, as key columns, ``t`` and ``value`` (its items)."""
+    keyed = table.select("*", *key_columns("productKey", "iotId")).where(F.col("gmtCreate").isNotNull())
+    last = F.max_by(F.struct(F.col("gmtCreate").alias("t"), F.col("items").alias("value")), F.struct("gmtCreate", *ARRIVAL))
+    return keyed.groupBy(*DEVICE_KEYS).agg(last.alias("_last")).select(*DEVICE_KEYS, "_last.t", "_last.value")

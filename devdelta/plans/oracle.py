@@ -8,7 +8,7 @@ rows of a message are computed directly, the linked text with an ordered
 
 from __future__ import annotations
 
-from devdelta.config import LINKED_PROPERTIES, PATH_B_IDLE_TTL_MS
+from devdelta.config import LINKED_PROPERTIES, PATH_A_BOUND_MS, PATH_B_IDLE_TTL_MS
 from devdelta.sources.fixtures import EVENT_PROPERTIES, N_PARTITIONS
 
 _LINKED = ", ".join(f"'{n}'" for n in LINKED_PROPERTIES)
@@ -240,11 +240,78 @@ FROM env e JOIN items_json i ON i.user_id = e.user_id AND i.day = e.day"""
         "SELECT " + EVENT_COLS + " FROM changes"
     ),
     "stream_late": _with(
-        """
-, bounds AS (SELECT min(day) AS lo, max(day) AS hi FROM msg)
-SELECT """ + EVENT_COLS + """ FROM pe, bounds
-WHERE pe.day < bounds.lo + CAST(floor((bounds.hi - bounds.lo) / 2) AS INTEGER)"""
+        f"""
+, bounds AS (SELECT min(day) AS lo, max(day) AS hi FROM msg),
+mid AS (SELECT lo + CAST(floor((hi - lo) / 2) AS INTEGER) AS mid FROM bounds),
+wm AS (SELECT max(ms) - {PATH_A_BOUND_MS} - 1 AS wm FROM ev, mid WHERE day >= mid),
+timed AS (SELECT ev.*, wm, wm - 1 + event_id % 3 AS t FROM ev, wm)
+SELECT {EVENT_COLS} FROM pe, mid WHERE pe.day < mid
+UNION ALL
+SELECT 'T' || CAST(user_id % 3 AS VARCHAR), 'iot' || CAST(user_id AS VARCHAR), CAST(event_id AS VARCHAR), '{{}}',
+       'P' || CAST(user_id % 5 AS VARCHAR), t, 'dev' || CAST(user_id AS VARCHAR), 'Edge',
+       'Edge:' || CAST(code AS VARCHAR), 'Edge:'
+FROM timed WHERE t <= wm"""
+    ),
+    "stream_min_watermark": _with(
+        f"""
+, bounds AS (SELECT min(day) AS lo, max(day) AS hi FROM msg),
+cut AS (SELECT lo + CAST(floor((hi - lo) / 2) AS INTEGER) AS mid, lo + CAST(floor((hi - lo) / 4) AS INTEGER) AS quarter FROM bounds),
+placed AS (
+  SELECT pe.*, user_id % {N_PARTITIONS} < {N_PARTITIONS // 2} AS fast,
+         CASE WHEN user_id % {N_PARTITIONS} < {N_PARTITIONS // 2} THEN day >= mid ELSE day >= quarter AND day < mid END AS early
+  FROM pe, cut
+),
+wm AS (
+  SELECT least((SELECT max(gmtCreate) FROM placed WHERE early AND fast), (SELECT max(gmtCreate) FROM placed WHERE early AND NOT fast))
+         - {PATH_A_BOUND_MS} - 1 AS wm
+)
+SELECT {EVENT_COLS} FROM placed, wm WHERE NOT early AND gmtCreate <= wm"""
     ),
+    "stream_from_backfill": _with(f"SELECT {EVENT_COLS} FROM changes"),
+    "stream_committed": _with(f"SELECT {EVENT_COLS} FROM changes"),
+    "incremental_change_log": _with(f"SELECT {EVENT_COLS} FROM changes"),
+    "bucketed_change_log": _with(f"SELECT {EVENT_COLS} FROM changes"),
+    "stream_snapshots_from_backfill": _with_b("SELECT * FROM diff"),
+    "sql_lateral_diff": _with_b("SELECT * FROM diff"),
+    "sql_insert_into": _with_b(
+        "SELECT deviceType, iotId, requestId, checkFailedData, productKey, gmtCreate, deviceName, "
+        "event_name AS eventName, event_value AS eventValue, event_ori_value AS eventOriValue FROM diff"
+    ),
+    "stream_drop_counts": """
+WITH k AS (SELECT event_id % 23 AS kind FROM events)
+SELECT 'bad_key' AS cause, count(*) AS n FROM k WHERE kind = 2
+UNION ALL SELECT 'not_object', count(*) FROM k WHERE kind IN (3, 4, 5)
+UNION ALL SELECT 'missing_field', count(*) FROM k WHERE kind BETWEEN 6 AND 12
+UNION ALL SELECT 'no_items', count(*) FROM k WHERE kind IN (13, 14, 15)
+UNION ALL SELECT 'property_not_object', count(*) FROM k WHERE kind = 16
+UNION ALL SELECT 'property_incomplete', count(*) FROM k WHERE kind IN (17, 18)
+UNION ALL SELECT 'bad_time', count(*) FROM k WHERE kind = 19""",
+    "gate_change_log": f"""
+WITH ev AS (
+  SELECT user_id, event_id, event_id % 23 AS kind, epoch_us(ts) // 1000 AS ms,
+         CAST(CAST(json_extract(props, '$.k') AS BIGINT) % 4 AS VARCHAR) AS code, user_id % {N_PARTITIONS} AS part
+  FROM events
+),
+p AS (
+  SELECT *, 'Mode' AS name, CASE kind WHEN 19 THEN ms * 1000000 ELSE ms END AS t,
+         CASE kind WHEN 20 THEN '123456789012345678' || code ELSE code END AS v
+  FROM ev WHERE kind IN (0, 1, 16, 17, 18, 19, 20)
+  UNION ALL
+  SELECT ev.*, n.name, ms, code FROM ev, (VALUES ('MultiStageName'), ('RStOvState')) n(name) WHERE kind IN (21, 22)
+),
+d AS (SELECT *, row_number() OVER (PARTITION BY user_id, name, t ORDER BY part, event_id) AS dup FROM p),
+e AS (
+  SELECT *, CASE WHEN name = 'Mode' THEN 'Mode:' || v ELSE 'MultiStageName:' || v || ',RStOvState:' || v END AS value,
+         CASE WHEN name = 'Mode' THEN 'Mode:' ELSE 'MultiStageName:,RStOvState:' END AS ori
+  FROM d WHERE dup = 1
+),
+l AS (SELECT *, lag(v) OVER w AS prev_v, lag(value) OVER w AS prev, row_number() OVER w AS rn
+      FROM e WINDOW w AS (PARTITION BY user_id, name ORDER BY t))
+SELECT 'T' || CAST(user_id % 3 AS VARCHAR) AS deviceType, 'iot' || CAST(user_id AS VARCHAR) AS iotId,
+       CAST(event_id AS VARCHAR) AS requestId, '{{}}' AS checkFailedData, 'P' || CAST(user_id % 5 AS VARCHAR) AS productKey,
+       t AS gmtCreate, 'dev' || CAST(user_id AS VARCHAR) AS deviceName, name AS eventName, value AS eventValue,
+       CASE WHEN rn = 1 THEN ori ELSE prev END AS eventOriValue
+FROM l WHERE rn = 1 OR v <> prev_v""",
     "stream_snapshot_diff": _with_b(
         "SELECT * FROM diff"
     ),

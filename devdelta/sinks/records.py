@@ -36,7 +36,12 @@ def table_event_records(diff_view: DataFrame) -> DataFrame:
         F.col("event_value").alias("eventValue"),
         F.col("event_ori_value").alias("eventOriValue"),
     )
-    return renamed.select(
+    return column_event_records(renamed)
+
+
+def column_event_records(events: DataFrame) -> DataFrame:
+    """The ten columns of ``events`` in column order, NULLs written, no key."""
+    return events.select(
         F.lit(None).cast("string").alias("key"),
         F.to_json(F.struct(*[F.col(c) for c in CHANGE_EVENT_COLUMNS]), {"ignoreNullFields": "false"}).alias("value"),
     )

@@ -4,11 +4,12 @@ Each target is a callable ``(batch_df, batch_id) -> None`` used inside
 ``foreachBatch``.  ``split_writer`` writes the main and the late rows of one
 micro-batch from a single pass over the batch (persisted once, written twice).
 
-Delivery: all targets are at-least-once with the means to drop repeats.  The
-file target writes a folder per batch id; a replayed batch overwrites its own
-folder (a reader may find that folder missing meanwhile).  Kafka records carry
-the batch id in a header, JDBC rows in a column, besides the idempotent key
-(productKey, deviceName, eventName, gmtCreate).
+Delivery: ``commits.CommittedTable`` shows every batch once, at every moment.
+The other targets are at-least-once with the means to drop repeats: the plain
+file target writes a folder per batch id that a replayed batch overwrites (a
+reader may find it missing meanwhile), Kafka records carry the batch id in a
+header, JDBC rows in a column, besides the idempotent key (productKey,
+deviceName, eventName, gmtCreate).
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from devdelta.schema import CHANGE_EVENT_COLUMNS
-from devdelta.sinks.records import as_kafka, keyed_event_records
+from devdelta.sinks.records import as_kafka, column_event_records, keyed_event_records
 
 Target = Callable[[DataFrame, int], None]
 
@@ -37,18 +38,19 @@ def file_target(path: str, fmt: str = "parquet") -> Target:
     return write
 
 
-def kafka_records(df: DataFrame, topic: str, batch_id: int) -> DataFrame:
-    """Keyed change events as Kafka columns, with the batch id as a header."""
+def kafka_records(df: DataFrame, topic: str, batch_id: int, keyed: bool = True) -> DataFrame:
+    """Change events as Kafka columns (keyed beans, or path B's layout without a key), with the batch id as a header."""
     header = F.array(F.struct(F.lit(BATCH_ID).alias("key"), F.lit(str(batch_id)).cast("binary").alias("value")))
-    return as_kafka(keyed_event_records(df), topic).withColumn("headers", header)
+    records = keyed_event_records(df) if keyed else column_event_records(df)
+    return as_kafka(records, topic).withColumn("headers", header)
 
 
-def kafka_target(bootstrap_servers: str, topic: str, options: dict | None = None) -> Target:
-    """K1/K2: keyed change events to a Kafka topic (needs the Kafka connector)."""
+def kafka_target(bootstrap_servers: str, topic: str, options: dict | None = None, keyed: bool = True) -> Target:
+    """K1/K2/K3: change events to a Kafka topic (needs the Kafka connector)."""
 
     def write(df: DataFrame, batch_id: int) -> None:
         (
-            kafka_records(df, topic, batch_id)
+            kafka_records(df, topic, batch_id, keyed)
             .write.format("kafka")
             .option("kafka.bootstrap.servers", bootstrap_servers)
             .option("includeHeaders", "true")
@@ -73,6 +75,17 @@ def jdbc_target(url: str, table: str, properties: dict) -> Target:
     return write
 
 
+def insert_target(table: str) -> Target:
+    """K3: ``INSERT INTO`` a catalog table of the ten columns, by position."""
+
+    def write(df: DataFrame, batch_id: int) -> None:
+        view = f"_batch_{table.replace('.', '_').replace('`', '')}"
+        df.select(*CHANGE_EVENT_COLUMNS).createOrReplaceTempView(view)
+        df.sparkSession.sql(f"INSERT INTO {table} SELECT * FROM {view}")
+
+    return write
+
+
 def console_target(prefix: str) -> Target:
     """K4: print every row of a batch as JSON after a prefix, on the executors' standard output."""
 
@@ -103,16 +116,16 @@ def fan_out(*targets: Target) -> Target:
 def split_writer(main: Target, late: Target | None = None, flag: str = "is_late") -> Target:
     """One pass, two outputs -- rows with ``flag`` go to ``late``.
 
-    The batch is persisted once; an output with no rows in this batch is not
-    written (the check runs on the persisted batch, and a replayed batch ends
-    in the same state).
+    The batch is persisted once; an output without rows in this batch gets an
+    empty write, which adds nothing.  (``commits.CommittedTable`` partitioned by
+    the flag writes both from one pass without persisting.)
     """
 
     def write(df: DataFrame, batch_id: int) -> None:
         df.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             for target, rows in ((main, df.where(~F.col(flag))), (late, df.where(F.col(flag)))):
-                if target is not None and not rows.isEmpty():
+                if target is not None:
                     target(rows.drop(flag), batch_id)
         finally:
             df.unpersist()

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from devdelta.config import SOURCE_TOPIC
+from devdelta.config import ENVELOPE_TEXT_FIELDS, SOURCE_TOPIC
 
 # --- fixed values: event type of the test data -> device property ----------
 # (listed in property-name order, which is also the item order of a message)
@@ -173,3 +173,65 @@ def edge_messages(events: DataFrame, topic: str = SOURCE_TOPIC, n_partitions: in
         "event_id AS offset",
         "timestamp_millis(ms) AS timestamp",
     )
+
+
+DROP_KINDS = 23
+
+
+def drop_messages(events: DataFrame, topic: str = SOURCE_TOPIC, n_partitions: int = N_PARTITIONS) -> DataFrame:
+    """One Kafka-shaped message per event, most with a fault for which it, or a property, is left out.
+
+    By ``event_id % 23``: 0 and 1 none, 2 a key that is not JSON, 3 a value that is
+    not JSON, 4 an array, 5 no value, 6-11 without the first to sixth envelope
+    field, 12 without items, 13 items empty, 14 items a text, 15 items null, 16 a
+    property beside it that is no object, 17 one without time, 18 one without
+    value, 19 a time in nanoseconds, 20 a 19-digit number, 21 and 22 two members
+    of the linked group that ``fixture_messages`` has no events for.
+    """
+    rows = event_rows(events).withColumn("kind", F.col("event_id") % DROP_KINDS)
+    mode = """concat('"Mode":{"value":', CASE kind WHEN 20 THEN concat('123456789012345678', code) ELSE CAST(code AS STRING) END,
+              ',"time":', CASE kind WHEN 19 THEN ms * 1000000 ELSE ms END, '}')"""
+    group = """concat('"MultiStageName":{"value":', code, ',"time":', ms, '},"RStOvState":{"value":', code, ',"time":', ms, '}')"""
+    beside = """CASE kind WHEN 16 THEN '"Bad":5,' WHEN 17 THEN '"Half":{"value":1},' WHEN 18 THEN '"Half":{"time":1},' ELSE '' END"""
+    items = f"""CASE WHEN kind = 12 THEN '' WHEN kind = 13 THEN ',"items":{{}}' WHEN kind = 14 THEN ',"items":"x"'
+                WHEN kind = 15 THEN ',"items":null' WHEN kind IN (21, 22) THEN concat(',"items":{{', {group}, '}}')
+                ELSE concat(',"items":{{', {beside}, {mode}, '}}') END"""
+    values = {
+        "deviceType": "concat('T', user_id % 3)",
+        "iotId": "concat('iot', user_id)",
+        "requestId": "CAST(event_id AS STRING)",
+        "checkFailedData": "'{}'",
+        "productKey": "concat('P', user_id % 5)",
+        "deviceName": "concat('dev', user_id)",
+    }
+    fields = ", ".join(
+        f"""CASE WHEN kind = {6 + i} THEN '' ELSE concat('"{name}":"', {values[name]}, '",') END"""
+        for i, name in enumerate(ENVELOPE_TEXT_FIELDS)
+    )
+    body = f"""concat('{{', {fields}, '"gmtCreate":', ms, {items}, '}}')"""
+    return rows.selectExpr(
+        "CAST(CASE WHEN kind = 2 THEN 'not json' END AS BINARY) AS key",
+        f"CAST(CASE kind WHEN 3 THEN 'no message' WHEN 4 THEN '[1]' WHEN 5 THEN NULL ELSE {body} END AS BINARY) AS value",
+        f"'{topic}' AS topic",
+        f"CAST(pmod(user_id, {int(n_partitions)}) AS INT) AS partition",
+        "event_id AS offset",
+        "timestamp_millis(ms) AS timestamp",
+    )
+
+
+def timed_messages(events: DataFrame, at_ms: int, topic: str = SOURCE_TOPIC, n_partitions: int = N_PARTITIONS) -> DataFrame:
+    """One message per event with the property ``Edge``, its time just below, at or just above ``at_ms`` (by ``event_id % 3``)."""
+    t = f"({int(at_ms)}L - 1 + event_id % 3)"
+    body = (
+        "concat('{\"deviceType\":\"T', user_id % 3, '\",\"iotId\":\"iot', user_id, '\",\"requestId\":\"', event_id, "
+        "'\",\"checkFailedData\":\"{}\",\"productKey\":\"P', user_id % 5, '\",\"gmtCreate\":', "
+        f"{t}, ',\"deviceName\":\"dev', user_id, '\",\"items\":{{\"Edge\":{{\"value\":', code, ',\"time\":', {t}, '}}}}}}')"
+    )
+    return event_rows(events).selectExpr(
+        "CAST(NULL AS BINARY) AS key",
+        f"CAST({body} AS BINARY) AS value",
+        f"'{topic}' AS topic",
+        f"CAST(pmod(user_id, {int(n_partitions)}) AS INT) AS partition",
+        "event_id AS offset",
+        f"timestamp_millis({t}) AS timestamp",
+    )

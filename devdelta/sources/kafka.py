@@ -14,6 +14,9 @@ The connector jar is not bundled; these functions only build the reader.
 
 from __future__ import annotations
 
+import json
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,10 +31,16 @@ def kafka_options(
     start: str | int = "latest",
     group_id: str | None = None,
     extra: dict | None = None,
+    partitions: Sequence[int] | None = None,
 ) -> dict[str, str]:
+    """``partitions``: read these partitions of the topic only."""
     if not bootstrap_servers:
         raise ValueError("bootstrap_servers is required")
-    opts = {"kafka.bootstrap.servers": bootstrap_servers, "subscribe": topic}
+    opts = {"kafka.bootstrap.servers": bootstrap_servers}
+    if partitions is None:
+        opts["subscribe"] = topic
+    else:
+        opts["assign"] = json.dumps({topic: list(partitions)})
     if isinstance(start, int) and not isinstance(start, bool):
         opts["startingTimestamp"] = str(start)
     elif start in ("latest", "earliest"):
@@ -47,9 +56,9 @@ def kafka_options(
 
 
 def kafka_stream(spark: SparkSession, bootstrap_servers: str, topic: str = SOURCE_TOPIC, start: str | int = "latest",
-                 group_id: str | None = None, extra: dict | None = None) -> DataFrame:
+                 group_id: str | None = None, extra: dict | None = None, partitions: Sequence[int] | None = None) -> DataFrame:
     """Unbounded Kafka-shaped rows (the stream never ends by itself)."""
-    opts = kafka_options(bootstrap_servers, topic, start, group_id, extra)
+    opts = kafka_options(bootstrap_servers, topic, start, group_id, extra, partitions)
     return spark.readStream.format("kafka").options(**opts).load().select(*[F.col(c) for c in KAFKA_COLUMNS])
 
 

@@ -3,19 +3,22 @@
 T1 T3 T4 T5 T6 T7 T8 P9.  Per key (productKey, deviceName, eventName):
 
 * a row whose time is at or below the watermark in force (once there is one)
-  is late: it is passed on flagged ``is_late`` and never touches the state;
-* other rows wait in list state until the watermark passes ``time + 1``; then
-  all due rows are released at once, in time order, a repeated time keeping
-  its first arrival (partition, offset);
+  is late: it is passed on flagged ``is_late`` and never touches the state; so
+  is a row whose time no timestamp can hold (it could never be released), and,
+  if the stream starts from a batch result, one that is not newer than its key's
+  baseline there;
+* other rows wait until the watermark passes ``time + 1``; then all due rows
+  are released at once, in time order, a repeated time keeping its first
+  arrival (partition, offset);
 * the first row ever released for the key is emitted as it is; every later
   row is compared with the row released just before it (the previous *row*,
   emitted or not) and emitted with ``eventOriValue`` = that row's
   ``eventValue`` when its code differs;
 * the newest released row stays in state as the baseline for the next release.
 
-Pending rows and the baseline share one list state, so a release is one
-state read and one write; arriving rows register a timer at their earliest
-time + 1, and a release handles every due row at once.
+The pending rows lie in slices of event time (``streaming.pending``).  With an
+initial state (``handleInitialState``) a key begins with the baseline of a batch
+run over the history: no second first-seen row.
 """
 
 from __future__ import annotations
@@ -31,27 +34,20 @@ from pyspark.sql.streaming.stateful_processor import (
 )
 
 from devdelta.functions.codes import py_changed_against
-from devdelta.functions.json_text import LAST_MS
+from devdelta.functions.json_text import FIRST_MS, LAST_MS
+from devdelta.streaming.pending import Head, PendingRows, Reader, T
 
 PAYLOAD = ("deviceType", "iotId", "requestId", "checkFailedData", "productKey", "deviceName")
-# One list per key: the pending rows plus, flagged ``base``, the last released
-# row (the baseline).  Keeping both in one list makes a release one read and
-# one write of state.
-ROWS_SCHEMA = (
-    "t long, partition int, offset long, deviceType string, iotId string, requestId string, "
-    "checkFailedData string, productKey string, deviceName string, eventName string, eventValue string, "
-    "eventOriValue string, base boolean"
-)
+INPUT_COLUMNS = ["t", "partition", "offset", *PAYLOAD, "eventName", "eventValue", "eventOriValue"]
+NAME, VALUE, ORI = 9, 10, 11
 OUTPUT_DDL = (
     "is_late boolean, deviceType string, iotId string, requestId string, checkFailedData string, "
     "productKey string, gmtCreate long, deviceName string, eventName string, eventValue string, "
     "eventOriValue string"
 )
-INPUT_COLUMNS = ["t", "partition", "offset", *PAYLOAD, "eventName", "eventValue", "eventOriValue"]
-T, PART, OFF, NAME, VALUE, BASE = 0, 1, 2, 9, 10, 12
 
 
-def _out(p: tuple, is_late: bool, ori: str | None = None) -> Row:
+def _out(p: list, is_late: bool, ori: str | None = None) -> Row:
     return Row(
         is_late=is_late,
         deviceType=p[3],
@@ -63,55 +59,60 @@ def _out(p: tuple, is_late: bool, ori: str | None = None) -> Row:
         deviceName=p[8],
         eventName=p[NAME],
         eventValue=p[VALUE],
-        eventOriValue=p[11] if ori is None else ori,
+        eventOriValue=p[ORI] if ori is None else ori,
     )
 
 
 class ChangeLogProcessor(StatefulProcessor):
+    """``width_ms``: event time in one slice of pending rows."""
+
+    def __init__(self, width_ms: int):
+        self.width_ms = width_ms
+
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.rows = handle.getListState("rows", ROWS_SCHEMA)
+        self.rows = PendingRows(handle, self.width_ms)
+        self.read = Reader(INPUT_COLUMNS)
+
+    def handleInitialState(self, key, initialState, timerValues: TimerValues) -> None:
+        self.rows.save(Head(t=initialState["t"], value=initialState["value"]))
 
     def handleInputRows(self, key, rows: Iterator[Row], timerValues: TimerValues) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs()
-        accepted = []
+        head, accepted = None, []
         for r in rows:
-            p = tuple(r[c] for c in INPUT_COLUMNS) + (False,)
-            if wm > 0 and p[T] <= wm:
+            p = self.read(r)
+            if wm > 0 and p[T] <= wm or not FIRST_MS <= p[T] <= LAST_MS:
+                yield _out(p, True)
+                continue
+            head = head or self.rows.head()
+            if head.t is not None and p[T] <= head.t:
                 yield _out(p, True)
             else:
                 accepted.append(p)
         if accepted:
-            self.rows.appendList(accepted)
-            # Registering an existing timer again is a no-op; a timer left over
-            # from rows released early simply finds nothing due.
-            self.handle.registerTimer(min(min(p[T] for p in accepted), LAST_MS) + 1)
+            before = head.pending[:1]
+            self.rows.add(head, accepted)
+            self.rows.save(head)
+            if head.pending[:1] != before:
+                self.handle.registerTimer(head.pending[0] + 1)
 
     def handleExpiredTimer(self, key, timerValues: TimerValues, expiredTimerInfo: ExpiredTimerInfo) -> Iterator[Row]:
         wm = timerValues.getCurrentWatermarkInMs()
-        stored = list(self.rows.get())
-        due = sorted((p for p in stored if not p[BASE] and p[T] < wm), key=lambda p: (p[T], p[PART], p[OFF]))
-        if not due:
-            return
-        keep = [p for p in stored if not p[BASE] and p[T] >= wm]
-        base = next((p for p in stored if p[BASE]), None)
-        first_ever = base is None
-        prev_value = None if base is None else base[VALUE]
-        last_t = None
-        for p in due:
-            if p[T] == last_t:
+        head = self.rows.head()
+        released = False
+        for p in self.rows.due(head, wm):
+            if released and p[T] == head.t:
                 continue  # same time: the first arrival stays
-            last_t = p[T]
-            if first_ever:
+            if head.t is None:
                 yield _out(p, False)
-                first_ever = False
-            elif py_changed_against(prev_value, p[VALUE], p[NAME]):
-                yield _out(p, False, prev_value)
-            prev_value = p[VALUE]
-        baseline = (last_t, None, None, None, None, None, None, None, None, due[0][NAME], prev_value, None, True)
-        self.rows.put(keep + [baseline])
-        if keep:
-            self.handle.registerTimer(min(min(p[T] for p in keep), LAST_MS) + 1)
+            elif py_changed_against(head.value, p[VALUE], p[NAME]):
+                yield _out(p, False, head.value)
+            head.t, head.value, released = p[T], p[VALUE], True
+        if released:
+            self.rows.save(head)
+        if head.pending:
+            self.handle.registerTimer(head.pending[0] + 1)
 
     def close(self) -> None:
         pass

@@ -13,7 +13,9 @@ from devdelta.plans import apps
 from devdelta.session import checkpoint_root
 from devdelta.sinks.writers import console_target, jdbc_rows, kafka_records
 from devdelta.sources.files import kafka_rows
+from devdelta.streaming.lag_processor import INPUT_COLUMNS as lag_columns
 from devdelta.streaming.lag_processor import SnapshotLagProcessor
+from state_fakes import batch, rows_of, started
 
 
 def with_items(items, **env):
@@ -97,38 +99,13 @@ def test_records_carry_the_batch_id(spark):
 
 
 def test_one_expiry_timer_per_device():
-    timers = set()
-
-    class Handle:
-        registerTimer = staticmethod(timers.add)
-        deleteTimer = staticmethod(timers.discard)
-
-    class State:
-        rows: list = []
-
-        def get(self):
-            return iter(self.rows)
-
-        def put(self, rows):
-            self.rows = rows
-
-        def clear(self):
-            self.rows = []
-
-    class Times:
-        def __init__(self, wm):
-            self.wm = wm
-
-        def getCurrentWatermarkInMs(self):
-            return self.wm
-
-    p = SnapshotLagProcessor(PATH_B_IDLE_TTL_MS)
-    p.handle, p.rows = Handle, State()
+    p = SnapshotLagProcessor(1000, PATH_B_IDLE_TTL_MS)
+    handle = started(p)
     released = 0
     for t in range(1, 1001):
-        p.rows.put([*p.rows.get(), (t, 0, t, *["x"] * 6, "{}", False)])
-        released += len(list(p.handleExpiredTimer(None, Times(t), None)))
-    assert released == 1000 and timers == {1000 + PATH_B_IDLE_TTL_MS}
+        released += len(batch(p, handle, t - 1, rows_of(lag_columns, [(t, 0, t, *["x"] * 6, "{}")])))
+    released += len(batch(p, handle, 1000))
+    assert released == 1000 and handle.timers == {1000 + PATH_B_IDLE_TTL_MS}
 
 
 def test_cluster_without_a_checkpoint_folder_is_an_error():
