@@ -20,14 +20,28 @@ is at most ``(100 - percent) * (|a| + |b|) / (100 + percent)``.
 
 Equal sets are one node (nodes are named by a hash of the set; a second hash
 would show a clash, upon which other seeds are taken), so copies are neither
-joined nor expanded.  Of the nodes that share a word, first each is compared
-with the smallest; after connecting these, only pairs from different components
-are compared.  Linked sets agree in several words, so a set whose words in question
-are fewer than that has no such partner, and any other need only be joined by
-its rarest (texts that merely share a passage agree in a few, common words).  So
-no group of similar or equal texts is expanded into its pairs, and no link
-between components is lost.  The result is the components: links inside a
-component are not all found, so it gives neither the list nor the number of links.
+joined nor expanded.  Which nodes that share a word are compared:
+
+1. each with the smallest of its word;
+2. in rounds, as long as they connect and the pairs left in question shrink: each
+   with a node of the word's largest component and of its smallest, another one
+   for every word and round.  A group with many links soon is one component;
+3. the rest by what tells them from a lead.  Of the words that still hold several
+   components, every node is set beside the smallest node L of the word: D elements
+   are in only one of the two.  Two nodes differ in D + D' less twice the elements that
+   both have in their lists, so linked ones have t >= (D + D' - d) / 2 in common, and of
+   any fixed order one of the first D - t + 1.  The order begins with what few lists hold:
+   shingles that L lacks and few others have, or that L has and few others lack; those
+   that no other node in question has need not be joined at all.  D' is taken by
+   levels of d / 4, so that t is close.
+
+So no link between components is lost.  A node with d or more changes against the text
+that a group varies has new shingles of its own, hardly fewer than its list's
+first part, and forms no pairs, however many vary that text.  Unlinked nodes with
+fewer changes (their differences lie between d and 2 d) may still be compared pair by
+pair, if so few of them link that rounds don't connect them: an exact join has no linear
+way for these.  The result is the components: links inside a component are not all
+found, so it gives neither the list nor the number of links.
 
 Hot groups: rows are distinct per batch before they are shuffled; a word's rows
 are read as a sorted stream, never held; joins are on plain equality, so Spark
@@ -42,7 +56,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from itertools import combinations
+from itertools import combinations, count
 
 import numpy as np
 import pyarrow as pa
@@ -59,6 +73,8 @@ PERCENT = 85
 FIRST_SIZE = 2
 RATIO = 1.6
 BAND_MASK = 63  # the low bits of a word: its band
+LEVELS = 4  # levels of D for each difference that linked sets may have
+SHRINK = 0.7  # a round that leaves more of the pairs in question is the last
 MAX_SEEDS = 4
 
 _U = np.uint64
@@ -255,6 +271,55 @@ def _emitted(seed: int, size: int, percent: int):
     return run
 
 
+def _lists(percent: int):
+    """lead, x (its set), node, comp, s (its set), e and c (the shingles of s that other nodes have, and how
+    many have them), xe and xc (the same of x), m (nodes beside the lead) -> key, side, node, comp: of nodes
+    that link one has side 0 and one 1 of a key, or both 2."""
+
+    def most(n: int) -> int:
+        return (100 - percent) * n // (100 + percent)
+
+    def taken(column: pa.Array, i: int) -> np.ndarray:
+        return column[i].values.to_numpy() if column[i].is_valid else np.zeros(0, np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keys, sides, counts = [], [], []
+            for i, lead in enumerate(batch["lead"].to_pylist()):
+                x, s, e, c, xe, xc = (taken(batch[k], i) for k in ("x", "s", "e", "c", "xe", "xc"))
+                x, s, e, xe = (y.view(np.uint64) for y in (x, s, e, xe))
+                new, lacks = np.setdiff1d(s, x, assume_unique=True), np.setdiff1d(x, s, assume_unique=True)
+                some = np.isin(e, new, assume_unique=True)
+                own = len(new) - int(some.sum())  # come first and have no partner
+                m = batch["m"][i].as_py()
+                held = dict(zip(xe.tolist(), xc.tolist()))  # those that only the lead has are missing
+                few = np.concatenate((c[some], [max(1, m - held.get(y, 1)) for y in lacks.tolist()]))
+                row = np.concatenate((e[some], lacks))
+                row = row[np.lexsort((row, few))]
+                d, dmax = len(new) + len(lacks), most(len(s) + 100 * len(s) // percent)
+                width = max(1, most(2 * len(x)) // LEVELS)
+                level = d // width
+                n = 0
+                for other in range(max(0, d - dmax) // width, (d + dmax) // width + 1):
+                    t = -(-(d + other * width - dmax) // 2)
+                    part = row[: max(0, d - max(t, 1) + 1 - own)]
+                    if t <= 0:
+                        part = np.append(part, _U(0))  # may link without an element in common
+                    place = _mix(np.array([lead, min(level, other) << 32 | max(level, other)], np.int64).view(np.uint64))
+                    keys.append(_mix(part ^ place[0]) ^ place[1])
+                    sides.append(np.full(len(part), 2 if level == other else int(level > other), np.int8))
+                    n += len(part)
+                counts.append(n)
+            at = pa.array(np.repeat(np.arange(len(counts)), counts))
+            flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(flat.view(np.int64)), pa.array(np.concatenate(sides) if sides else np.zeros(0, np.int8)), batch["node"].take(at), batch["comp"].take(at)],
+                ["key", "side", "node", "comp"],
+            )
+
+    return run
+
+
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows sorted by word and node -> those of words with several nodes, each once."""
     last = None  # a row whose word may go on in the next batch, and whether it was given out
@@ -320,6 +385,9 @@ def _verified(percent: int):
     return run
 
 
+WORDS_DDL = "word long, node long, need int"
+
+
 class Join:
     """The join of one table; ``rows``: uid, doc_id, text."""
 
@@ -339,9 +407,13 @@ class Join:
 
     def members(self) -> DataFrame:
         """word, node, need of all words that several nodes share."""
-        emitted = self.rows.select("text").mapInArrow(_emitted(self.seed, self.size, self.percent), "word long, node long, need int")
+        emitted = self.rows.select("text").mapInArrow(_emitted(self.seed, self.size, self.percent), WORDS_DDL)
+        return self.shared(emitted, "members")
+
+    @staticmethod
+    def shared(emitted: DataFrame, name: str) -> DataFrame:
         dealt = emitted.repartition("word").sortWithinPartitions("word", "node")
-        return staged(dealt.mapInArrow(_shared, "word long, node long, need int"), "members")
+        return staged(dealt.mapInArrow(_shared, WORDS_DDL), name)
 
     def near(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a < b) that size and bit sketch allow."""
@@ -354,9 +426,8 @@ class Join:
         found = self.rows.select("uid", "text").join(first, "uid").select("node", "text")
         return staged(found.mapInArrow(_sets(self.size), "node long, s array<long>"), "sets")
 
-    def verified(self, pairs: DataFrame) -> DataFrame:
+    def verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
         """The pairs that link."""
-        sets = self.sets(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct())
         both = pairs.join(sets.select(F.col("node").alias("b"), F.col("s").alias("y")), "b")
         both = both.join(sets.select(F.col("node").alias("a"), F.col("s").alias("x")), "a").select("a", "b", "x", "y")
         return staged(both.mapInArrow(_verified(self.percent), "a long, b long"), "links")
@@ -365,17 +436,69 @@ class Join:
         """Links between nodes that connect all that are connected."""
         members = self.members()
         leads = members.groupBy("word").agg(F.min("node").alias("a"))
-        star = members.join(leads, "word").where("a <> node").select("a", F.col("node").alias("b")).distinct()
-        links = self.verified(self.near(star))
-        # Pairs in different components after that.
+        tried = staged(members.join(leads, "word").where("a <> node").select("a", F.col("node").alias("b")).distinct(), "tried")
+        near = self.near(tried)
+        links = self.verified(near, self.sets(near.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
         label = connected(links)
+        open_, left = self.open(members, label)
+        if not left:
+            return links
+        sets = self.sets(open_.select("node").distinct())
+        for turn in count():
+            pairs = staged(self.with_leads(open_, turn).join(tried, ["a", "b"], "left_anti"), "lead-pairs")
+            found = self.verified(self.near(pairs), sets)
+            if found.isEmpty():
+                break
+            tried, links = tried.unionByName(pairs), links.unionByName(found)
+            label = connected(links)
+            before = left
+            open_, left = self.open(open_.select("word", "node", "need"), label)
+            if not left or left > SHRINK * before:
+                break
+        if not left:
+            return links
+        near = self.near(self.across(self.lists(self.rarest(open_), sets)).join(tried, ["a", "b"], "left_anti"))
+        return links if near.isEmpty() else links.unionByName(self.verified(near, sets))
+
+    def lists(self, open_: DataFrame, sets: DataFrame) -> DataFrame:
+        """key, side, node, comp: what the nodes of ``open_`` differ in from the smallest node of each word."""
+        leads = open_.groupBy("word").agg(F.min("node").alias("lead"))
+        beside = staged(open_.join(leads, "word").select("lead", "node", "comp").distinct(), "beside-leads")
+        sizes = beside.groupBy("lead").agg(F.count("*").alias("m"))
+        left = sets.join(beside.select("node").distinct(), "node", "left_semi")
+        each = left.select("node", F.explode("s").alias("e"))
+        known = each.groupBy("e").agg(F.count("*").alias("c")).where("c > 1")
+        known = each.join(known, "e").groupBy("node").agg(F.collect_list(F.struct("e", "c")).alias("ec"))
+        both = left.join(known, "node", "left").select("node", "s", F.col("ec.e").alias("e"), F.col("ec.c").alias("c"))
+        both = staged(both, "sets-in-question")
+        lead = sizes.join(both.toDF("lead", "x", "xe", "xc"), "lead")
+        whole = beside.join(both, "node").join(lead, "lead")
+        columns = ["lead", "x", "xe", "xc", "m", "node", "comp", "s", "e", "c"]
+        return whole.select(*columns).mapInArrow(_lists(self.percent), "key long, side byte, node long, comp long")
+
+    @staticmethod
+    def open(members: DataFrame, label: DataFrame) -> tuple[DataFrame, int]:
+        """The rows of ``members`` whose word is shared by several components, with comp, kc (rows of the
+        word and component) and k (rows of the word); and how many pairs of different components that makes."""
         placed = members.join(label, "node", "left").withColumn("comp", F.coalesce("label", "node")).drop("label")
-        spread = placed.groupBy("word").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("k"))
-        # of two nodes one was the lead
-        open_ = staged(placed.join(spread.where("c0 <> c1 and k > 2").select("word", "k"), "word"), "open-members")
-        pairs = self.across(self.rarest(open_)).join(star, ["a", "b"], "left_anti")
-        near = self.near(pairs)
-        return links if near.isEmpty() else links.unionByName(self.verified(near))
+        parts = placed.groupBy("word", "comp").agg(F.count("*").alias("kc"))
+        words = parts.groupBy("word").agg(F.count("*").alias("comps"), F.sum("kc").alias("k"), F.sum(F.col("kc") * F.col("kc")).alias("kk"))
+        several = words.where("comps > 1").select("word", "k", "kk")
+        open_ = staged(placed.join(several, "word").join(parts, ["word", "comp"]), "open-members")
+        # every word's pairs, counted at its rows: k - kc partners each
+        left = open_.agg(F.sum(F.col("k") - F.col("kc"))).first()[0] or 0
+        return open_.drop("kk"), left // 2
+
+    @staticmethod
+    def with_leads(open_: DataFrame, turn: int) -> DataFrame:
+        """Pairs (a < b) of every node with one of its word's largest component and one of its smallest."""
+        chance = F.xxhash64("node", "word", F.lit(turn))
+        first = open_.groupBy("word", "comp").agg(F.min("kc").alias("kc"), F.min_by("node", chance).alias("lead"), F.min(chance).alias("chance"))
+        one = F.struct("lead", "comp")
+        ends = first.groupBy("word").agg(F.max_by(one, F.struct("kc", "chance")).alias("l"), F.min_by(one, F.struct("kc", "chance")).alias("s"))
+        leads = ends.select("word", F.explode(F.array("l", "s")).alias("x")).select("word", "x.lead", F.col("x.comp").alias("of"))
+        met = open_.join(leads, "word").where("comp <> of")
+        return met.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
 
     @staticmethod
     def rarest(members: DataFrame) -> DataFrame:
@@ -393,11 +516,12 @@ class Join:
         return placed.where("place <= z - need + 1").select("word", "node", "comp")
 
     @staticmethod
-    def across(members: DataFrame) -> DataFrame:
-        """Pairs (a < b) of nodes that share a word and are in different components."""
-        x = members.select("word", F.col("node").alias("a"), F.col("comp").alias("ca"))
-        y = members.select("word", F.col("node").alias("b"), F.col("comp").alias("cb"))
-        return x.join(y, "word").where("ca <> cb and a < b").select("a", "b").distinct()
+    def across(listed: DataFrame) -> DataFrame:
+        """Pairs (a < b) of nodes of different components that meet in a key."""
+        keyed = staged(listed, "lists")
+        x = keyed.select("key", F.col("node").alias("a"), F.col("comp").alias("ca"), F.col("side").alias("sa"))
+        y = keyed.select("key", F.col("node").alias("b"), F.col("comp").alias("cb"), F.col("side").alias("sb"))
+        return x.join(y, "key").where("ca <> cb and a < b and sa + sb in (1, 4)").select("a", "b").distinct()
 
 
 def similar_components(docs: DataFrame, percent: int = PERCENT, size: int = SHINGLE) -> DataFrame:
