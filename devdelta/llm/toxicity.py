@@ -8,8 +8,10 @@ words share n-grams, an unseen misspelling is near the words that it imitates.
 
 A toxic passage in a long text is diluted by the rest, so the window (of 5
 words), not the text, is what is averaged, and a document is scored by its
-strongest window.  Training picks the strongest window of each document again
-in every round.  The strongest window's logit is mapped to a probability by a
+strongest window.  Training begins with whole texts, so that words that only
+toxic texts have stand out before any window is chosen, and then picks the strongest
+window of each document again in every round; both parts have at least a number
+of gradient steps, however few the texts.  The strongest window's logit is mapped to a probability by a
 logistic curve, fitted on documents that the embeddings were not trained on
 and weighted to the classes' shares among all labels.
 
@@ -42,7 +44,9 @@ DIM = 8
 WINDOW = 5
 PER_CLASS = 2000
 TRAIN_CHARS = 8_000
-ROUNDS = 16
+WHOLE_STEPS = 100  # gradient steps on whole texts, at least
+STEPS = 200  # gradient steps on windows, at least
+BATCH = 128
 MIN_LOGIT = -12.0
 _TABLE_SIZE = 1 << 16
 
@@ -135,7 +139,7 @@ class Trainer:
     def word_values(self) -> np.ndarray:
         return word_values(self.table @ (self.soft[1] - self.soft[0]), self.ids, self.size)
 
-    def epoch(self, windows: list[np.ndarray], labels: np.ndarray, rate: float, batch: int = 128) -> None:
+    def epoch(self, windows: list[np.ndarray], labels: np.ndarray, rate: float, batch: int = BATCH) -> None:
         order = self.rng.permutation(len(windows))
         for i in range(0, len(order), batch):
             part = order[i : i + batch]
@@ -174,7 +178,7 @@ class Trainer:
         return out
 
 
-def fit(texts: list[str], labels: list[int], shares: tuple[float, float], rounds: int = ROUNDS) -> Model:
+def fit(texts: list[str], labels: list[int], shares: tuple[float, float], whole_steps: int = WHOLE_STEPS, steps: int = STEPS) -> Model:
     """Train on texts and labels (0 or 1); ``shares``: of the classes among all labels."""
     y = np.array(labels, np.int64)
     keep = [i for i, t in enumerate(texts) if any(map(str.isalnum, t))]
@@ -186,9 +190,12 @@ def fit(texts: list[str], labels: list[int], shares: tuple[float, float], rounds
     rest = [i for n, i in enumerate(keep) if n % 4 == 0]
     if len(set(y[rest].tolist())) < 2 or len(set(y[train].tolist())) < 2:
         train = rest = keep
-    for r in range(rounds):
-        values = trainer.word_values() if r >= 4 else None
-        docs = train + [i for i in train if y[i] == 0]
+    a_round = -(-len(train) // BATCH)
+    for _ in range(-(-whole_steps // a_round)):
+        trainer.epoch([trainer.docs[i] for i in train], y[train], 0.3)
+    docs = train + [i for i in train if y[i] == 0]
+    for _ in range(-(-steps // a_round)):
+        values = trainer.word_values()
         picked = trainer.windows(train, values) + trainer.windows([i for i in train if y[i] == 0], None)
         trainer.epoch(picked, y[docs], 0.3)
     values = trainer.word_values()
@@ -200,8 +207,11 @@ def fit(texts: list[str], labels: list[int], shares: tuple[float, float], rounds
     return Model((trainer.table @ (trainer.soft[1] - trainer.soft[0])).astype(np.float32), bias, slope, shift)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a weighted, slightly regularised logistic curve (Newton steps)."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, least: float = 0.05) -> tuple[float, float]:
+    """Slope and shift of a weighted, slightly regularised logistic curve (Newton steps).
+
+    A stronger logit never counts for less: the slope is ``least`` a standard deviation or more.
+    """
     mean, spread = float(x.mean()), float(x.std()) or 1.0
     a = np.stack([(x - mean) / spread, np.ones_like(x)], 1)
     w = np.zeros(2)
@@ -210,6 +220,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> tuple[float,
         h = (a * (weight * p * (1 - p))[:, None]).T @ a + 1e-4 * np.eye(2)
         step = np.linalg.solve(h, a.T @ (weight * (p - y)) + 1e-4 * w * np.array([1, 0]))
         w -= np.clip(step, -2, 2)
+        w[0] = max(w[0], least)
     return float(w[0] / spread), float(w[1] - w[0] * mean / spread)
 
 

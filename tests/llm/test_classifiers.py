@@ -1,4 +1,5 @@
 import random
+import re
 import zlib
 
 import numpy as np
@@ -85,3 +86,60 @@ def test_awkward_rows_and_missing_labels(spark):
             assert len(rows) == df.count() and all(0 <= r["score"] <= 1 for r in rows)
         assert score(none(spark), labels).collect() == []
     assert DOCS_DDL
+
+
+def naive_bags(text):
+    """Rows of each word's grams, one character at a time."""
+    clean = "".join(c if c.isalnum() else " " for c in (text or "").lower())
+    out = []
+    for m in re.finditer(r"[^ ]+", clean):
+        codes = [0, *map(ord, m[0]), 0]
+        rows = []
+        for at in range(len(codes)):
+            for n in (3, 4, 5):
+                gram = codes[at : at + n]
+                if len(gram) == n:
+                    h = gram[0]
+                    for c in gram[1:]:
+                        h = (h * 0x01000193 + c) % 2**32
+                    h ^= h >> 15
+                    h = h * (0x2C1B3C6D + 2 * (n - 1)) % 2**32
+                    rows.append((h ^ h >> 13) % T.BUCKETS)
+        out.append(rows)
+    return out
+
+
+def test_bags_and_word_values_equal_a_naive_version():
+    rng = np.random.default_rng(3)
+    weight = rng.normal(size=T.BUCKETS).astype(np.float32)
+    for text in ["One two, two TWO!! x1.", "a ab abc", "é　日本 ñandú", "", "...", "fünf" * 30]:
+        ids, size, per = T.bags([text])
+        naive = naive_bags(text)
+        values = T.word_values(weight, ids, size)
+        assert per.tolist() == [len(naive)] and len(values) == len(naive)
+        upto = np.concatenate(([0], np.cumsum(size)))
+        for k, rows in enumerate(naive):
+            assert sorted(ids[upto[k] : upto[k + 1]].tolist()) == sorted(rows)
+            assert abs(values[k] - np.mean(weight[rows], dtype=np.float64)) < 1e-6
+
+
+def test_a_stronger_logit_never_counts_for_less():
+    x = np.array([0.0, 1.0, 2.0, 3.0])
+    slope, _ = T._logistic(x, np.array([1, 1, 0, 0]), np.full(4, 0.25))
+    assert slope > 0
+
+
+def test_few_texts_are_trained_in_enough_steps():
+    """A sample of three hundred texts, thirty of them toxic, is told apart on other texts."""
+    rng = random.Random(9)
+
+    def text(toxic):
+        words = ["".join(rng.choice("abcdefghiklmnoprst") for _ in range(rng.randrange(2, 9))) for _ in range(60)]
+        for _ in range(2 * toxic):
+            words[rng.randrange(60)] = "zuvw" + rng.choice(["er", "el", "ok"])
+        return " ".join(words)
+
+    labels = [int(i % 10 == 0) for i in range(300)]
+    model = T.fit([text(y) for y in labels], labels, (0.9, 0.1))
+    scores = model.probability(T._logits(model, [text(1) for _ in range(50)] + [text(0) for _ in range(200)]))
+    assert model.slope > 0 and (scores[:50] >= 0.3).mean() > 0.8 and (scores[50:] >= 0.3).mean() < 0.05
