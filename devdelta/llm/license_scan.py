@@ -10,22 +10,23 @@ non-ASCII characters) joined by single spaces.
   automaton finds all pieces of all notices in one pass; in a window around
   each find, of the notice's length and k on both sides, the regex library
   matches the whole notice with at most k edits, which verifies the edits and
-  gives the span.  Of overlapping matches of a notice the one with the fewest
+  gives the span.  A match begins and ends where words do.  Of overlapping matches of a notice the one with the fewest
   edits stays, and the rest of the others' windows is searched again.
 
-Everything is worked out per document inside the scan; nothing is shuffled.
+Everything is worked out per document inside the scan; nothing is shuffled.  The
+work is linear in a text's length; equal windows of a text are matched once.
 Null or empty text: no words, no labels, score 0.  Empty table: no rows.
 Repeated ids: every row is returned.
 """
 
 from __future__ import annotations
 
-from bisect import bisect_left
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -81,7 +82,7 @@ def _searcher(notices: tuple[tuple[str, str], ...]):
     patterns = []
     for i, (notice, label) in enumerate(notices):
         k = max_edits(notice)
-        patterns.append((regex.compile(f"(?b)(?:{regex.escape(notice)}){{e<={k}}}"), len(notice), k, label))
+        patterns.append((regex.compile(f"(?b)(?<= )(?:{regex.escape(notice)}){{e<={k}}}(?= )"), len(notice), k, label))
         for offset, piece in pieces(notice, k):
             found.setdefault(piece, []).append((i, offset))
     for piece, where in found.items():
@@ -90,68 +91,93 @@ def _searcher(notices: tuple[tuple[str, str], ...]):
     return automaton, patterns
 
 
-def _best(pattern: regex.Pattern, words: str, lo: int, hi: int) -> tuple[int, int, int, int, int] | None:
-    """(edits, start, end, lo, hi) of the best match between two places."""
-    m = pattern.search(words, lo, hi)
-    return m and (sum(m.fuzzy_counts), m.start(), m.end(), lo, hi)
+class _Text:
+    """A text's words with a blank on either side, and where the words begin."""
 
+    def __init__(self, words: str):
+        self.words = f" {words} "
+        self.blanks: np.ndarray | None = None
 
-def _disjoint(pattern: regex.Pattern, words: str, windows: set[tuple[int, int]], least: int) -> list[tuple[int, int, int]]:
+    def word_numbers(self, places: list[int]) -> list[int]:
+        """The number of the word at each place, from 0 (of the next word at a blank)."""
+        if not places:
+            return []
+        if self.blanks is None:
+            codes = np.frombuffer(self.words.encode("utf-32-le", "surrogatepass"), np.uint32)
+            self.blanks = np.flatnonzero(codes == 32)
+        return (np.searchsorted(self.blanks, np.array(places), "left") - 1).tolist()
+
+
+def _disjoint(pattern: regex.Pattern, words: str, windows: set[tuple[int, int]], n: int, k: int) -> list[tuple[int, int, int]]:
     """(start, end, edits) of matches that don't overlap, those with the fewest edits first."""
-    heap = [m for lo, hi in windows if (m := _best(pattern, words, lo, hi))]
+    least = n - k
+    known: dict[str, tuple[int, int, int] | None] = {}  # equal pieces of text are searched once
+
+    def best(lo: int, hi: int) -> tuple[int, int, int, int, int] | None:
+        """(edits, start, end, lo, hi) of the best match between two places; the blank before it counts as seen."""
+        part = words[lo - 1 : hi]
+        if part not in known:
+            m = pattern.search(part, 1)
+            known[part] = m and (sum(m.fuzzy_counts), m.start() - 1, m.end() - 1)
+        found = known[part]
+        return found and (found[0], lo + found[1], lo + found[2], lo, hi)
+
+    heap = [m for lo, hi in windows if (m := best(lo, hi))]
     heapify(heap)
-    starts: list[int] = []
-    kept: list[tuple[int, int, int]] = []  # both in order
+    kept: dict[int, list[tuple[int, int, int]]] = {}  # by start, in steps of the least length
     while heap:
         edits, start, end, lo, hi = heappop(heap)
-        at = bisect_left(starts, end)
-        if at and kept[at - 1][1] > start:
-            a, b, _ = kept[at - 1]
-            for part in ((lo, a), (b, hi)):
-                if part[1] - part[0] >= least and (m := _best(pattern, words, *part)):
+        near = (x for s in range((start - n - k) // least, end // least + 1) for x in kept.get(s, ()))
+        over = max((x for x in near if x[0] < end and x[1] > start), default=None)
+        if over:
+            for part in ((lo, over[0]), (over[1], hi)):
+                if part[1] - part[0] >= least and (m := best(*part)):
                     heappush(heap, m)
         else:
-            starts.insert(at, start)
-            kept.insert(at, (start, end, edits))
-    return kept
+            kept.setdefault(start // least, []).append((start, end, edits))
+    return [x for some in kept.values() for x in some]
 
 
 def fuzzy_matches(words: str, notices: tuple[tuple[str, str], ...]) -> list[tuple[str, int, int, int, int]]:
-    """(label, start, end, edits, notice length): the spans of notices with a bounded number of edits."""
+    """(label, start, end, edits, notice length) in ``words``: the spans of notices with a bounded number of edits."""
     automaton, patterns = _searcher(notices)
+    words = f" {words} "
     windows: dict[int, set[tuple[int, int]]] = {}
     for end, (size, where) in automaton.iter(words):
         for i, offset in where:
             _, n, k, _ = patterns[i]
             at = end + 1 - size - offset
-            windows.setdefault(i, set()).add((max(0, at - k), min(len(words), at + n + k)))
+            windows.setdefault(i, set()).add((max(1, at - k), min(len(words), at + n + k + 1)))
     out = []
     for i, places in windows.items():
         pattern, n, k, label = patterns[i]
-        out += [(label, a, b, e, n) for a, b, e in _disjoint(pattern, words, places, n - k)]
+        out += [(label, a - 1, b - 1, e, n) for a, b, e in _disjoint(pattern, words, places, n, k)]
     return sorted(set(out), key=lambda m: (m[1], m[2], m[0]))
 
 
-def base_places(words: str, phrases: tuple[tuple[str, str], ...]) -> list[tuple[int, str]]:
+def base_places(text: _Text, phrases: tuple[tuple[str, str], ...]) -> list[tuple[int, str]]:
     """(first word's number, label) of every place where a phrase's words stand."""
-    padded = f" {words} "
-    out = []
+    places, labels = [], []
     for phrase, label in phrases:
-        at = padded.find(f" {phrase} ")
+        at = text.words.find(f" {phrase} ")
         while at >= 0:
-            out.append((words.count(" ", 0, at), label))
-            at = padded.find(f" {phrase} ", at + 1)
-    return out
+            places.append(at + 1)
+            labels.append(label)
+            at = text.words.find(f" {phrase} ", at + 1)
+    return list(zip(text.word_numbers(places), labels))
 
 
 def scan_text(text: str | None, phrases, notices) -> tuple:
     words = normalised(text)
-    base = base_places(words, phrases)
+    padded = _Text(words)
+    base = base_places(padded, phrases)
     fuzzy = fuzzy_matches(words, notices)
     starts = [p for p, _ in base]
     base_labels = {x for _, x in base}
     score = 1.0 if base else max((1 - e / n for _, _, _, e, n in fuzzy), default=0.0)
-    spans = [(x, words.count(" ", 0, a), words.count(" ", 0, b), e) for x, a, b, e, _ in fuzzy]
+    first = padded.word_numbers([a + 1 for _, a, _, _, _ in fuzzy])
+    last = padded.word_numbers([b for _, _, b, _, _ in fuzzy])
+    spans = [(m[0], a, b, m[3]) for m, a, b in zip(fuzzy, first, last)]
     return (
         words.count(" ") + 1 if words else 0,
         len(base),

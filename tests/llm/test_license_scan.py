@@ -1,6 +1,7 @@
 import random
 import re
 import string
+import time
 
 from devdelta.llm import license_scan as L
 from tests.llm.helpers import awkward, documents, none
@@ -85,3 +86,26 @@ def test_awkward_and_empty(spark):
     assert len(got) == df.count()
     assert all(r["n_words"] == 0 and r["labels"] == "" and r["score"] == 0 for r in got if r["doc_id"] in (0, 1, 2))
     assert L.license_scan(none(spark)).collect() == []
+
+
+def test_matches_stand_between_words():
+    notices = tuple(L.NOTICES.items())
+    for text in ("small rights reserved", "overall rights reserveds", "unreleased under the mit licensees"):
+        assert not [m for m in L.fuzzy_matches(text, notices) if m[3] == 0], text
+    assert [m[1:4] for m in L.fuzzy_matches("all rights reserved", notices)] == [(0, 19, 0)]
+    assert [m[1:4] for m in L.fuzzy_matches("x all rights reservd y", notices)] == [(2, 20, 1)]
+
+
+def test_long_texts_are_linear():
+    def seconds(phrase, n):
+        start = time.perf_counter()
+        row = L.scan_text(phrase * n, tuple(L.BASE_PHRASES.items()), tuple(L.NOTICES.items()))
+        return time.perf_counter() - start, row
+
+    phrase = "under the mit license "
+    seconds(phrase, 100)
+    small, _ = seconds(phrase, 10_000)
+    large, row = seconds(phrase, 40_000)  # 880 KB
+    assert row[1] == 40_000 and row[3] == 4 * 39_999 and large < 7 * max(small, 0.05)
+    spans = seconds("all rights reserved ", 20_000)[1][7]
+    assert len(spans) == 20_000 and spans[-1]["first_word"] == 59_997 and spans[-1]["last_word"] == 59_999
