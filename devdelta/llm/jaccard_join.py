@@ -24,16 +24,16 @@ joined nor expanded.  Which nodes that share a word are compared:
 
 1. each with the smallest of its word;
 2. in rounds, as long as they connect and the pairs left in question shrink: each
-   with a node of the word's largest component and of its smallest, another one
-   for every word and round.  A group with many links soon is one component;
+   with a node of the word's largest component, chosen anew for every part of the
+   words and round.  A group with many links soon is one component;
 3. the rest by what tells them from a lead.  Of the words that still hold several
-   components, every node is set beside the smallest node L of the word: D elements
+   components, every node is set beside the word's node L that is in most words: D elements
    are in only one of the two.  Two nodes differ in D + D' less twice the elements that
    both have in their lists, so linked ones have t >= (D + D' - d) / 2 in common, and of
    any fixed order one of the first D - t + 1.  The order begins with what few lists hold:
    shingles that L lacks and few others have, or that L has and few others lack; those
    that no other node in question has need not be joined at all.  D' is taken by
-   levels of d / 4, so that t is close.
+   levels of d / 8, so that t is close.
 
 So no link between components is lost.  A node with d or more changes against the text
 that a group varies has new shingles of its own, hardly fewer than its list's
@@ -73,7 +73,8 @@ PERCENT = 85
 FIRST_SIZE = 2
 RATIO = 1.6
 BAND_MASK = 63  # the low bits of a word: its band
-LEVELS = 4  # levels of D for each difference that linked sets may have
+LEAD_PARTS = 8  # parts of the words that choose their leads alike
+LEVELS = 8  # levels of D for each difference that linked sets may have
 SHRINK = 0.7  # a round that leaves more of the pairs in question is the last
 MAX_SEEDS = 4
 
@@ -272,9 +273,9 @@ def _emitted(seed: int, size: int, percent: int):
 
 
 def _lists(percent: int):
-    """lead, x (its set), node, comp, s (its set), e and c (the shingles of s that other nodes have, and how
-    many have them), xe and xc (the same of x), m (nodes beside the lead) -> key, side, node, comp: of nodes
-    that link one has side 0 and one 1 of a key, or both 2."""
+    """lead, node, comp; n (size of the node's set), e (those of its shingles that other nodes have) and c (how many
+    nodes have them); xn, xe, xc (the same of the lead); m (nodes beside the lead) -> key, side, node, comp:
+    of nodes that link one has side 0 and one 1 of a key, or both 2."""
 
     def most(n: int) -> int:
         return (100 - percent) * n // (100 + percent)
@@ -284,22 +285,20 @@ def _lists(percent: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            numbers = zip(*(batch[k].to_pylist() for k in ("lead", "node", "n", "xn", "m")))
             keys, sides, counts = [], [], []
-            for i, lead in enumerate(batch["lead"].to_pylist()):
-                x, s, e, c, xe, xc = (taken(batch[k], i) for k in ("x", "s", "e", "c", "xe", "xc"))
-                x, s, e, xe = (y.view(np.uint64) for y in (x, s, e, xe))
-                new, lacks = np.setdiff1d(s, x, assume_unique=True), np.setdiff1d(x, s, assume_unique=True)
-                some = np.isin(e, new, assume_unique=True)
-                own = len(new) - int(some.sum())  # come first and have no partner
-                m = batch["m"][i].as_py()
-                held = dict(zip(xe.tolist(), xc.tolist()))  # those that only the lead has are missing
-                few = np.concatenate((c[some], [max(1, m - held.get(y, 1)) for y in lacks.tolist()]))
-                row = np.concatenate((e[some], lacks))
+            for i, (lead, node, n, xn, m) in enumerate(numbers):
+                e, c, xe, xc = (taken(batch[k], i) for k in ("e", "c", "xe", "xc"))
+                new, lacks = ~np.isin(e, xe, assume_unique=True), ~np.isin(xe, e, assume_unique=True)
+                own = n - len(e)  # no other node has them: first of all, and without a partner
+                only = np.arange(0 if node == lead else xn - len(xe)) + 1  # those that only the lead has are known by number
+                row = np.concatenate((e[new], xe[lacks], only)).view(np.uint64)
+                few = np.concatenate((c[new], np.maximum(1, m - xc[lacks]), np.full(len(only), m)))
                 row = row[np.lexsort((row, few))]
-                d, dmax = len(new) + len(lacks), most(len(s) + 100 * len(s) // percent)
-                width = max(1, most(2 * len(x)) // LEVELS)
+                d, dmax = len(row) + own, most(n + 100 * n // percent)
+                width = max(1, most(2 * xn) // LEVELS)
                 level = d // width
-                n = 0
+                made = 0
                 for other in range(max(0, d - dmax) // width, (d + dmax) // width + 1):
                     t = -(-(d + other * width - dmax) // 2)
                     part = row[: max(0, d - max(t, 1) + 1 - own)]
@@ -308,8 +307,8 @@ def _lists(percent: int):
                     place = _mix(np.array([lead, min(level, other) << 32 | max(level, other)], np.int64).view(np.uint64))
                     keys.append(_mix(part ^ place[0]) ^ place[1])
                     sides.append(np.full(len(part), 2 if level == other else int(level > other), np.int8))
-                    n += len(part)
-                counts.append(n)
+                    made += len(part)
+                counts.append(made)
             at = pa.array(np.repeat(np.arange(len(counts)), counts))
             flat = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
             yield pa.RecordBatch.from_arrays(
@@ -435,12 +434,13 @@ class Join:
     def links(self) -> DataFrame:
         """Links between nodes that connect all that are connected."""
         members = self.members()
-        leads = members.groupBy("word").agg(F.min("node").alias("a"))
-        tried = staged(members.join(leads, "word").where("a <> node").select("a", F.col("node").alias("b")).distinct(), "tried")
+        leads = members.groupBy("word").agg(F.min("node").alias("a"), F.count("*").alias("k"))
+        members = staged(members.join(leads, "word"), "led-members")
+        tried = staged(members.where("a <> node").select("a", F.col("node").alias("b")).distinct(), "tried")
         near = self.near(tried)
         links = self.verified(near, self.sets(near.select(F.explode(F.array("a", "b")).alias("node")).distinct()))
         label = connected(links)
-        open_, left = self.open(members, label)
+        open_, left = self.open(members.where("k > 2").select("word", "node", "need"), label)  # of two nodes one was the lead
         if not left:
             return links
         sets = self.sets(open_.select("node").distinct())
@@ -461,20 +461,19 @@ class Join:
         return links if near.isEmpty() else links.unionByName(self.verified(near, sets))
 
     def lists(self, open_: DataFrame, sets: DataFrame) -> DataFrame:
-        """key, side, node, comp: what the nodes of ``open_`` differ in from the smallest node of each word."""
-        leads = open_.groupBy("word").agg(F.min("node").alias("lead"))
+        """key, side, node, comp: what the nodes of ``open_`` differ in from a lead of each word."""
+        often = open_.groupBy("node").agg(F.count("*").alias("often"))
+        leads = open_.join(often, "node").groupBy("word").agg(F.max_by("node", F.struct("often", "node")).alias("lead"))
         beside = staged(open_.join(leads, "word").select("lead", "node", "comp").distinct(), "beside-leads")
         sizes = beside.groupBy("lead").agg(F.count("*").alias("m"))
         left = sets.join(beside.select("node").distinct(), "node", "left_semi")
         each = left.select("node", F.explode("s").alias("e"))
-        known = each.groupBy("e").agg(F.count("*").alias("c")).where("c > 1")
-        known = each.join(known, "e").groupBy("node").agg(F.collect_list(F.struct("e", "c")).alias("ec"))
-        both = left.join(known, "node", "left").select("node", "s", F.col("ec.e").alias("e"), F.col("ec.c").alias("c"))
-        both = staged(both, "sets-in-question")
-        lead = sizes.join(both.toDF("lead", "x", "xe", "xc"), "lead")
-        whole = beside.join(both, "node").join(lead, "lead")
-        columns = ["lead", "x", "xe", "xc", "m", "node", "comp", "s", "e", "c"]
-        return whole.select(*columns).mapInArrow(_lists(self.percent), "key long, side byte, node long, comp long")
+        common = each.groupBy("e").agg(F.count("*").alias("c")).where("c > 1")
+        common = each.join(common, "e").groupBy("node").agg(F.collect_list(F.struct("e", "c")).alias("ec"))
+        known = left.select("node", F.size("s").cast("long").alias("n")).join(common, "node", "left")
+        known = staged(known.select("node", "n", F.col("ec.e").alias("e"), F.col("ec.c").alias("c")), "sets-in-question")
+        whole = beside.join(known, "node").join(sizes, "lead").join(known.toDF("lead", "xn", "xe", "xc"), "lead")
+        return whole.mapInArrow(_lists(self.percent), "key long, side byte, node long, comp long")
 
     @staticmethod
     def open(members: DataFrame, label: DataFrame) -> tuple[DataFrame, int]:
@@ -491,14 +490,12 @@ class Join:
 
     @staticmethod
     def with_leads(open_: DataFrame, turn: int) -> DataFrame:
-        """Pairs (a < b) of every node with one of its word's largest component and one of its smallest."""
-        chance = F.xxhash64("node", "word", F.lit(turn))
+        """Pairs (a < b) of every node with one of its word's largest component."""
+        chance = F.xxhash64("node", F.pmod("word", F.lit(LEAD_PARTS)), F.lit(turn))  # many words share a lead
         first = open_.groupBy("word", "comp").agg(F.min("kc").alias("kc"), F.min_by("node", chance).alias("lead"), F.min(chance).alias("chance"))
-        one = F.struct("lead", "comp")
-        ends = first.groupBy("word").agg(F.max_by(one, F.struct("kc", "chance")).alias("l"), F.min_by(one, F.struct("kc", "chance")).alias("s"))
-        leads = ends.select("word", F.explode(F.array("l", "s")).alias("x")).select("word", "x.lead", F.col("x.comp").alias("of"))
-        met = open_.join(leads, "word").where("comp <> of")
-        return met.select(F.least("lead", "node").alias("a"), F.greatest("lead", "node").alias("b")).distinct()
+        leads = first.groupBy("word").agg(F.max_by(F.struct("lead", "comp"), F.struct("kc", "chance")).alias("x"))
+        met = open_.join(leads, "word").where("comp <> x.comp")
+        return met.select(F.least("x.lead", "node").alias("a"), F.greatest("x.lead", "node").alias("b")).distinct()
 
     @staticmethod
     def rarest(members: DataFrame) -> DataFrame:
