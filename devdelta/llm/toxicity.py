@@ -126,18 +126,27 @@ class Trainer:
     """Jointly trains the embedding table and the softmax over a bounded sample of texts."""
 
     def __init__(self, texts: list[str], seed: int = 7):
-        self.ids, self.size, per_text = bags(texts)
-        self.start = np.concatenate(([0], np.cumsum(self.size)))
+        parts = [bags(texts[i : i + 64]) for i in range(0, len(texts), 64)]  # few texts' working arrays at a time
+        self.ids, self.size, per_text = (np.concatenate(x) for x in zip(*parts))
+        parts.clear()
+        self.size = self.size.astype(np.int32)
+        self.start = np.concatenate(([0], np.cumsum(self.size, dtype=np.int64)))
         edge = np.concatenate(([0], np.cumsum(per_text)))
         self.docs = [np.arange(a, b) for a, b in zip(edge, edge[1:])]
         rng = self.rng = np.random.default_rng(seed)
-        self.table = rng.normal(0, 0.3, (BUCKETS, DIM))
+        self.table = rng.normal(0, 0.3, (BUCKETS, DIM)).astype(np.float32)
         self.soft = rng.normal(0, 0.3, (2, DIM))
         self.bias = np.zeros(2)
-        self.seen = np.full((BUCKETS, DIM), 1e-2)
+        self.seen = np.full((BUCKETS, DIM), 1e-2, np.float32)
 
     def word_values(self) -> np.ndarray:
-        return word_values(self.table @ (self.soft[1] - self.soft[0]), self.ids, self.size)
+        """Of all words, some at a time."""
+        per_bucket = (self.table @ (self.soft[1] - self.soft[0])).astype(np.float32)
+        out = np.empty(len(self.size), np.float32)
+        for a in range(0, len(out), 1 << 16):
+            b = min(a + (1 << 16), len(out))
+            out[a:b] = word_values(per_bucket, self.ids[self.start[a] : self.start[b]], self.size[a:b])
+        return out
 
     def epoch(self, windows: list[np.ndarray], labels: np.ndarray, rate: float, batch: int = BATCH) -> None:
         order = self.rng.permutation(len(windows))
