@@ -48,7 +48,7 @@ from devdelta.llm.common import slices, staged
 SIZE = 2048
 END_ID = 1
 GROUPS = 4096
-CHUNKS = 700_000  # distinct chunks whose ids are kept
+CHUNKS = 1_400_000  # distinct chunks whose ids are kept, some 200 MB a worker
 #: Code points (first, last) of Unicode's White_Space, which the tokenizer's normaliser turns to blanks.
 WHITE_SPACE = [(0x9, 0xD), (0x20, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A)]
 WHITE_SPACE += [(0x2028, 0x2029), (0x202F, 0x202F), (0x205F, 0x205F), (0x3000, 0x3000)]
@@ -93,6 +93,9 @@ class Ids:
         """Ids of new chunks; letters before a tail of punctuation are a word of their own."""
         parts = {}
         for c in new:
+            if c.isalpha():
+                parts[c] = (c.lower() if c.isascii() else c,)
+                continue
             core = c.rstrip(_TAIL)
             if not core.isalpha():
                 parts[c] = (c,)
@@ -108,7 +111,7 @@ class Ids:
             self._encode_words(words[i : i + 4000])
         for c, p in parts.items():
             if c not in known:
-                known[c] = b"".join([known[w] for w in p])
+                known[c] = known[p[0]] if len(p) == 1 else known[p[0]] + known[p[1]]
 
     def _encode(self, chunks: list[str]) -> None:
         for c, e in zip(chunks, self.tokenizer.encode_batch_fast(chunks, add_special_tokens=False) if chunks else []):
