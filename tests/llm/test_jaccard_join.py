@@ -104,3 +104,27 @@ def test_components_of_a_long_path(spark):
 
 def test_empty_table(spark):
     assert J.similar_components(none(spark)).collect() == []
+
+
+def test_near_copies_beyond_the_threshold_form_few_pairs(spark, monkeypatch):
+    """A thousand texts that vary one text, each too far from it and from the others to link."""
+    rng = random.Random(21)
+    base = [f"w{i}" for i in range(160)]
+    texts = []
+    for i in range(1000):
+        words = list(base)
+        for k in rng.sample(range(160), 14):
+            words[k] = f"x{i}y{k}"
+        texts.append(" ".join(words))
+    made = []
+    across = J.Join.across
+
+    def counted(listed):
+        pairs = across(listed)
+        made.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(J.Join, "across", staticmethod(counted))
+    rows = J.similar_components(documents(spark, texts)).collect()
+    assert len(rows) == 1000 and all(r["component_id"] == r["doc_id"] for r in rows)
+    assert made and sum(made) < 3 * 1000
