@@ -6,15 +6,23 @@ aggregation, so a source that holds a third of all rows is summarised by many
 tasks and only sketches of bounded size are merged.  A measure's threshold is a
 quartile plus a multiple of the quartile range (in the direction that marks a
 bad document); the thresholds are joined to the documents by language and
-source, and a document beyond any of them is not kept.  A group of fewer than
-``SMALL`` documents takes the thresholds of its language's merged sketch.
+source, and a document beyond any of them is not kept.
+
+A group's quartiles are drawn toward those of its language's merged sketch, the
+more the fewer documents it has: n of n + ``SHRINK`` parts are its own.  There
+is no size at which its limits change by a jump.
 
 The measures are shares, so a long document isn't flagged for its length:
 repeated words in windows of three, symbols per word, duplicate lines per line,
-and characters per word (both ends).  The quartile range counts as a small width
-at least, so that a group with no spread does not flag its ordinary members.
-Most documents of most groups have no repeats, symbols or duplicate lines: there
-both quartiles are 0 and the width decides (0 + ``FENCE`` widths).
+and characters per word (both ends).  The first three are 0 for most documents,
+and a quartile range of zeros tells nothing.  They are taken to the angle whose
+sine squared is the share (its variance hardly depends on the share), with 3/8
+of a case added: the angle of no case in n words depends on n, so a group's
+quartiles have a range, the one its lengths give, and its limit is the share by
+which a document departs from the angles of its group.  Repeats have a long
+tail among good documents, hence the larger multiple.  The multiples were
+chosen on labelled rows outside the held-out part.  A range counts as a small
+width at least, for groups whose documents are all alike.
 
 Null text: no words.  Null language or source: a group of its own.  Empty table:
 no rows.  Repeated ids: every row is returned.
@@ -33,15 +41,20 @@ from devdelta.llm.common import staged, utf8
 SPACES = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
 KLL_K = 400  # rank error of about 0.4 %
-FENCE = 6.0
-SMALL = 30  # documents below which a group's own quartiles tell little
-# measure -> (SQL text, +1: large is bad or -1: small is bad, the least quartile range)
+SHRINK = 100  # documents at which a group's own quartiles count as much as its language's
+
+
+def _angle(cases: str, of: str) -> str:
+    return f"asin(sqrt(least(({cases} + 0.375D) / ({of} + 0.75D), 1D)))"
+
+
+# measure -> (SQL text, +1: large is bad or -1: small is bad, ranges beyond the quartile, the least range)
 MEASURES = {
-    "repeat_share": ("n_repeat_words / n_words", 1, 0.05),
-    "symbol_share": ("n_symbols / n_words", 1, 0.02),
-    "dup_line_share": ("n_dup_lines / n_lines", 1, 0.06),
-    "long_words": ("word_chars / n_words", 1, 0.1),
-    "short_words": ("word_chars / n_words", -1, 0.1),
+    "repeat_share": (_angle("n_repeat_words", "n_words"), 1, 12.0, 0.02),
+    "symbol_share": (_angle("n_symbols", "n_words"), 1, 6.0, 0.01),
+    "dup_line_share": (_angle("n_dup_lines", "n_lines"), 1, 4.0, 0.02),
+    "long_words": ("coalesce(word_chars / nullif(n_words, 0), 0D)", 1, 6.0, 0.1),
+    "short_words": ("coalesce(word_chars / nullif(n_words, 0), 0D)", -1, 4.0, 0.1),
 }
 
 
@@ -96,36 +109,36 @@ def base_failed() -> Column:
     return F.expr("n_words < 50 or 100 * n_repeat_words > 50 * n_words")
 
 
-def _limits(fence: float) -> list[Column]:
-    limits = []
-    for m, (_, sign, width) in MEASURES.items():
-        q1 = F.kll_sketch_get_quantile_double(m, F.lit(0.25))
-        q3 = F.kll_sketch_get_quantile_double(m, F.lit(0.75))
-        far = F.lit(fence) * F.greatest(q3 - q1, F.lit(width))
-        limits.append((q3 + far if sign > 0 else q1 - far).alias(f"{m}_limit"))
-    return limits
+def _quartiles() -> list[Column]:
+    return [F.kll_sketch_get_quantile_double(m, F.lit(p)).alias(f"{m}_{q}") for m in MEASURES for q, p in (("q1", 0.25), ("q3", 0.75))]
+
 
+def thresholds(measured: DataFrame, fence: float | None = None, k: int = KLL_K, shrink: float = SHRINK) -> DataFrame:
+    """lang, source and a threshold for each measure, from sketches of the rows that pass the base rules.
 
-def thresholds(measured: DataFrame, fence: float = FENCE, k: int = KLL_K, small: int = SMALL) -> DataFrame:
-    """lang, source and a threshold for each measure, from sketches of the rows that pass the base rules."""
+    ``fence`` replaces every measure's multiple of the quartile range.
+    """
     aggs = [F.kll_sketch_agg_double(F.col(m), F.lit(k)).alias(m) for m in MEASURES]
     sketches = measured.where(~F.col("base_failed")).groupBy("lang", "source").agg(F.count("*").alias("n"), *aggs)
     merged = sketches.groupBy("lang").agg(*[F.kll_merge_agg_double(F.col(m), F.lit(k)).alias(m) for m in MEASURES])
-    own = sketches.select("lang", "source", "n", *_limits(fence)).alias("own")
-    language = merged.select("lang", *_limits(fence)).alias("language")
-    chosen = [F.when(F.col("n") < small, F.col(f"language.{m}_limit")).otherwise(F.col(f"own.{m}_limit")).alias(f"{m}_limit") for m in MEASURES]
-    return own.join(language, F.col("own.lang").eqNullSafe(F.col("language.lang"))).select("own.lang", "source", *chosen)
+    own = sketches.select("lang", "source", "n", *_quartiles()).alias("own")
+    language = merged.select("lang", *_quartiles()).alias("language")
+    limits = []
+    for m, (_, sign, times, width) in MEASURES.items():
+        q1, q3 = (F.expr(f"(n * own.{m}_{q} + {float(shrink)}D * language.{m}_{q}) / (n + {float(shrink)}D)") for q in ("q1", "q3"))
+        far = F.lit(times if fence is None else fence) * F.greatest(q3 - q1, F.lit(width))
+        limits.append((q3 + far if sign > 0 else q1 - far).alias(f"{m}_limit"))
+    return own.join(language, F.col("own.lang").eqNullSafe(F.col("language.lang"))).select("own.lang", "source", *limits)
 
 
-def quality_rules(docs: DataFrame, fence: float = FENCE) -> DataFrame:
+def quality_rules(docs: DataFrame, fence: float | None = None) -> DataFrame:
     """doc_id, the counts, base_failed and kept for every row of ``docs`` (doc_id, text, lang, source)."""
     measured = document_counts(docs).withColumn("base_failed", base_failed())
-    shares = {m: F.expr(f"coalesce({e}, 0D)".replace("/ n_words", "/ nullif(n_words, 0)").replace("/ n_lines", "/ nullif(n_lines, 0)")) for m, (e, _, _) in MEASURES.items()}
-    measured = staged(measured.withColumns(shares), "rule-counts")
+    measured = staged(measured.withColumns({m: F.expr(e) for m, (e, *_) in MEASURES.items()}), "rule-counts")
     limits = thresholds(measured, fence)
     on = measured["lang"].eqNullSafe(limits["lang"]) & measured["source"].eqNullSafe(limits["source"])
     beyond = F.lit(False)
-    for m, (_, sign, _) in MEASURES.items():
+    for m, (_, sign, *_) in MEASURES.items():
         limit = F.col(f"{m}_limit")
         beyond = beyond | F.coalesce(F.col(m) > limit if sign > 0 else F.col(m) < limit, F.lit(False))
     joined = measured.join(limits, on, "left")

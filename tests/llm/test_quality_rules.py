@@ -73,3 +73,25 @@ def test_awkward_and_empty(spark):
     assert sum(map(len, got.values())) == df.count()
     assert got[0][0]["base_failed"] and not got[1][0]["kept"] and len(got[8]) == 3
     assert Q.quality_rules(none(spark)).collect() == []
+
+
+def test_small_groups_lean_on_their_language_without_a_jump(spark):
+    ddl = "lang string, source string, " + ", ".join(f"{m} double" for m in Q.MEASURES) + ", base_failed boolean"
+    sizes = [1, 29, 30, 31, 100, 400]
+    rows = [("en", f"s{n}", *[0.6 + 0.2 * (i % 2)] * 5, False) for n in sizes for i in range(n)]
+    rows += [("en", "other", *[0.1 + 0.1 * (i % 2)] * 5, False) for i in range(4000)]
+    got = {r["source"]: r["repeat_share_limit"] for r in Q.thresholds(spark.createDataFrame(rows, ddl), fence=0.0).collect()}
+    limits = [got[f"s{n}"] for n in sizes]
+    assert all(abs(x - (n * 0.8 + Q.SHRINK * 0.2) / (n + Q.SHRINK)) < 0.01 for n, x in zip(sizes[1:], limits[1:]))
+    assert limits == sorted(limits) and limits[2] - limits[1] < 0.01
+
+
+def test_groups_without_any_symbols_have_limits_of_their_own(spark):
+    rng = random.Random(9)
+    rows = [(words(rng, rng.randrange(60, 200), 5000), "en", "short") for _ in range(150)]
+    rows += [(words(rng, rng.randrange(600, 2000), 5000), "en", "long") for _ in range(150)]
+    df = spark.createDataFrame([(i, *r, len(r[0])) for i, r in enumerate(rows)], DOCS_DDL)
+    measured = Q.document_counts(df).withColumn("base_failed", Q.base_failed()).selectExpr("*", *[f"{e} AS {m}" for m, (e, *_) in Q.MEASURES.items()])
+    got = {r["source"]: r["symbol_share_limit"] for r in Q.thresholds(measured).collect()}
+    assert got["short"] > 1.2 * got["long"]
+    assert all(r["kept"] for r in Q.quality_rules(df).collect())
