@@ -86,87 +86,53 @@ def _names(s: np.ndarray, lms: np.ndarray, ordered: np.ndarray) -> np.ndarray:
     return names[lms]
 
 
+def _order_of_names(names: np.ndarray) -> np.ndarray:
+    """The order of the suffixes of a string of names.
+
+    Recursive: the ranks of the pieces of ``width`` names name the pieces of
+    twice that width, which only those not yet told apart need.
+    """
+    n = len(names)
+    count = np.bincount(names)
+    first = np.cumsum(count) - count
+    rank = first[names]
+    open_ = np.flatnonzero(count[names] > 1)
+    width = 1
+    while len(open_):
+        after = open_ + width
+        second = np.zeros(len(open_), np.int64)  # the end is smaller than all names
+        inside = after < n
+        second[inside] = rank[after[inside]] + 1
+        pair = rank[open_] * (n + 1) + second
+        by = np.argsort(pair)
+        open_, pair = open_[by], pair[by]
+        old = rank[open_]
+        begins = np.concatenate(([True], pair[1:] != pair[:-1]))
+        group = np.concatenate(([True], old[1:] != old[:-1]))
+        at = np.arange(len(open_))
+        begin = np.maximum.accumulate(np.where(begins, at, 0))
+        rank[open_] = old + begin - np.maximum.accumulate(np.where(group, at, 0))
+        open_ = open_[~(begins & np.concatenate((begins[1:], [True])))]
+        width *= 2
+    order = np.empty(n, np.int64)
+    order[rank] = np.arange(n)
+    return order
+
+
 def suffix_array(s: np.ndarray, k: int) -> np.ndarray:
     """The order of the suffixes of ``s`` (values 0 to k - 1)."""
     if not len(s):
         return np.zeros(0, np.int64)
-    if k > 1024 and k * 64 > len(s):
-        return np.array(_by_lists(s.tolist(), k), np.int64)
     small = _types(s)
     lms = np.flatnonzero(small[1:] & ~small[:-1]) + 1
     if len(lms) > 1:
         is_lms = np.zeros(len(s), bool)
         is_lms[lms] = True
         rough = _induce(s, small, lms, k)
-        names = _names(s, lms, rough[is_lms[rough]])
-        count = int(names.max()) + 1
-        if count == len(names):
-            order = np.empty(count, np.int64)
-            order[names] = np.arange(count)
-        else:
-            order = suffix_array(names, count)
-        lms = lms[order]
+        lms = lms[_order_of_names(_names(s, lms, rough[is_lms[rough]]))]
     return _induce(s, small, lms, k)
 
 
-def _by_lists(s: list[int], k: int) -> list[int]:
-    """The same steps for strings of names, whose many buckets are too small for whole-bucket steps."""
-    n = len(s)
-    if n == 1:
-        return [0]
-    small = bytearray(n)
-    for i in range(n - 2, -1, -1):
-        a, b = s[i], s[i + 1]
-        small[i] = a < b or (a == b and small[i + 1])
-    counts = [0] * k
-    for c in s:
-        counts[c] += 1
-    first, total = [], 0
-    for c in counts:
-        first.append(total)
-        total += c
-    after = [a + c for a, c in zip(first, counts)]
-
-    def induce(seeds: list[int]) -> list[int]:
-        out = [-1] * n
-        tail = after[:]
-        for i in reversed(seeds):
-            c = s[i]
-            tail[c] -= 1
-            out[tail[c]] = i
-        head = first[:]
-        c = s[-1]
-        out[head[c]] = n - 1
-        head[c] += 1
-        for i in out:  # sees what is written ahead of it
-            if i > 0 and not small[i - 1]:
-                c = s[i - 1]
-                out[head[c]] = i - 1
-                head[c] += 1
-        tail = after[:]
-        for at in range(n - 1, -1, -1):
-            i = out[at]
-            if i > 0 and small[i - 1]:
-                c = s[i - 1]
-                tail[c] -= 1
-                out[tail[c]] = i - 1
-        return out
-
-    lms = [i for i in range(1, n) if small[i] and not small[i - 1]]
-    if len(lms) > 1:
-        is_lms = bytearray(n)
-        for i in lms:
-            is_lms[i] = 1
-        ordered = np.array([i for i in induce(lms) if is_lms[i]], np.int64)
-        names = _names(np.array(s, np.int64), np.array(lms, np.int64), ordered)
-        count = int(names.max()) + 1
-        if count == len(lms):
-            lms = ordered.tolist()
-        else:
-            lms = [lms[i] for i in _by_lists(names.tolist(), count)]
-    return induce(lms)
-
-
 def permuted_prefixes(s: np.ndarray, order: np.ndarray) -> np.ndarray:
     """For each position the length of the prefix its suffix shares with the suffix before it in order.
 

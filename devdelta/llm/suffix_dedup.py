@@ -9,20 +9,24 @@ string, not window by window.
 
 1. A pass over the texts writes a row per run: key, place, number of windows
    and a 128-bit identity (the key and a hash of the bytes).
-2. Runs are counted by identity and by key.  A run that occurs twice is removed
-   whole; a key that occurs once is done with.  Only keys with several
-   different runs need a look at bytes: one occurrence of each is fetched.
+2. Runs are counted by identity and by key.  A key that occurs once, in a run
+   that can't repeat itself, is done with.  Of all other keys one occurrence of
+   each different run is fetched, and the run's count goes with it as a weight,
+   so a passage in a million documents is sorted once.
 3. A shard's runs are joined to one string; its suffixes are classified and
-   sorted by induced sorting, the leftmost-smaller ones recursively
+   sorted by induced sorting, the leftmost-smaller ones by recursive naming
    (suffix_array.py), and the permuted common prefixes tell which windows share
-   ``size`` bytes with a neighbour in order.
+   ``size`` bytes with a neighbour in order.  A window is repeated if the
+   weights of the suffixes that share it add up to two.
 4. The windows found are joined to all occurrences of their runs and each
    text's removed intervals are united.
 
 Hot keys: counts are pre-aggregated; joins are on plain equality, so Spark
 splits skewed sides.  A key whose different runs exceed ``SHARD_BYTES`` isn't
-put into one shard: its windows are counted by their own 128-bit digests, which
-spreads them evenly and gives the same answer.
+put into one shard (one task would sort it alone): its windows are counted, by
+weight, by their own 128-bit digests, which spreads them evenly and gives the
+same answer.  The shards are dealt over as many tasks as their bytes ask for
+(``TASK_BYTES``), not over as few as their size on disk would allow.
 
 Null or empty text: nothing removed.  Repeated ids: every row is a text of its
 own (and equal rows repeat each other).  Very long texts are cut into stretches
@@ -49,6 +53,7 @@ GRAM = 64
 STRETCH = 1 << 20  # windows of a text that are looked at together
 BATCH = 1 << 20  # bytes of a shard's string
 SHARD_BYTES = 4 << 20
+TASK_BYTES = 16 << 20  # of shards, for one task
 
 _seed = np.random.default_rng(9)
 _BYTE = _seed.integers(0, 2**64, 256, dtype=np.uint64)
@@ -127,8 +132,8 @@ def _intervals(flags: np.ndarray) -> list[dict]:
     return [{"a": a, "b": b} for a, b in zip(edge[::2].tolist(), edge[1::2].tolist())]
 
 
-def repeated_windows(contents: list[bytes], size: int) -> list[np.ndarray]:
-    """For each string, which of its windows occur again in it or in another one."""
+def repeated_windows(contents: list[bytes], size: int, weights: list[int] | None = None) -> list[np.ndarray]:
+    """For each string, which of its windows occur again in it or in another one; a string of weight w stands for w."""
     lengths = np.array([len(c) for c in contents])
     ends = np.cumsum(lengths + 1)
     s = np.zeros(int(ends[-1]), np.int16)  # 0 stands between strings
@@ -138,6 +143,8 @@ def repeated_windows(contents: list[bytes], size: int) -> list[np.ndarray]:
     far = permuted_prefixes(s, order)[order] >= size
     repeated = np.zeros(len(s), bool)
     repeated[order] = far | np.concatenate((far[1:], [False]))
+    if weights is not None:
+        repeated |= np.repeat(np.array(weights) > 1, lengths + 1)
     return [repeated[e - 1 - n : e - size] for n, e in zip(lengths, ends)]
 
 
@@ -149,7 +156,7 @@ def _shards(size: int, batch: int):
     """Rows sorted by key -> key, cid and the intervals of repeated windows."""
 
     def solve(rows: list[tuple]) -> pa.RecordBatch:
-        found = [_intervals(x) for x in repeated_windows([r[2] for r in rows], size)]
+        found = [_intervals(x) for x in repeated_windows([r[2] for r in rows], size, [r[3] for r in rows])]
         return pa.RecordBatch.from_arrays(
             [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()), pa.array(found, SPANS)],
             ["key", "cid", "spans"],
@@ -160,7 +167,7 @@ def _shards(size: int, batch: int):
         amount = 0
         for b in batches:
             for i in range(b.num_rows):
-                row = (b["key"][i].as_py(), b["cid"][i].as_py(), b["content"][i].as_py())
+                row = (b["key"][i].as_py(), b["cid"][i].as_py(), b["content"][i].as_py(), b["c"][i].as_py())
                 if amount >= batch and row[0] != held[-1][0]:
                     yield solve(held)
                     held, amount = [], 0
@@ -173,35 +180,34 @@ def _shards(size: int, batch: int):
 
 
 def _digests(size: int):
-    """key, cid, content -> a row per window with its digest."""
+    """key, cid, c, content -> a row per window with its digest and its run's weight."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "content", 64 << 10):
-            out: tuple[list, ...] = ([], [], [], [])
-            for k, c, content in zip(b["key"].to_pylist(), b["cid"].to_pylist(), b["content"].to_pylist()):
+            out: tuple[list, ...] = ([], [], [], [], [])
+            for k, i, c, content in zip(*(b[n].to_pylist() for n in ("key", "cid", "c", "content"))):
                 view = memoryview(content)
                 for a in range(len(content) - size + 1):
-                    for col, v in zip(out, (k, c, a, xxhash.xxh3_128_digest(view[a : a + size]))):
+                    for col, v in zip(out, (k, i, c, a, xxhash.xxh3_128_digest(view[a : a + size]))):
                         col.append(v)
-            types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], ["key", "cid", "a", "digest"])
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], ["key", "cid", "c", "a", "digest"])
 
     return run
 
 
 def _fetch(size: int):
-    """text and its wanted runs -> key, cid, content."""
+    """text and its wanted runs -> key, cid, c, content."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             out = []
             for text, wanted in zip(b["text"].to_pylist(), b["wanted"].to_pylist()):
                 data = utf8(text)
-                out += [(w["key"], w["cid"], data[w["start"] : w["start"] + w["n"] + size - 1]) for w in wanted]
-            cols = list(zip(*out)) if out else [[]] * 3
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary()))], ["key", "cid", "content"]
-            )
+                out += [(w["key"], w["cid"], w["c"], data[w["start"] : w["start"] + w["n"] + size - 1]) for w in wanted]
+            cols = list(zip(*out)) if out else [[]] * 4
+            types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["key", "cid", "c", "content"])
 
     return run
 
@@ -231,7 +237,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def repeated_intervals(
-    rows: DataFrame, size: int = SIZE, gram: int = GRAM, stretch: int = STRETCH, batch: int = BATCH, shard_bytes: int = SHARD_BYTES
+    rows: DataFrame,
+    size: int = SIZE,
+    gram: int = GRAM,
+    stretch: int = STRETCH,
+    batch: int = BATCH,
+    shard_bytes: int = SHARD_BYTES,
+    task_bytes: int = TASK_BYTES,
 ) -> DataFrame:
     """uid and the byte intervals (a, b) of ``rows`` (uid, text) that repeated strings cover."""
     runs = staged(text_runs(rows, size, gram, stretch), "runs")
@@ -239,34 +251,30 @@ def repeated_intervals(
         F.count("*").alias("c"), F.max("own").alias("own"), F.min(F.struct("uid", "start")).alias("at"), F.max("n").alias("n")
     )
     by_cid = staged(by_cid, "run-identities")
-    by_key = by_cid.groupBy("key").agg(
-        F.count("*").alias("kinds"), F.sum("c").alias("total"), F.max("own").alias("any_own"), F.sum(F.col("n") + (size - 1)).alias("bytes")
-    )
-    by_key = by_key.where("total > 1 or any_own").drop("total")
-    marked = staged(by_cid.join(by_key, "key"), "run-marks")
-
-    look = marked.where("kinds > 1 or any_own")
-    wanted = look.groupBy("at.uid").agg(F.collect_list(F.struct("key", "cid", "at.start", "n")).alias("wanted"))  # of one text
-    fetched = rows.join(wanted, "uid").select("text", "wanted").mapInArrow(_fetch(size), "key long, cid long, content binary")
+    by_key = by_cid.groupBy("key").agg(F.sum("c").alias("total"), F.max("own").alias("own"), F.sum(F.col("n") + (size - 1)).alias("bytes"))
+    by_key = by_key.where("total > 1 or own").select("key", "bytes")
+    look = staged(by_cid.drop("own").join(by_key, "key"), "run-marks")
+
+    wanted = look.groupBy("at.uid").agg(F.collect_list(F.struct("key", "cid", "c", "at.start", "n")).alias("wanted"))  # of one text
+    fetched = rows.join(wanted, "uid").select("text", "wanted").mapInArrow(_fetch(size), "key long, cid long, c long, content binary")
+    held, most = look.agg(F.coalesce(F.sum(F.col("n") + (size - 1)), F.lit(0)), F.coalesce(F.max("bytes"), F.lit(0))).first()
+    some_hot = most > shard_bytes
     hot = look.where(F.col("bytes") > shard_bytes).select("key").distinct()
-    some_hot = not hot.isEmpty()
     if some_hot:
         fetched = staged(fetched, "run-contents")
     plain = fetched.join(hot, "key", "left_anti") if some_hot else fetched
-    plain = plain.repartition("key").sortWithinPartitions("key", "cid")
+    tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-held // task_bytes))
+    plain = plain.repartition(tasks, "key").sortWithinPartitions("key", "cid")
     found = plain.mapInArrow(_shards(size, batch), SPANS_DDL).where(F.size("spans") > 0)
     if some_hot:
-        windows = staged(
-            fetched.join(hot, "key", "left_semi").mapInArrow(_digests(size), "key long, cid long, a long, digest binary"), "windows"
-        )
-        twice = windows.groupBy("digest").agg(F.count("*").alias("c")).where("c > 1").select("digest")
+        windows = fetched.join(hot, "key", "left_semi").mapInArrow(_digests(size), "key long, cid long, c long, a long, digest binary")
+        windows = staged(windows, "windows")
+        twice = windows.groupBy("digest").agg(F.sum("c").alias("c")).where("c > 1").select("digest")
         one: Column = F.struct("a", (F.col("a") + 1).alias("b"))
         singles = windows.join(twice, "digest").groupBy("key", "cid").agg(F.collect_list(one).alias("spans"))  # of one run
         found = found.unionByName(singles)
 
-    whole = marked.where("c > 1").select("key", "cid", F.array(F.struct(F.lit(0).cast("long").alias("a"), F.col("n").alias("b"))).alias("spans"))
-    part = found.join(marked.where("c = 1").select("key", "cid"), ["key", "cid"])
-    flagged = staged(whole.unionByName(part), "run-spans")
+    flagged = staged(found, "run-spans")
     hits = runs.select("uid", "key", "cid", "start").join(flagged, ["key", "cid"])
     hits = hits.select("uid", "start", F.explode("spans").alias("x"))
     return hits.select("uid", (F.col("start") + F.col("x.a")).alias("a"), (F.col("start") + F.col("x.b") + (size - 1)).alias("b"))

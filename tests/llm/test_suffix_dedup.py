@@ -8,7 +8,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from devdelta.llm import suffix_dedup as S
-from devdelta.llm.suffix_array import _by_lists, permuted_prefixes, suffix_array
+from devdelta.llm.suffix_array import _order_of_names, permuted_prefixes, suffix_array
 from tests.llm.helpers import awkward, documents, none, words
 
 
@@ -51,7 +51,7 @@ def test_suffix_array_and_prefixes(s, times):
     s = s * times
     want = sorted(range(len(s)), key=lambda i: s[i:])
     a = np.array(s, np.int16)
-    assert suffix_array(a, 4).tolist() == want == _by_lists(s, 4)
+    assert suffix_array(a, 4).tolist() == want == _order_of_names(np.array(s)).tolist()
     got = permuted_prefixes(a, np.array(want))
     for x, y in zip(want, want[1:]):
         n = 0
