@@ -7,40 +7,50 @@
   ids come from a pre-aggregated group and are joined to the pages, so a payload
   that a third of all pages share is spread over tasks by the join.  The
   archives are written by Spark's text writer with a record's end (two CRLF) as
-  separator, compressed file by file; records are read by their Content-Length.
-* ``read_runs``: each archive is streamed once.  Its captures, with digests of
-  the payloads that were read, are sorted locally by URL key and time: a run.
-* ``merge_runs``: runs are cut at ranges of (URL key, time, record), which a
-  single URL's many captures don't overfill, and the pieces of the runs that
-  meet in a range are merged k-way by a loser tree.  Ranges follow each other,
-  so the whole is one ordered capture history.
+  separator, compressed file by file.
+* ``read_runs``: Spark's text reader streams each archive, cut at the same
+  separator, and records are taken out by their Content-Length, so no archive
+  is held whole, whatever its size.  An archive's captures (``records_per_file``
+  at most), with digests of the payloads that were read and the record's place
+  in the unpacked archive, are sorted locally by URL key and time: a run.  The
+  runs are written to the shared folder.
+* ``merge_runs``: the runs are cut at ranges of (URL key, time, page, record),
+  as many as their captures ask for, so that a range holds about ``RANGE_ROWS``
+  of them even if all are of one URL, one time or one page.  Spark's sort brings
+  each run's piece of a range in its own order; the pieces are merged k-way by a
+  loser tree over iterators.  Ranges follow each other, so the whole is one
+  ordered capture history: an index with archive, offset and length.
 
 Null html: empty payload.  Null url: empty.  Null and repeated page ids: every
-row is a record; of equal rows one is the response.  Empty table: no rows.
+row is a record with an id of its own; of equal rows one is the response.  Empty
+table: no rows.
 """
 
 from __future__ import annotations
 
 import hashlib
-import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import groupby, islice
 from urllib.parse import urlsplit
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from devdelta.llm.common import row_id
+from devdelta.llm.common import row_id, staged
 from devdelta.session import scratch_path
 
 LEAST = 1000
 RECORDS_PER_FILE = 5000
+RANGE_ROWS = 100_000  # captures of a range that one task merges, about
 EPOCH = 1_577_836_800  # pages without a capture time: seconds after 2020-01-01 by page_id
 END = "\r\n\r\n"
 
 
-def _record_uri(page: Column) -> Column:
-    return F.concat(F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("none")), F.lit(">"))
+def _record_uri(page: Column, uid: str) -> Column:
+    number = F.concat(F.hex(f"{uid}.f"), F.lit("-"), F.col(f"{uid}.r").cast("string"))
+    return F.concat(F.lit("<urn:page:"), F.coalesce(page.cast("string"), F.lit("none")), F.lit(":"), number, F.lit(">"))
 
 
 def write_archives(pages: DataFrame, path: str, least: int = LEAST, captured: Column | None = None, records_per_file: int = RECORDS_PER_FILE) -> None:
@@ -65,7 +75,7 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST, captured: Co
         F.lit("WARC/1.1\r\nWARC-Type: "),
         F.when(revisit, F.lit("revisit")).otherwise(F.lit("response")),
         F.lit("\r\nWARC-Record-ID: "),
-        _record_uri(F.col("page_id")),
+        _record_uri(F.col("page_id"), "uid"),
         F.lit("\r\nWARC-Target-URI: "),
         F.col("url"),
         F.lit("\r\nWARC-Date: "),
@@ -76,7 +86,7 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST, captured: Co
             revisit,
             F.concat(
                 F.lit("\r\nWARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest\r\nWARC-Refers-To: "),
-                _record_uri(F.col("best.page_id")),
+                _record_uri(F.col("best.page_id"), "best.uid"),
             ),
         ).otherwise(F.lit("")),
         F.lit("\r\nContent-Type: application/http; msgtype=response\r\nContent-Length: "),
@@ -89,22 +99,17 @@ def write_archives(pages: DataFrame, path: str, least: int = LEAST, captured: Co
 
 
 class _Stream:
-    """Reads on from compressed bytes without unpacking them whole."""
+    """Reads on from the pieces of an archive between record ends, without holding it whole."""
 
-    def __init__(self, data: bytes, step: int = 1 << 20):
-        self.data, self.step, self.at, self.held = memoryview(data), step, 0, bytearray()
-        self.unpack = zlib.decompressobj(31)
+    def __init__(self, pieces: Iterator[bytes]):
+        self.pieces, self.held, self.at = pieces, bytearray(), 0
 
     def more(self) -> bool:
-        if self.at >= len(self.data):
+        piece = next(self.pieces, None)
+        if piece is None:
             return False
-        part = self.data[self.at : self.at + self.step]
-        self.at += self.step
-        while part:
-            self.held += self.unpack.decompress(part)
-            part = self.unpack.unused_data
-            if self.unpack.eof:  # another member may follow
-                self.unpack = zlib.decompressobj(31)
+        self.held += piece
+        self.held += END.encode()
         return True
 
     def until(self, mark: bytes) -> bytes | None:
@@ -115,6 +120,7 @@ class _Stream:
                 return None
         out = bytes(self.held[:i])
         del self.held[: i + len(mark)]
+        self.at += i + len(mark)
         return out
 
     def take(self, n: int) -> bytes:
@@ -122,6 +128,7 @@ class _Stream:
             pass
         out = bytes(self.held[:n])
         del self.held[:n]
+        self.at += n
         return out
 
 
@@ -142,16 +149,18 @@ def url_key(url: str) -> str:
 
 
 def _page(uri: str) -> int | None:
-    number = uri.strip("<>").rpartition(":")[2]
+    number = uri.strip("<>").split(":")[2]
     return None if number == "none" else int(number)
 
 
-def captures(data: bytes) -> Iterator[tuple]:
-    """(urlkey, captured, page_id, payload_bytes, payload_digest, record_type, refers_to) of an archive's records."""
-    stream = _Stream(data)
-    while (head := stream.until(END.encode())) is not None:
+def captures(pieces: Iterator[bytes]) -> Iterator[tuple]:
+    """NAMES of the records of an archive, which comes as the pieces between its record ends."""
+    stream = _Stream(pieces)
+    # A block that ends with CRLF may leave a separator more behind the last record: an empty head.
+    while (start := stream.at) is not None and (head := stream.until(END.encode())):
         f = _fields(head)
         block = stream.take(int(f["content-length"]))
+        length = stream.at - start
         stream.take(len(END))
         http, _, payload = block.partition(END.encode())
         kind = f["warc-type"]
@@ -159,49 +168,52 @@ def captures(data: bytes) -> Iterator[tuple]:
             size, digest, refers = len(payload), hashlib.sha1(payload).hexdigest(), None
         else:
             size, digest, refers = int(_fields(http)["content-length"]), f["warc-payload-digest"].removeprefix("sha1:"), _page(f["warc-refers-to"])
-        yield url_key(f["warc-target-uri"]), f["warc-date"], _page(f["warc-record-id"]), size, digest, kind, refers
+        yield url_key(f["warc-target-uri"]), f["warc-date"], _page(f["warc-record-id"]), size, digest, kind, refers, start, length
 
 
-NAMES = ["urlkey", "captured", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"]
-TYPES = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64()]
+NAMES = ["urlkey", "captured", "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "offset", "length"]
+TYPES = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()]
 DDL = "urlkey string, captured string, page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
+DDL += ", offset long, length long, archive string"
 
 
 def _order(row: tuple) -> tuple:
     return row[0], row[1], row[2] is not None, row[2] or 0
 
 
-def _batch(rows: list[tuple], extra: list[tuple[str, list, pa.DataType]] = []) -> pa.RecordBatch:
-    cols = list(zip(*rows)) if rows else [[]] * len(NAMES)
-    arrays = [pa.array(c, t) for c, t in zip(cols, TYPES)] + [pa.array(c, t) for _, c, t in extra]
-    return pa.RecordBatch.from_arrays(arrays, NAMES + [n for n, _, _ in extra])
-
-
 def read_runs(spark: SparkSession, path: str) -> DataFrame:
     """The captures of the archives below ``path``; a run (one archive's) is sorted, ``place`` counts in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for i in range(b.num_rows):
-                name = b["path"][i].as_py()
-                rows = sorted(captures(b["content"][i].as_buffer()), key=_order)
-                for at in range(0, len(rows), 5000):
-                    part = rows[at : at + 5000]
-                    places = list(range(at, at + len(part)))
-                    yield _batch(part, [("run", [name] * len(part), pa.string()), ("place", places, pa.int64())])
+        lines = ((name, line) for b in batches for name, line in zip(b["archive"].to_pylist(), b["value"].to_pylist()))
+        for name, mine in groupby(lines, key=lambda x: x[0]):  # an archive's lines come together, in order
+            rows = sorted(captures(line for _, line in mine), key=_order)
+            arrays = [pa.array(c, t) for c, t in zip(zip(*rows), TYPES)]
+            extra = [pa.array([name] * len(rows)), pa.array(range(len(rows)), pa.int64())]
+            yield pa.RecordBatch.from_arrays([*arrays, *extra], [*NAMES, "archive", "place"])
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select("path", "content").mapInArrow(run, DDL + ", run string, place long")
+    lines = spark.read.option("lineSep", END).schema("value string").text(path)
+    # A compressed file isn't split: one task streams it.
+    return lines.select(F.col("_metadata.file_name").alias("archive"), F.col("value").cast("binary")).mapInArrow(run, DDL + ", place long")
 
 
-def loser_tree_merge(runs: list[list], key) -> Iterator:
-    """Merge sorted runs; each inner node of the tree keeps the loser of its match, the winner goes up."""
+def loser_tree_merge(runs: list[Iterator], key: Callable) -> Iterator:
+    """Merge sorted iterators; each inner node of the tree keeps the loser of its match, the winner goes up."""
+    runs = [iter(r) for r in runs]
     k = len(runs)
     if not k:
         return
-    at = [0] * k
-    last = (1,)  # after every key
-    keys = [(0, key(r[0]), i) if r else (*last, i) for i, r in enumerate(runs)]
+    heads: list = [None] * k
+    keys: list[tuple] = [()] * k
+
+    def step(i: int) -> None:
+        for heads[i] in runs[i]:
+            keys[i] = (0, key(heads[i]), i)
+            return
+        keys[i] = (1, i)  # after every key
+
+    for i in range(k):
+        step(i)
     tree = [-1] * k
     for i in range(k):  # play the leaves in, one after the other
         winner, node = i, (i + k) // 2
@@ -217,9 +229,8 @@ def loser_tree_merge(runs: list[list], key) -> Iterator:
             tree[0] = winner
     while keys[tree[0]][0] == 0:
         i = tree[0]
-        yield runs[i][at[i]]
-        at[i] += 1
-        keys[i] = (0, key(runs[i][at[i]]), i) if at[i] < len(runs[i]) else (*last, i)
+        yield heads[i]
+        step(i)
         winner, node = i, (i + k) // 2
         while node > 0:
             if keys[tree[node]] < keys[winner]:
@@ -228,28 +239,31 @@ def loser_tree_merge(runs: list[list], key) -> Iterator:
         tree[0] = winner
 
 
-def merge_runs(runs: DataFrame) -> DataFrame:
+def _piece(rows: pa.Table, start: int, end: int, step: int = 1000) -> Iterator[tuple]:
+    """(order, row number) of a run's piece, some rows at a time."""
+    for a in range(start, end, step):
+        part = rows.slice(a, min(step, end - a))
+        keys = zip(*(part[n].to_pylist() for n in NAMES[:3]))
+        yield from zip(map(_order, keys), range(a, a + part.num_rows))
+
+
+def merge_runs(runs: DataFrame, range_rows: int = RANGE_ROWS) -> DataFrame:
     """All captures, ordered by URL key, time and page from the first partition to the last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces: dict[str, list] = {}
-        for b in batches:
-            cols = [b[n].to_pylist() for n in (*NAMES, "place")]
-            for name, *row in zip(b["run"].to_pylist(), *cols):
-                pieces.setdefault(name, []).append(tuple(row))
-        for piece in pieces.values():
-            # The shuffle may have cut a piece into blocks: put them in the run's order again.
-            piece.sort(key=lambda row: row[-1])
-        out: list[tuple] = []
-        for row in loser_tree_merge([pieces[n] for n in sorted(pieces)], _order):
-            out.append(row[:-1])
-            if len(out) == 10_000:
-                yield _batch(out)
-                out = []
-        if out:
-            yield _batch(out)
-
-    return runs.repartitionByRange("urlkey", "captured", "page_id").mapInArrow(run, DDL)
+        held = list(batches)
+        if not held:
+            return
+        rows = pa.Table.from_batches(held)
+        code = rows["archive"].combine_chunks().dictionary_encode().indices.to_numpy()
+        edges = [0, *(np.flatnonzero(code[1:] != code[:-1]) + 1).tolist(), len(code)] if len(code) else [0]
+        merged = loser_tree_merge([_piece(rows, a, b) for a, b in zip(edges, edges[1:])], lambda x: x[0])
+        while taken := [i for _, i in islice(merged, 10_000)]:
+            yield from rows.take(taken).drop_columns(["place"]).combine_chunks().to_batches()
+
+    ranges = max(1, -(-runs.count() // range_rows))
+    cut = runs.repartitionByRange(ranges, "urlkey", "captured", "page_id", "archive", "place")
+    return cut.sortWithinPartitions("archive", "place").mapInArrow(run, DDL)
 
 
 def archive_history(pages: DataFrame, least: int = LEAST) -> DataFrame:
@@ -257,4 +271,4 @@ def archive_history(pages: DataFrame, least: int = LEAST) -> DataFrame:
     spark = pages.sparkSession
     path = scratch_path(spark, "warc")
     write_archives(pages, path, least)
-    return merge_runs(read_runs(spark, path))
+    return merge_runs(staged(read_runs(spark, path), "capture-runs"))

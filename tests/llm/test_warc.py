@@ -1,6 +1,7 @@
+import gzip
 import hashlib
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 from devdelta.llm import warc as W
 
@@ -36,6 +37,31 @@ def test_round_trip_equals_brute_force(spark):
     assert keys == sorted(keys)  # ranges follow each other
 
 
+def test_the_index_leads_to_its_records(spark, tmp_path):
+    ends = ["\r\n", "\r", "\r\n\r", "\n\r\n\r\n", "\r\n\r\n", "\r\r\n\r\n\r\n", "x"]
+    rows = [(i % 9, f"http://h{i % 2}.org/", ("é" * (i % 4) + end) * 2) for i, end in enumerate(ends * 4)]
+    path = str(tmp_path / "archives")
+    W.write_archives(pages(spark, rows).repartition(3), path, least=2, records_per_file=5)
+    runs = W.read_runs(spark, path)
+    data = {f.name: gzip.decompress(f.read_bytes()) for f in (tmp_path / "archives").glob("part-*")}
+    assert len(data) > 5 and max(Counter(r["archive"] for r in runs.collect()).values()) <= 5
+    for size in (1, 4, 100):  # many ranges, of ties too
+        got = W.merge_runs(runs, size).collect()
+        order = [(r["urlkey"], r["captured"], r["page_id"]) for r in got]
+        assert len(got) == len(rows) and order == sorted(order)
+        ids = set()
+        for r in got:
+            record = data[r["archive"]][r["offset"] : r["offset"] + r["length"]]
+            assert data[r["archive"]][r["offset"] + r["length"] :].startswith(b"\r\n\r\n")
+            head, _, block = record.partition(b"\r\n\r\n")
+            fields = dict(x.split(": ", 1) for x in head.decode().split("\r\n")[1:])
+            assert len(block) == int(fields["Content-Length"]) and fields["WARC-Type"] == r["record_type"]
+            ids.add(fields["WARC-Record-ID"])
+            if r["record_type"] == "response":
+                assert hashlib.sha1(block.partition(b"\r\n\r\n")[2]).hexdigest() == r["payload_digest"]
+        assert len(ids) == len(rows)  # repeated page ids too
+
+
 def test_loser_tree():
     rng = random.Random(1)
     for _ in range(500):
