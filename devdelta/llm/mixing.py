@@ -9,10 +9,10 @@ full or nothing is left; only what no sibling can take goes up to the parent,
 which offers it to its own siblings in the same way.
 
 The tree has one row per (domain, language, source) and comes from a
-pre-aggregated count.  Up to ``max_leaves`` leaves it is worked out on the driver;
-above, level by level in Spark: siblings fill up in the order of capacity over
-weight, so sums over a parent's distinct values of that ratio tell which are full
-and what the others get for each unit of weight.
+pre-aggregated count, however many there are, and is worked out level by level in
+Spark: siblings fill up in the order of capacity over weight, so sums over a
+parent's distinct values of that ratio tell which are full and what the others
+get for each unit of weight.
 
 Each leaf takes a prefix, in tokens, of its documents.  Every epoch has its own
 order, seeded: by a hash of seed, epoch and document.  Epochs before the last
@@ -29,8 +29,6 @@ named ''.  Repeated ids and rows: each row is a document.  Empty table: no rows.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -38,73 +36,12 @@ from pyspark.sql.window import Window
 from devdelta.llm.common import row_id, staged
 
 BUCKETS = 1024
-MAX_LEAVES = 100_000
-
-
-@dataclass
-class Node:
-    weight: float = 1.0
-    tokens: int = 0  # held by the documents below it
-    budget: float = 0.0
-    children: dict[str, "Node"] = field(default_factory=dict)
-
-    def capacity(self, epochs: int) -> float:
-        return self.tokens * epochs
-
-
-def tree(leaves: list[tuple[tuple[str, ...], int]], weights: dict[tuple[str, ...], float] | None = None) -> Node:
-    """The tree over leaf paths and their tokens; ``weights`` maps paths (of any depth) to weights."""
-    root = Node()
-    for path, tokens in leaves:
-        root.tokens += tokens
-        node = root
-        for depth, name in enumerate(path):
-            weight = (weights or {}).get(path[: depth + 1], 1.0)
-            node = node.children.setdefault(name, Node(weight))
-            node.tokens += tokens
-    return root
-
-
-def share_out(node: Node, budget: float, epochs: int) -> float:
-    """Give ``budget`` to a node; children's shortages go to siblings first.  Returns what is left over."""
-    node.budget = min(budget, node.capacity(epochs))
-    if node.children:
-        left = node.budget
-        offered = {name: 0.0 for name in node.children}
-        open_ = [n for n, c in sorted(node.children.items()) if c.weight > 0 and c.tokens]
-        while open_ and left > 1e-9:
-            total = sum(node.children[n].weight for n in open_)
-            full = []
-            given = 0.0
-            for n in open_:
-                child = node.children[n]
-                more = left * child.weight / total
-                room = child.capacity(epochs) - offered[n]
-                if more >= room:
-                    full.append(n)
-                    more = room
-                offered[n] += more
-                given += more
-            left -= given
-            if not full:
-                break
-            open_ = [n for n in open_ if n not in full]
-        node.budget = sum(offered.values())
-        for n, child in node.children.items():
-            share_out(child, offered[n], epochs)
-    return budget - node.budget
-
-
-def leaf_budgets(node: Node, path: tuple[str, ...] = ()) -> list[tuple[tuple[str, ...], int]]:
-    if not node.children:
-        return [(path, int(node.budget + 1e-6))]
-    return [x for n, c in sorted(node.children.items()) for x in leaf_budgets(c, (*path, n))]
 
 
 def shared_leaves(leaves: DataFrame, fraction: float, weights: dict[tuple[str, ...], float] | None, epochs: int) -> DataFrame:
-    """LEAF, budget, held: what ``share_out`` gives to ``leaves`` (LEAF, tokens), by grouped aggregations."""
+    """LEAF, budget, held: the budgets of ``leaves`` (LEAF, tokens) out of ``fraction`` of all tokens, by grouped aggregations."""
     spark = leaves.sparkSession
-    total = leaves.agg(F.sum("tokens")).first()[0]
+    total = leaves.agg(F.coalesce(F.sum("tokens"), F.lit(0))).first()[0]
     top = F.lit(0).alias("top")  # names the root
     above = leaves.select(top).limit(1).withColumn("offered", F.lit(min(fraction * total, float(total * epochs))))
     for depth in range(1, len(LEAF) + 1):
@@ -153,7 +90,6 @@ def mix(
     seed: int = 17,
     domain: Column | None = None,
     buckets: int = BUCKETS,
-    max_leaves: int = MAX_LEAVES,
 ) -> DataFrame:
     """row_id, doc_id, domain, language, source_name, epoch, tokens of each document taken in each epoch.
 
@@ -168,27 +104,13 @@ def mix(
         token_count(F.col("text").cast("string")).alias("tokens"),
         F.xxhash64(F.col("text").cast("string")).alias("content"),  # tells rows with one id apart
     )
-    spark = docs.sparkSession
     rows = staged(named, "mix-tokens")
-    counted = rows.groupBy(*LEAF).agg(F.sum("tokens").alias("tokens"))
-    leaves = counted.limit(max_leaves + 1).collect()
-    if many := len(leaves) > max_leaves:
-        shares = shared_leaves(staged(counted, "mix-leaves"), fraction, weights, epochs)
-    else:
-        root = tree([((r["domain"], r["language"], r["source_name"]), r["tokens"]) for r in leaves], weights)
-        share_out(root, fraction * root.tokens, epochs)
-        budgets = [(*path, b) for path, b in leaf_budgets(root) if path]
-        budget = spark.createDataFrame(budgets, "domain string, language string, source_name string, budget long")
-        held = spark.createDataFrame(
-            [(r["domain"], r["language"], r["source_name"], r["tokens"]) for r in leaves],
-            "domain string, language string, source_name string, held long",
-        )
-        shares = budget.join(held, LEAF)
+    leaves = staged(rows.groupBy(*LEAF).agg(F.sum("tokens").alias("tokens")), "mix-leaves")
+    shares = shared_leaves(leaves, fraction, weights, epochs)
     # An epoch's budget: what is left of the leaf's after the whole epochs before it.
     per_epoch = shares.select(*LEAF, "held", "budget", F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch"))
     per_epoch = per_epoch.withColumn("allowed", F.least("held", F.col("budget") - F.col("epoch") * F.col("held")))
     per_epoch = per_epoch.where("allowed > 0").select(*LEAF, "epoch", "allowed")
-    per_epoch = per_epoch if many else F.broadcast(per_epoch)  # max_leaves * epochs rows
 
     order = F.xxhash64(F.lit(seed), F.col("epoch"), F.col("doc_id"), F.col("content"))
     taken = rows.join(per_epoch, LEAF).withColumn("order", order)

@@ -2,25 +2,36 @@ import random
 from collections import Counter, defaultdict
 
 from devdelta.llm import mixing as M
+from tests.llm import budget_tree as T
 from tests.llm.helpers import awkward, documents, none, words
 
 
-def test_shortage_goes_to_siblings_before_ancestors():
+def budgets(spark, leaves, total, epochs=1, weights=None):
+    rows = spark.createDataFrame([(*p, t) for p, t in leaves], "domain string, language string, source_name string, tokens long")
+    shares = M.shared_leaves(rows, total / sum(t for _, t in leaves), weights, epochs)
+    return {tuple(r)[:3]: r["budget"] for r in shares.collect()}
+
+
+def test_shortage_goes_to_siblings_before_ancestors(spark):
     leaves = [(("a", "en", "s1"), 10), (("a", "en", "s2"), 1000), (("a", "de", "s3"), 1000), (("b", "en", "s4"), 1000)]
-    root = M.tree(leaves)
-    M.share_out(root, 400, 1)
-    got = dict(M.leaf_budgets(root))
+    root = T.tree(leaves)
+    T.share_out(root, 400, 1)
+    got = dict(T.leaf_budgets(root))
     # a and b get 200 each, a's languages 100 each; s1 holds 10, so s2 takes 90, not s3
     assert got == {("a", "en", "s1"): 10, ("a", "en", "s2"): 90, ("a", "de", "s3"): 100, ("b", "en", "s4"): 200}
+    assert budgets(spark, leaves, 400) == got
 
 
-def test_what_siblings_cannot_take_goes_up():
+def test_what_siblings_cannot_take_goes_up(spark):
     leaves = [(("a", "en", "s1"), 10), (("a", "en", "s2"), 20), (("a", "de", "s3"), 1000), (("b", "en", "s4"), 1000)]
-    root = M.tree(leaves, {("b",): 3.0})
-    M.share_out(root, 400, 1)
-    assert dict(M.leaf_budgets(root)) == {("a", "en", "s1"): 10, ("a", "en", "s2"): 20, ("a", "de", "s3"): 70, ("b", "en", "s4"): 300}
-    root = M.tree(leaves)
-    assert M.share_out(root, 5000, 2) == 5000 - 2 * 2030 and root.budget == 2 * 2030
+    root = T.tree(leaves, {("b",): 3.0})
+    T.share_out(root, 400, 1)
+    got = dict(T.leaf_budgets(root))
+    assert got == {("a", "en", "s1"): 10, ("a", "en", "s2"): 20, ("a", "de", "s3"): 70, ("b", "en", "s4"): 300}
+    assert budgets(spark, leaves, 400, weights={("b",): 3.0}) == got
+    root = T.tree(leaves)
+    assert T.share_out(root, 5000, 2) == 5000 - 2 * 2030 and root.budget == 2 * 2030
+    assert budgets(spark, leaves, 5000, 2) == {p: 2 * t for p, t in leaves}
 
 
 def sizes(texts):
@@ -43,9 +54,9 @@ def test_leaves_take_a_prefix_of_seeded_epochs(spark):
             assert r["tokens"] == tokens[r["doc_id"]]
             taken[leaf] += r["tokens"]
             by_epoch[leaf, r["epoch"]][r["doc_id"]] += 1
-        root = M.tree([(("src", *leaf), t) for leaf, t in held.items()], {("src", "en"): 4.0})
-        M.share_out(root, 0.9 * sum(tokens), 2)
-        for (_, *leaf), budget in M.leaf_budgets(root):
+        root = T.tree([(("src", *leaf), t) for leaf, t in held.items()], {("src", "en"): 4.0})
+        T.share_out(root, 0.9 * sum(tokens), 2)
+        for (_, *leaf), budget in T.leaf_budgets(root):
             assert budget - 60 < taken[tuple(leaf)] <= budget
             for e in (0, 1):
                 assert set(by_epoch[tuple(leaf), e].values()) <= {1}
@@ -68,26 +79,22 @@ def test_a_leaf_leaves_less_unspent_than_a_document_left_out(spark):
             taken[leaf(i)] += t
         else:
             left_out[leaf(i)] = max(left_out[leaf(i)], t)
-    root = M.tree(list(held.items()))
-    M.share_out(root, 0.5 * sum(tokens), 1)
-    assert all(0 <= b - taken[p] < max(left_out[p], 1) for p, b in M.leaf_budgets(root))
+    root = T.tree(list(held.items()))
+    T.share_out(root, 0.5 * sum(tokens), 1)
+    assert all(0 <= b - taken[p] < max(left_out[p], 1) for p, b in T.leaf_budgets(root))
 
 
-def test_more_leaves_than_the_driver_takes(spark):
+def test_budgets_equal_those_of_a_plain_tree(spark):
     rng = random.Random(2)
     held = {(f"d{rng.randrange(4)}", f"l{rng.randrange(3)}", f"s{i}"): rng.choice([1, 5, 5, 40, 300]) for i in range(60)}
     weights = {("d1",): 3.0, ("d2", "l0"): 0.25, **{p: rng.choice([0.0, 0.5, 2.0]) for p in list(held)[::4]}}
     leaves = spark.createDataFrame([(*p, t) for p, t in held.items()], "domain string, language string, source_name string, tokens long")
     for fraction, given, epochs in ((0.3, weights, 1), (0.9, weights, 2), (2.0, None, 1)):
-        root = M.tree(list(held.items()), given)
-        M.share_out(root, fraction * root.tokens, epochs)
+        root = T.tree(list(held.items()), given)
+        T.share_out(root, fraction * root.tokens, epochs)
         got = {tuple(r)[:3]: (r["budget"], r["held"]) for r in M.shared_leaves(leaves, fraction, given, epochs).collect()}
-        assert got == {p: (b, held[p]) for p, b in M.leaf_budgets(root) if p in got}
-        assert all(b == 0 for p, b in M.leaf_budgets(root) if p not in got)
-    texts = [words(rng, rng.randrange(1, 30)) for _ in range(100)]
-    df = documents(spark, texts)
-    few, many = (sorted(M.mix(df, 0.9, {("src", "en"): 4.0}, epochs=2, max_leaves=n).collect()) for n in (100, 3))
-    assert few == many
+        assert got == {p: (b, held[p]) for p, b in T.leaf_budgets(root) if p in got}
+        assert all(b == 0 for p, b in T.leaf_budgets(root) if p not in got)
 
 
 def test_awkward_and_empty(spark):
