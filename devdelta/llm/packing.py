@@ -12,8 +12,9 @@
 3. A pattern of count R stands for R sequences.  Each length's pieces are
    ranked over the whole corpus, and the rank leads to the pattern, the
    sequence and the offset.  Ranks come from counts per (length, group) with
-   groups of rows dealt by hash, so a length that most pieces share (full
-   sequences) isn't ranked in one task.  The slot table that a rank is looked
+   groups of rows dealt by a hash of the row's number, so neither a length that
+   most pieces share (full sequences) nor a repeated row is ranked in one task.
+   There are as many groups as the count of pieces asks for (``GROUP_ROWS``).  The slot table that a rank is looked
    up in holds a few thousand rows whatever the corpus's size.
 
 A sequence's padded length is ``size``, except that a fill which is a power of
@@ -43,11 +44,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from devdelta.llm.common import slices, staged
+from devdelta.llm.common import row_id, slices, staged
 
 SIZE = 2048
 END_ID = 1
-GROUPS = 4096
+GROUP_ROWS = 20_000  # pieces of a group that is ranked by one task, about
 CHUNKS = 1_400_000  # distinct chunks whose ids are kept, some 200 MB a worker
 #: Code points (first, last) of Unicode's White_Space, which the tokenizer's normaliser turns to blanks.
 WHITE_SPACE = [(0x9, 0xD), (0x20, 0x20), (0x85, 0x85), (0xA0, 0xA0), (0x1680, 0x1680), (0x2000, 0x200A)]
@@ -230,10 +231,10 @@ def _look_up(table: dict[int, np.ndarray]) -> Callable:
     return run
 
 
-def ranked(pieces: DataFrame, groups: int = GROUPS) -> DataFrame:
+def ranked(pieces: DataFrame, groups: int) -> DataFrame:
     """The pieces with ``rank``: 0, 1, ... within each length, over the whole table."""
     # Rows are dealt to groups by hash; a group's first rank is the count of the groups before it.
-    dealt = pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "start"), F.lit(groups)))
+    dealt = pieces.withColumn("grp", F.pmod(F.xxhash64(row_id(pieces)), F.lit(groups)))
     counts = dealt.groupBy("length", "grp").agg(F.count("*").alias("c"))
     before = Window.partitionBy("length").orderBy("grp").rowsBetween(Window.unboundedPreceding, -1)
     bases = counts.select("length", "grp", F.coalesce(F.sum("c").over(before), F.lit(0)).alias("base"))
@@ -243,11 +244,12 @@ def ranked(pieces: DataFrame, groups: int = GROUPS) -> DataFrame:
 
 
 def pack(
-    docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, end_id: int = END_ID, groups: int = GROUPS
+    docs: DataFrame, tokenizer: str | None = None, size: int = SIZE, end_id: int = END_ID, group_rows: int = GROUP_ROWS
 ) -> DataFrame:
     """A row per piece with its sequence_id and offset, for ``docs`` (doc_id, text)."""
     pieces = staged(document_pieces(docs, tokenizer or default_tokenizer(), size, end_id), "pieces")
     histogram = {r["length"]: r["c"] for r in pieces.groupBy("length").agg(F.count("*").alias("c")).collect()}
     table = slots(shortest_pack_first(histogram, size))
     ddl = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
-    return ranked(pieces, groups).mapInArrow(_look_up(table), ddl)
+    groups = -(-sum(histogram.values()) // group_rows)
+    return ranked(pieces, max(1, groups)).mapInArrow(_look_up(table), ddl)

@@ -52,7 +52,7 @@ def check(texts, rows, size):
 def test_every_id_lies_in_one_piece(spark):
     rng = random.Random(5)
     texts = ODD + [words(rng, rng.randrange(120)) for _ in range(150)]
-    rows = P.pack(documents(spark, texts), size=64, groups=3).collect()
+    rows = P.pack(documents(spark, texts), size=64, group_rows=100).collect()
     sequences = check(list(enumerate(texts)), rows, 64)
     used = sum(n for s in sequences.values() for _, n in s)
     assert sum(64 - sum(n for _, n in s) for s in sequences.values()) < 0.05 * used
