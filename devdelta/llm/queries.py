@@ -101,6 +101,23 @@ QUERIES: dict[str, Query] = {
 LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 ORACLES: dict[str, str] = {
+    "op2_jaccard_join": f"""
+        WITH RECURSIVE d AS MATERIALIZED (
+                 SELECT doc_id, list_filter(regexp_split_to_array({LOWER}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents),
+             s AS MATERIALIZED (
+                 SELECT DISTINCT doc_id, array_to_string(w[i : i + 3], ' ') AS g
+                 FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 3, 1) + 1)) AS i FROM d WHERE len(w) > 0)),
+             n AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM s GROUP BY ALL),
+             met AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+                      FROM s AS a JOIN s AS b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+             link AS MATERIALIZED (
+                 SELECT x, y FROM met JOIN n AS a ON a.doc_id = x JOIN n AS b ON b.doc_id = y
+                 WHERE 100 * c >= 85 * (a.n + b.n - c)),
+             reach(doc_id, other) AS (
+                 SELECT x, y FROM link UNION SELECT r.doc_id, y FROM reach AS r JOIN link ON x = r.other)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, least(doc_id, coalesce(low, doc_id)) AS component_id
+        FROM documents LEFT JOIN n USING (doc_id)
+             LEFT JOIN (SELECT doc_id, min(other) AS low FROM reach GROUP BY ALL) USING (doc_id)""",
     "op4_exact_dedup": f"""
         WITH d AS (SELECT doc_id, {LOWER} AS t FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
@@ -114,4 +131,21 @@ ORACLES: dict[str, str] = {
                CASE WHEN payload_bytes >= 1000 AND page_id <> best THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN payload_bytes >= 1000 AND page_id <> best THEN best END AS refers_to
         FROM g""",
+    "op9_suffix_dedup": """
+        WITH t AS MATERIALIZED (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+             w AS MATERIALIZED (
+                 SELECT doc_id, i, md5_number(substr(h, 2 * i + 1, 800)) AS g
+                 FROM (SELECT doc_id, h, unnest(range(0, strlen(h) // 2 - 399)) AS i FROM t WHERE strlen(h) >= 800)),
+             twice AS (SELECT g FROM w GROUP BY g HAVING count(*) > 1),
+             hit AS (SELECT doc_id, i, i > lag(i, 1, -401) OVER (PARTITION BY doc_id ORDER BY i) + 400 AS starts
+                     FROM w JOIN twice USING (g)),
+             run AS (SELECT doc_id, min(i) AS a, max(i) + 400 AS b
+                     FROM (SELECT doc_id, i, sum(starts::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM hit)
+                     GROUP BY doc_id, k),
+             cuts AS (SELECT doc_id, a, b FROM run UNION ALL SELECT doc_id, strlen(h) // 2, NULL FROM t),
+             kept AS (SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a, b NULLS LAST), 0) AS since FROM cuts)
+        SELECT doc_id, any_value(strlen(h) // 2) AS n_bytes,
+               CAST(coalesce(sum(b - a), 0) AS BIGINT) AS n_removed, count(b) AS n_spans,
+               sha256(unhex(string_agg(substr(h, 2 * since + 1, 2 * (a - since)), '' ORDER BY a, b NULLS LAST))) AS kept_sha256
+        FROM kept JOIN t USING (doc_id) GROUP BY doc_id""",
 }
