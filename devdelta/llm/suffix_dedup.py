@@ -2,10 +2,10 @@
 
 A byte is removed when a string of ``size`` bytes that covers it also starts
 anywhere else in the table.  Every string of ``size`` bytes (a window) is dealt
-to a shard by what it contains: the smallest values of two hashes over its
-grams of ``GRAM`` bytes.  Equal windows have equal keys, so they meet in one
-shard; consecutive windows with one key form a run, and a run is moved as one
-string, not window by window.
+to a shard by what it contains: its key is the smallest hash of its grams of
+``GRAM`` bytes.  Equal windows have equal keys, so they meet in one shard;
+consecutive windows with one key form a run, and a run is moved as one string,
+not window by window.
 
 1. A pass over the texts writes a row per run: key, place, number of windows
    and a 128-bit identity (the key and a hash of the bytes).
@@ -22,10 +22,12 @@ string, not window by window.
    text's removed intervals are united.
 
 Hot keys: counts are pre-aggregated; joins are on plain equality, so Spark
-splits skewed sides.  A key whose different runs exceed ``SHARD_BYTES`` isn't
-put into one shard (one task would sort it alone): its windows are counted, by
-weight, by their own 128-bit digests, which spreads them evenly and gives the
-same answer.  The shards are dealt over as many tasks as their bytes ask for
+splits skewed sides.  A key whose different runs exceed ``SHARD_BYTES`` (a line
+that stands in very many texts) isn't put into one shard, which one task would
+sort alone: its runs are texts of their own and are dealt again, by another hash
+of the grams, with their weights.  What is still above the bound after
+``LEVELS`` deals, strings that differ little in very many ways, is counted
+window by window, by weight, through 128-bit digests: spread evenly, the same answer.  The shards are dealt over as many tasks as their bytes ask for
 (``TASK_BYTES``), not over as few as their size on disk would allow.
 
 Null or empty text: nothing removed.  Repeated ids: every row is a text of its
@@ -54,14 +56,15 @@ STRETCH = 1 << 20  # windows of a text that are looked at together
 BATCH = 1 << 20  # bytes of a shard's string
 SHARD_BYTES = 4 << 20
 TASK_BYTES = 16 << 20  # of shards, for one task
+LEVELS = 3
 
 _seed = np.random.default_rng(9)
 _BYTE = _seed.integers(0, 2**64, 256, dtype=np.uint64)
 _FOLD = _seed.integers(0, 2**63, 24, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
-    """A hash of the ``gram`` (a power of two) bytes at each place."""
+def _gram_hashes(data: np.ndarray, gram: int, level: int) -> np.ndarray:
+    """A hash of the ``gram`` (a power of two) bytes at each place, another one at each level."""
     h, width = _BYTE[data], 1
     for fold in _FOLD[: gram.bit_length() - 1]:
         h = h[:-width] * fold + h[width:]
@@ -69,6 +72,8 @@ def _gram_hashes(data: np.ndarray, gram: int) -> np.ndarray:
     h ^= h >> np.uint64(29)
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
+    for _ in range(level):
+        h = (h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15)
     return h
 
 
@@ -81,13 +86,12 @@ def _window_minima(h: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(m[: n - width + 1], m[rest : rest + n - width + 1])
 
 
-def window_runs(data: np.ndarray, size: int, gram: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def window_runs(data: np.ndarray, size: int, gram: int, level: int = 0, salt: int = 0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Key and start of each run of windows, and whether a run may repeat itself."""
-    h = _gram_hashes(data, gram)
+    h = _gram_hashes(data, gram, level)
     width = size - gram + 1
     low = _window_minima(h, width)
-    other = _window_minima((h ^ (h >> np.uint64(31))) * np.uint64(0x9E3779B97F4A7C15), width)
-    key = low * np.uint64(0xC2B2AE3D27D4EB4F) + other
+    key = low * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(salt % 2**64)
     begins = np.ones(len(key), bool)
     begins[1:] = key[1:] != key[:-1]
     start = np.flatnonzero(begins)
@@ -98,33 +102,36 @@ def window_runs(data: np.ndarray, size: int, gram: int) -> tuple[np.ndarray, np.
     return key, start, np.logical_or.reduceat(again, start)
 
 
-def _text_runs(data: bytes, size: int, gram: int, stretch: int) -> Iterator[tuple]:
+def _text_runs(data: bytes, size: int, gram: int, stretch: int, level: int, salt: int) -> Iterator[tuple]:
     """(key, start, windows, self, identity) of the runs of a text."""
     total = len(data) - size + 1
     for at in range(0, max(0, total), stretch):
         n = min(stretch, total - at)
         part = data[at : at + n + size - 1]
-        key, start, own = window_runs(np.frombuffer(part, np.uint8), size, gram)
+        key, start, own = window_runs(np.frombuffer(part, np.uint8), size, gram, level, salt)
         count = np.diff(np.concatenate((start, [n])))
         view = memoryview(part)
         for k, s, c, o in zip(key[start].view(np.int64).tolist(), start.tolist(), count.tolist(), own.tolist()):
             yield k, at + s, c, o, xxhash.xxh3_64_intdigest(view[s : s + c + size - 1]) - 2**63
 
 
-def text_runs(rows: DataFrame, size: int, gram: int, stretch: int) -> DataFrame:
+def text_runs(rows: DataFrame, size: int, gram: int, stretch: int, level: int) -> DataFrame:
+    """uid, c, key, start, n, own, cid of the runs of ``rows`` (uid, text, c, salt)."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
-        names = ["uid", "key", "start", "n", "own", "cid"]
+        names = ["uid", "c", "key", "start", "n", "own", "cid"]
         for b in slices(batches, "text"):
             out = [
                 (row, *r)
-                for row, text in enumerate(b["text"].to_pylist())
-                for r in _text_runs(utf8(text), size, gram, stretch)
+                for row, (text, salt) in enumerate(zip(b["text"].to_pylist(), b["salt"].to_pylist()))
+                for r in _text_runs(text or b"", size, gram, stretch, level, salt)
             ]
             row, *cols = (pa.array(c, t) for c, t in zip(zip(*out) if out else [[]] * 6, types))
-            yield pa.RecordBatch.from_arrays([b["uid"].take(row), *cols], names)
+            yield pa.RecordBatch.from_arrays([b["uid"].take(row), b["c"].take(row), *cols], names)
 
-    return rows.mapInArrow(run, f"uid {ROW_ID}, key long, start long, n long, own boolean, cid long")
+    uid = rows.schema["uid"].dataType.simpleString()
+    return rows.mapInArrow(run, f"uid {uid}, c long, key long, start long, n long, own boolean, cid long")
 
 
 def _intervals(flags: np.ndarray) -> list[dict]:
@@ -202,8 +209,7 @@ def _fetch(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "text"):
             out = []
-            for text, wanted in zip(b["text"].to_pylist(), b["wanted"].to_pylist()):
-                data = utf8(text)
+            for data, wanted in zip(b["text"].to_pylist(), b["wanted"].to_pylist()):
                 out += [(w["key"], w["cid"], w["c"], data[w["start"] : w["start"] + w["n"] + size - 1]) for w in wanted]
             cols = list(zip(*out)) if out else [[]] * 4
             types = [pa.int64(), pa.int64(), pa.int64(), pa.binary()]
@@ -244,11 +250,15 @@ def repeated_intervals(
     batch: int = BATCH,
     shard_bytes: int = SHARD_BYTES,
     task_bytes: int = TASK_BYTES,
+    level: int = 0,
 ) -> DataFrame:
-    """uid and the byte intervals (a, b) of ``rows`` (uid, text) that repeated strings cover."""
-    runs = staged(text_runs(rows, size, gram, stretch), "runs")
+    """uid and the byte intervals (a, b) of ``rows`` (uid, text as binary, c, salt) that repeated strings cover.
+
+    A text counts ``c`` times; ``salt`` keeps the keys of texts apart that cannot have a string in common.
+    """
+    runs = staged(text_runs(rows, size, gram, stretch, level), "runs")
     by_cid = runs.groupBy("key", "cid").agg(
-        F.count("*").alias("c"), F.max("own").alias("own"), F.min(F.struct("uid", "start")).alias("at"), F.max("n").alias("n")
+        F.sum("c").alias("c"), F.max("own").alias("own"), F.min(F.struct("uid", "start")).alias("at"), F.max("n").alias("n")
     )
     by_cid = staged(by_cid, "run-identities")
     by_key = by_cid.groupBy("key").agg(F.sum("c").alias("total"), F.max("own").alias("own"), F.sum(F.col("n") + (size - 1)).alias("bytes"))
@@ -266,11 +276,17 @@ def repeated_intervals(
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-held // task_bytes))
     plain = plain.repartition(tasks, "key").sortWithinPartitions("key", "cid")
     found = plain.mapInArrow(_shards(size, batch), SPANS_DDL).where(F.size("spans") > 0)
-    if some_hot:
+    if some_hot and level + 1 < LEVELS:
+        again = fetched.join(hot, "key", "left_semi")
+        again = again.select(F.struct("key", "cid").alias("uid"), F.col("content").alias("text"), "c", F.col("key").alias("salt"))
+        inner = repeated_intervals(again, size, gram, stretch, batch, shard_bytes, task_bytes, level + 1)
+        one: Column = F.struct("a", (F.col("b") - (size - 1)).alias("b"))
+        found = found.unionByName(inner.groupBy("uid.key", "uid.cid").agg(F.collect_list(one).alias("spans")))  # of one run
+    elif some_hot:
         windows = fetched.join(hot, "key", "left_semi").mapInArrow(_digests(size), "key long, cid long, c long, a long, digest binary")
         windows = staged(windows, "windows")
         twice = windows.groupBy("digest").agg(F.sum("c").alias("c")).where("c > 1").select("digest")
-        one: Column = F.struct("a", (F.col("a") + 1).alias("b"))
+        one = F.struct("a", (F.col("a") + 1).alias("b"))
         singles = windows.join(twice, "digest").groupBy("key", "cid").agg(F.collect_list(one).alias("spans"))  # of one run
         found = found.unionByName(singles)
 
@@ -287,7 +303,8 @@ def remove_repeats(docs: DataFrame, size: int = SIZE, **options: int) -> DataFra
         F.col("text").cast("string").alias("text"),
         row_id(docs).alias("uid"),
     )
-    found = repeated_intervals(rows.select("uid", "text"), size, **options)
+    texts = rows.select("uid", F.col("text").cast("binary").alias("text"), F.lit(1).cast("long").alias("c"), F.lit(0).cast("long").alias("salt"))
+    found = repeated_intervals(texts, size, **options)
     spans = found.groupBy("uid").agg(F.collect_list(F.struct("a", "b")).alias("spans"))  # of one text
     ddl = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     return rows.join(spans, "uid", "left").select("doc_id", "text", "spans").mapInArrow(_cut, ddl)

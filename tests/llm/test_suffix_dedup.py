@@ -45,6 +45,18 @@ def test_removed_bytes_equal_brute_force(spark, options):
     assert result(documents(spark, t), 24, gram=8, **options) == expected(enumerate(t), 24)
 
 
+def test_a_line_in_all_texts_is_dealt_again(spark, monkeypatch):
+    rng = random.Random(12)
+    line = words(rng, 6)
+    t = [f"{words(rng, 8)} {line} {words(rng, 8)}" for _ in range(60)]
+    t += [x[5:] for x in t[:20]] + t[:3]  # windows around the line that come again
+    levels = []
+    plain = S.text_runs
+    monkeypatch.setattr(S, "text_runs", lambda rows, size, gram, stretch, level: levels.append(level) or plain(rows, size, gram, stretch, level))
+    assert result(documents(spark, t), 48, gram=8, shard_bytes=2000) == expected(enumerate(t), 48)
+    assert levels[:2] == [0, 1]
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.integers(0, 3), min_size=1, max_size=60), st.integers(1, 4))
 def test_suffix_array_and_prefixes(s, times):
