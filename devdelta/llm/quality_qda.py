@@ -135,11 +135,11 @@ def text_vectors(texts: list[str | None]) -> np.ndarray:
     if len(word) > 2:
         gram = word[:-2] * np.uint64(0x9E3779B97F4A7C15) + word[1:-1] * np.uint64(0xC2B2AE3D27D4EB4F) + word[2:]
         gram = (gram ^ (gram >> np.uint64(31))) * np.uint64(0x94D049BB133111EB) + doc[:-2].astype(np.uint64)
-        order = np.argsort(gram, kind="stable")
+        within = np.flatnonzero(doc[:-2] == doc[2:])  # not from one text into the next
+        order = within[np.argsort(gram[within], kind="stable")]
         same = gram[order[1:]] == gram[order[:-1]]
         twice = np.zeros(len(gram), bool)
         twice[order[1:][same]] = twice[order[:-1][same]] = True
-        twice &= doc[:-2] == doc[2:]
         for k in range(3):
             repeated[k : k + len(gram)] |= twice
     # words of a block of 50 that stand in it for the first time

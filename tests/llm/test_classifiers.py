@@ -143,3 +143,65 @@ def test_few_texts_are_trained_in_enough_steps():
     model = T.fit([text(y) for y in labels], labels, (0.9, 0.1))
     scores = model.probability(T._logits(model, [text(1) for _ in range(50)] + [text(0) for _ in range(200)]))
     assert model.slope > 0 and (scores[:50] >= 0.3).mean() > 0.8 and (scores[50:] >= 0.3).mean() < 0.05
+
+
+def plain_statistics(text):
+    """The 19 statistics, word by word."""
+    words = (text or "").split()
+    n = len(words)
+    if not n:
+        return [0.0] * len(Q.NAMES)
+    flags = []
+    for i, w in enumerate(words):
+        letters = [c for c in w if c.isalpha()]
+        odd = any(not (c.isalnum() or c in ".,;:!?'\"()-") for c in w)
+        shout = len(letters) > 1 and all(c.isupper() for c in letters)
+        flags.append([shout, odd, w[-1] == "!", i > 0 and words[i - 1] == w, not letters, any(c.isdigit() for c in w), w[-1] in ".!?"])
+    flags = np.array(flags, float)
+    mean = flags.mean(0)
+    worst = np.max([flags[i : i + 12].mean(0) for i in range(max(1, n - 11))], 0)
+    grams = [tuple(words[i : i + 3]) for i in range(n - 2)]
+    again = {i + k for i, g in enumerate(grams) if grams.count(g) > 1 for k in range(3)}
+    blocks = [words[i : i + 50] for i in range(0, n, 50)]
+    ratios = [len(set(b)) / len(b) for b in blocks]
+    stops = [-1, *np.flatnonzero(flags[:, 6]).tolist(), n]
+    lines = [x for x in text.split("\n") if x.strip()]
+    roots = {
+        "upper": mean[0], "symbols": mean[1], "bang": mean[2], "digits": mean[5], "again": mean[3], "repeated": len(again) / n,
+        "duplicate_lines": 1 - len(set(lines)) / len(lines), "no_letter": mean[4], "worst_upper": worst[0], "worst_symbols": worst[1],
+        "worst_bang": worst[2], "worst_again": worst[3], "worst_no_letter": worst[4], "stops": mean[6],
+    }
+    out = {k: v**0.5 for k, v in roots.items()}
+    out["log_words"], out["word_length"] = np.log1p(n), np.log1p(sum(map(len, words)) / n)
+    out["longest_run"] = np.log1p(max(b - a for a, b in zip(stops, stops[1:])))
+    out["distinct"] = np.mean(ratios)
+    out["worst_distinct"] = min(r for r, b in zip(ratios, blocks) if len(b) >= min(n, 25))
+    return [out[k] for k in Q.NAMES]
+
+
+def test_statistics_equal_brute_force():
+    rng = random.Random(11)
+    pool = ["one", "TWO", "tWo!", "x1.", "***", "a?", "É", "日本", "12", "no-break\xa0x", "I", "end.\n", "same line\n"]
+    texts = [None, "", " \n", "w " * 130]
+    texts += [" ".join(rng.choice(pool) for _ in range(rng.randrange(1, 200))) for _ in range(120)]
+    assert np.allclose(Q.text_vectors(texts), [plain_statistics(t) for t in texts])
+
+
+def test_log_densities_equal_the_formula():
+    rng = np.random.default_rng(4)
+    d, by = len(Q.NAMES), {}
+    x = {k: rng.normal(k, 1 + k, (80 + 40 * k, d)) @ rng.normal(0, 1, (d, d)) for k in (0, 1)}
+    for k in (0, 1):
+        one = np.column_stack((np.ones(len(x[k])), x[k]))
+        by[k] = one.T @ one
+    model = Q.discriminant(by)
+    centred = {k: x[k] - x[k].mean(0) for k in x}
+    pooled = sum(c.T @ c for c in centred.values()) / 200
+    pooled = 0.9 * pooled + 0.1 * np.diag(np.diag(pooled))
+    new, density = rng.normal(0, 2, (50, d)), []
+    for k in (0, 1):
+        cov = 0.95 * centred[k].T @ centred[k] / len(x[k]) + 0.05 * pooled + np.diag(1e-4 + 0.01 * np.diag(pooled))
+        z = new - x[k].mean(0)
+        density.append(-0.5 * (np.einsum("ij,jk,ik->i", z, np.linalg.inv(cov), z) + np.linalg.slogdet(cov)[1]))
+    raw = density[1] - density[0] + np.log(len(x[1]) / len(x[0]))
+    assert np.allclose(model.difference(new), np.sign(raw) * np.log1p(np.abs(raw)), rtol=1e-6)

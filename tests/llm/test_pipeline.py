@@ -29,3 +29,18 @@ def test_run_packs_what_is_left(spark):
     ids = {r["doc_id"] for r in rows}
     assert 0.5 * docs.count() < len(ids) < docs.count()
     assert ids <= {r["doc_id"] for r in docs.select("doc_id").collect()}
+
+
+def test_filters_and_packing_on_awkward_rows(spark):
+    docs = C.staged(awkward(spark), "t")
+    rows = sorted(map(tuple, docs.select(*C.COLUMNS).collect()), key=str)
+    for stage in (C.toxicity, C.mixing):
+        out = stage(spark, docs, SF)
+        assert out.columns == C.COLUMNS
+        left = list(rows)
+        for r in out.collect():
+            left.remove(tuple(r))  # only rows of docs, each as often as it stands there at most
+    packed = C.packing(spark, docs, SF).collect()
+    ends = [r for r in packed if r["start"] + r["length"] == r["doc_tokens"]]
+    assert len(ends) == len(rows) and sum(r["length"] for r in packed) == sum(r["doc_tokens"] for r in ends)
+    assert C.toxicity(spark, none(spark), SF).collect() == []
