@@ -22,6 +22,7 @@ from devdelta.plans.views import (
     lateral_statement,
     register_diff_table_function,
     register_sql_views,
+    store_lag_view,
 )
 from devdelta.schema import CHANGE_EVENT_COLUMNS
 from devdelta.session import scratch_path
@@ -387,6 +388,7 @@ def q_sql_insert_into(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_sql_lateral_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Path B's second view with the diff as a table function joined laterally."""
     register_sql_views(spark, messages(spark, sf_dir))
+    store_lag_view(spark, scratch_path(spark, "lag_view"))
     register_diff_table_function(spark)
     return spark.sql(lateral_statement())
 
