@@ -68,6 +68,9 @@ class Settings:
     idle_clock: str = "event"
     # Event time in one slice of a stream's pending rows (see ``streaming.pending``).
     slice_ms: int = PATH_A_BOUND_MS
+    # For replays, whose batches touch every key: that many groups of keys in place of one group a key
+    # (see ``streaming.key_slots``).  Part of the state's layout: fixed for a checkpoint.
+    key_slots: int | None = None
     # Path A key: three separate columns (default) or, for byte parity, the
     # original single text ``productKey_deviceName_eventName`` (where a ``_``
     # inside a part can make two different keys collide).

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from contextlib import contextmanager
+from dataclasses import replace
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.errors import StreamingQueryException
@@ -49,9 +50,11 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
 
 
-def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Kafka-shaped snapshot messages derived from ``events``."""
-    return fixture_messages(events(spark, sf_dir))
+def messages(spark: SparkSession, sf_dir: str, days: Column | None = None) -> DataFrame:
+    """Kafka-shaped snapshot messages derived from ``events``; with ``days``, a condition on ``_day()``,
+    those of such days: a message is of one day, so the other days' events need not be grouped for it."""
+    rows = events(spark, sf_dir)
+    return fixture_messages(rows if days is None else rows.where(days))
 
 
 def property_rows(spark: SparkSession, sf_dir: str, settings: Settings = Settings()) -> DataFrame:
@@ -140,16 +143,15 @@ def flush_message(spark: SparkSession, at_ms: int) -> DataFrame:
     )
 
 
-def _day(ms: str = "timestamp") -> Column:
-    """Epoch day of a message, zone-independent."""
-    return F.floor(F.unix_millis(ms) / F.lit(DAY_MS))
+def _day() -> Column:
+    """Epoch day of an event, and so of its message; zone-independent."""
+    return F.datediff(F.col("ts").cast("timestamp_ntz").cast("date"), F.lit("1970-01-01").cast("date"))
 
 
 def _day_bounds(spark: SparkSession, sf_dir: str) -> tuple[int, int, int]:
     """First, last and middle day.  Message days are the days of the events: a one-column
     aggregate over the table (a single small row), not over the messages."""
-    ev_day = F.datediff(F.col("ts").cast("timestamp_ntz").cast("date"), F.lit("1970-01-01").cast("date"))
-    bounds = events(spark, sf_dir).agg(F.min(ev_day).alias("lo"), F.max(ev_day).alias("hi")).first()
+    bounds = events(spark, sf_dir).agg(F.min(_day()).alias("lo"), F.max(_day()).alias("hi")).first()
     lo, hi = bounds["lo"], bounds["hi"]
     return lo, hi, lo + (hi - lo) // 2
 
@@ -157,9 +159,8 @@ def _day_bounds(spark: SparkSession, sf_dir: str) -> tuple[int, int, int]:
 def _phased_replay(spark: SparkSession, sf_dir: str, late_half_first: bool, name: str) -> tuple[str, list[DataFrame]]:
     """Write the derived messages as two replay phases (two file drops) in a
     fresh folder under the shared checkpoint root; phase order by day."""
-    msgs = messages(spark, sf_dir)
     lo, hi, mid = _day_bounds(spark, sf_dir)
-    early, late = msgs.where(_day() < mid), msgs.where(_day() >= mid)
+    early, late = messages(spark, sf_dir, _day() < mid), messages(spark, sf_dir, _day() >= mid)
     if late_half_first:
         phases = [late, early]
     else:
@@ -168,25 +169,29 @@ def _phased_replay(spark: SparkSession, sf_dir: str, late_half_first: bool, name
     return scratch_path(spark, name), phases
 
 
-def _run_phases(spark: SparkSession, root: str, phases: list[DataFrame], build, writer) -> None:
+#: Of a replay, events for one state partition: a worker holds all that its partition releases in a batch.
+PARTITION_EVENTS = 250_000
+
+
+def _run_phases(spark: SparkSession, sf_dir: str, root: str, phases: list[DataFrame], build, writer) -> None:
     """Drop each phase into the input folder and let the job catch up.
 
     A new checkpoint fixes its state partitions from ``spark.sql.shuffle.partitions``;
-    for these bounded replays that is set to the cluster's default parallelism
-    for the first run (and restored afterwards), not to a large batch default.
+    for these bounded replays that is set to the cluster's default parallelism, or
+    more by the size of the input, for the runs (and restored afterwards), not to a large batch default.
     """
-    with _replay_session(spark):
+    with _replay_session(spark, sf_dir):
         for phase in phases:
             phase.write.mode("append").parquet(f"{root}/in")
             jobs.run_available(build(file_stream(spark, f"{root}/in")), writer, f"{root}/checkpoint")
 
 
 @contextmanager
-def _replay_session(spark: SparkSession):
+def _replay_session(spark: SparkSession, sf_dir: str):
     use_rocksdb(spark)
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
-    spark.conf.set(key, str(max(1, spark.sparkContext.defaultParallelism)))
+    spark.conf.set(key, str(max(spark.sparkContext.defaultParallelism, -(-events(spark, sf_dir).count() // PARTITION_EVENTS))))
     try:
         yield
     finally:
@@ -200,8 +205,9 @@ DIFF_DDL = (
 
 
 #: In a replay all rows of a phase wait for its last one: slices as long as their history.
-REPLAY = Settings(slice_ms=400 * DAY_MS)
-REPLAY_IDLE = Settings(slice_ms=400 * DAY_MS, idle_ttl_ms=PATH_B_IDLE_TTL_MS)
+#: Their batches touch every key, so the keys go in slots.
+REPLAY = Settings(slice_ms=400 * DAY_MS, key_slots=1 << 12)
+REPLAY_IDLE = replace(REPLAY, idle_ttl_ms=PATH_B_IDLE_TTL_MS)
 
 
 def _changes(spark: SparkSession, table: CommittedTable, late: bool = False) -> DataFrame:
@@ -220,7 +226,7 @@ def _change_table(root: str) -> CommittedTable:
 def q_stream_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, phases = _phased_replay(spark, sf_dir, False, "stream_change_log")
     table = _change_table(root)
-    _run_phases(spark, root, phases, lambda raw: jobs.change_log_stream(raw, REPLAY), table)
+    _run_phases(spark, sf_dir, root, phases, lambda raw: jobs.change_log_stream(raw, REPLAY), table)
     return _changes(spark, table)
 
 
@@ -242,7 +248,7 @@ def q_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
     watermark = _last_ms(spark, sf_dir, _event_day() >= mid) - watermark_delay_ms(REPLAY.bound_ms)
     phases[1] = phases[1].unionByName(timed_messages(events(spark, sf_dir), watermark))
     table = _change_table(root)
-    _run_phases(spark, root, phases, lambda raw: jobs.change_log_stream(raw, REPLAY), table)
+    _run_phases(spark, sf_dir, root, phases, lambda raw: jobs.change_log_stream(raw, REPLAY), table)
     return _changes(spark, table, late=True)
 
 
@@ -255,12 +261,12 @@ def q_stream_min_watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream_min_watermark")
     lo, hi, mid = _day_bounds(spark, sf_dir)
     quarter = lo + (hi - lo) // 4
-    msgs = messages(spark, sf_dir)
-    fast, slow = msgs.where(F.col("partition") < N_PARTITIONS // 2), msgs.where(F.col("partition") >= N_PARTITIONS // 2)
+    fast, slow = F.col("partition") < N_PARTITIONS // 2, F.col("partition") >= N_PARTITIONS // 2
     second = (_day() >= quarter) & (_day() < mid)
-    phases = [(fast.where(_day() >= mid), slow.where(second)), (fast.where(_day() < mid), slow.where(~second))]
+    of = lambda group, days: messages(spark, sf_dir, days).where(group)
+    phases = [(of(fast, _day() >= mid), of(slow, second)), (of(fast, _day() < mid), of(slow, ~second))]
     table = _change_table(root)
-    with _replay_session(spark):
+    with _replay_session(spark, sf_dir):
         for phase in phases:
             for i, rows in enumerate(phase):
                 rows.write.mode("append").parquet(f"{root}/in{i}")
@@ -277,7 +283,7 @@ def q_stream_from_backfill(spark: SparkSession, sf_dir: str) -> DataFrame:
     versions.commit(changelog.baseline(history), 0)
     baseline = versions.read(spark, f"{', '.join(f'{k} string' for k in changelog.KEYS)}, t long, value string", 0)
     table = _change_table(root)
-    _run_phases(spark, root, [late], lambda raw: jobs.change_log_stream(raw, REPLAY, baseline), table)
+    _run_phases(spark, sf_dir, root, [late], lambda raw: jobs.change_log_stream(raw, REPLAY, baseline), table)
     return changelog.change_log(history).unionByName(_changes(spark, table))
 
 
@@ -289,7 +295,7 @@ def q_stream_snapshots_from_backfill(spark: SparkSession, sf_dir: str) -> DataFr
     versions.commit(snapshot.baseline(history), 0)
     baseline = versions.read(spark, f"{', '.join(f'{k} string' for k in snapshot.DEVICE_KEYS)}, t long, value string", 0)
     table = CommittedTable(f"{root}/diff")
-    _run_phases(spark, root, [late], lambda raw: jobs.snapshot_diff_stream(raw, REPLAY, baseline=baseline), table)
+    _run_phases(spark, sf_dir, root, [late], lambda raw: jobs.snapshot_diff_stream(raw, REPLAY, baseline=baseline), table)
     return snapshot.snapshot_diff(history).unionByName(_diffs(spark, table))
 
 
@@ -311,12 +317,12 @@ def q_stream_committed(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = _CutOff(f"{root}/changes", partition_by=["is_late"])
     build = lambda raw: jobs.change_log_stream(raw, REPLAY)
     try:
-        _run_phases(spark, root, phases[:1], build, table)
+        _run_phases(spark, sf_dir, root, phases[:1], build, table)
     except StreamingQueryException:
         if not table.cut:
             raise
     again = _change_table(root)
-    _run_phases(spark, root, phases[1:], build, again)
+    _run_phases(spark, sf_dir, root, phases[1:], build, again)
     return _changes(spark, again)
 
 
@@ -325,7 +331,7 @@ def q_stream_drop_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch_path(spark, "stream_drop_counts")
     counter = DropCounter("drops")
     drop_messages(events(spark, sf_dir)).write.parquet(f"{root}/in")
-    with _replay_session(spark):
+    with _replay_session(spark, sf_dir):
         stream = jobs.change_log_stream(file_stream(spark, f"{root}/in"), REPLAY, observe=counter.name)
         query = jobs.run_available(stream, _change_table(root), f"{root}/checkpoint")
     for progress in query.recentProgress:
@@ -344,7 +350,7 @@ def q_incremental_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     lo, hi, _ = _day_bounds(spark, sf_dir)
     cuts = [lo, lo + (hi - lo) // 3, lo + 2 * (hi - lo) // 3, hi + 1]
     for i, (a, b) in enumerate(zip(cuts, cuts[1:])):
-        log.run(messages(spark, sf_dir).where((_day() >= a) & (_day() < b)), i)
+        log.run(messages(spark, sf_dir, (_day() >= a) & (_day() < b)), i)
     return log.read(spark)
 
 
@@ -358,7 +364,7 @@ def q_bucketed_change_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_stream_snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     root, phases = _phased_replay(spark, sf_dir, False, "stream_snapshot_diff")
     table = CommittedTable(f"{root}/diff")
-    _run_phases(spark, root, phases, lambda raw: jobs.snapshot_diff_stream(raw, REPLAY), table)
+    _run_phases(spark, sf_dir, root, phases, lambda raw: jobs.snapshot_diff_stream(raw, REPLAY), table)
     return _diffs(spark, table)
 
 
@@ -366,7 +372,7 @@ def q_stream_snapshot_diff_idle(spark: SparkSession, sf_dir: str) -> DataFrame:
     """As ``stream_snapshot_diff`` with the 24 h idle expiry."""
     root, phases = _phased_replay(spark, sf_dir, False, "stream_snapshot_diff_idle")
     table = CommittedTable(f"{root}/diff")
-    _run_phases(spark, root, phases, lambda raw: jobs.snapshot_diff_stream(raw, REPLAY_IDLE), table)
+    _run_phases(spark, sf_dir, root, phases, lambda raw: jobs.snapshot_diff_stream(raw, REPLAY_IDLE), table)
     return _diffs(spark, table)
 
 

@@ -16,6 +16,7 @@ from devdelta.operators import parse, snapshot
 from devdelta.operators.changelog import key_exprs, key_names
 from devdelta.streaming import change_processor as cp
 from devdelta.streaming import lag_processor as lp
+from devdelta.streaming.key_slots import transform
 
 ITEMS_DDL = "map<string, struct<value: string, time: variant>>"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -65,13 +66,7 @@ def change_log_stream(
     inputs = [_change_log_input(r, settings, f"{observe}_{i}" if observe else None) for i, r in enumerate(raws)]
     slim = reduce(DataFrame.unionByName, inputs)
     keys = key_names(settings)
-    return slim.groupBy(*keys).transformWithState(
-        cp.ChangeLogProcessor(settings.slice_ms),
-        cp.OUTPUT_DDL,
-        "Append",
-        "EventTime",
-        initialState=None if baseline is None else baseline.groupBy(*keys),
-    )
+    return transform(slim, keys, cp.ChangeLogProcessor(settings.slice_ms), cp.OUTPUT_DDL, baseline, settings.key_slots)
 
 
 def snapshot_lag_stream(
@@ -81,6 +76,7 @@ def snapshot_lag_stream(
     baseline: DataFrame | None = None,
     clock: Callable[[], int] | None = None,
     slice_ms: int = Settings().slice_ms,
+    key_slots: int | None = None,
 ) -> DataFrame:
     """Path B stream, lag stage: previous snapshot per device (JSON texts).
 
@@ -97,13 +93,8 @@ def snapshot_lag_stream(
         *lp.ENVELOPE,
         F.col("items").alias("items_json"),
     )
-    return slim.groupBy(*snapshot.DEVICE_KEYS).transformWithState(
-        lp.SnapshotLagProcessor(slice_ms, idle_ttl_ms, clock),
-        lp.OUTPUT_DDL,
-        "Append",
-        "EventTime",
-        initialState=None if baseline is None else baseline.groupBy(*snapshot.DEVICE_KEYS),
-    )
+    processor = lp.SnapshotLagProcessor(slice_ms, idle_ttl_ms, clock)
+    return transform(slim, snapshot.DEVICE_KEYS, processor, lp.OUTPUT_DDL, baseline, key_slots)
 
 
 def snapshot_diff_stream(
@@ -116,7 +107,9 @@ def snapshot_diff_stream(
     """Path B stream: lag stage, then the native diff on the released pairs."""
     if settings.idle_clock == "processing":
         clock = clock or lp.wall_ms
-    lagged = snapshot_lag_stream(raw, bound_ms, settings.idle_ttl_ms, baseline, clock, settings.slice_ms)
+    lagged = snapshot_lag_stream(
+        raw, bound_ms, settings.idle_ttl_ms, baseline, clock, settings.slice_ms, settings.key_slots
+    )
     return snapshot.diff_rows(lagged.select(*snapshot.ENVELOPE, "newData", "oldData"), settings)
 
 
