@@ -85,15 +85,24 @@ def change_log(events: DataFrame, settings: Settings = Settings()) -> DataFrame:
     return out.select(*CHANGE_EVENT_COLUMNS)
 
 
-def with_baseline(events: DataFrame, last: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
-    """(rows newer than their key's baseline, with BASE_TIME and BASE_VALUE; the late rest).  ``last``: see ``baseline``.
+def join_baseline(events: DataFrame, last: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """With the baseline of their key as BASE_TIME and BASE_VALUE.  ``last``: see ``baseline``.
 
     One join on the key; the baseline has one row a key, so Spark can split a hot key's rows.
     """
     keys = key_names(settings)
-    joined = _keyed(events, settings).join(
+    return _keyed(events, settings).join(
         last.select(*keys, F.col("t").alias(BASE_TIME), F.col("value").alias(BASE_VALUE)), keys, "left"
     )
+
+
+def with_baseline(events: DataFrame, last: DataFrame, settings: Settings = Settings()) -> tuple[DataFrame, DataFrame]:
+    """(rows newer than their key's baseline, with BASE_TIME and BASE_VALUE; the late rest).  ``last``: see ``baseline``."""
+    return by_baseline(join_baseline(events, last, settings))
+
+
+def by_baseline(joined: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``join_baseline`` rows: (those newer than their baseline; the late rest)."""
     late = F.coalesce(F.col("gmtCreate") <= F.col(BASE_TIME), F.lit(False))
     return joined.where(~late), joined.where(late).select(*CHANGE_EVENT_COLUMNS, *ARRIVAL)
 

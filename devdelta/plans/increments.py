@@ -10,6 +10,7 @@ newer than their key's baseline came too late and are kept apart.
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,18 +35,26 @@ class IncrementalChangeLog:
     """The change log under ``path``: changes, late rows and the baselines between increments."""
 
     def __init__(self, path: str, settings: Settings = Settings()):
-        self.settings = settings
+        self.settings, self.path = settings, path
         self.changes = CommittedTable(f"{path}/changes", "increments", ["is_late"])
         self.baselines = Versions(f"{path}/baseline")
         keys = changelog.key_names(settings)
         self.baseline_ddl = ", ".join(f"{k} string" for k in keys) + ", t long, value string"
 
-    def plan(self, raw: DataFrame, number: int) -> Increment:
-        """What increment ``number`` (from 0) makes of a dump; reads the dump and the baseline before it only."""
+    def plan(self, raw: DataFrame, number: int, staged: str | None = None) -> Increment:
+        """What increment ``number`` (from 0) makes of a dump; reads the dump and the baseline before it only.
+
+        With ``staged``, a new folder, the parsed rows and their baselines are written there first: the
+        increment reads them four times (changes within and between time buckets, late rows, next baseline), the dump once.
+        """
         spark = raw.sparkSession
         last = self.baselines.read(spark, self.baseline_ddl, number - 1)
         events = parse.property_events(parse.snapshot_messages(raw), self.settings.linked)
-        fresh, late = changelog.with_baseline(events, last, self.settings)
+        joined = changelog.join_baseline(events, last, self.settings)
+        if staged:
+            joined.write.parquet(staged)
+            joined = spark.read.schema(joined.schema).parquet(staged)
+        fresh, late = changelog.by_baseline(joined)
         return Increment(
             changelog.change_log(fresh, self.settings),
             late.select(*CHANGE_EVENT_COLUMNS),
@@ -57,7 +66,7 @@ class IncrementalChangeLog:
         spark = raw.sparkSession
         if number and number - 1 not in self.baselines.numbers(spark):
             raise ValueError(f"increment {number - 1} has not been run")
-        step = self.plan(raw, number)
+        step = self.plan(raw, number, f"{self.path}/staged/{number}-{uuid.uuid4().hex}")
         flag = lambda df, late: df.withColumn("is_late", F.lit(late))
         self.changes.done = None  # looked up again: other processes may have gone on
         self.changes(flag(step.changes, False).unionByName(flag(step.late, True)), number)

@@ -202,3 +202,16 @@ def messages_ddl():
     from devdelta.schema import CHANGE_EVENT_FIELDS
 
     return ", ".join(f"{n} {t.simpleString()}" for n, t in CHANGE_EVENT_FIELDS)
+
+
+def test_an_increment_reads_its_dump_once(spark, tmp_path):
+    log = IncrementalChangeLog(f"{tmp_path}/increments")
+    texts = [message([("T", i // 2, 10 * i), ("U", i, 10 * i)], gmtCreate=10 * i) for i in range(6)]
+    kafka_rows(spark, texts).write.parquet(f"{tmp_path}/dump")
+    step = log.plan(spark.read.parquet(f"{tmp_path}/dump"), 0, f"{tmp_path}/staged")
+    for rows in (step.changes, step.late, step.baseline):
+        assert rows.inputFiles() and all("/staged/" in f for f in rows.inputFiles())
+    plain = log.plan(kafka_rows(spark, texts), 0)
+    for staged, own in ((step.changes, plain.changes), (step.late, plain.late), (step.baseline, plain.baseline)):
+        assert sorted(map(str, staged.collect())) == sorted(map(str, own.collect()))
+    assert step.changes.count() == 9 and step.baseline.count() == 2
