@@ -75,6 +75,7 @@ RATIO = 1.6
 BAND_MASK = 63  # the low bits of a word: its band
 LEAD_PARTS = 8  # parts of the words that choose their leads alike
 LEVELS = 8  # levels of D for each difference that linked sets may have
+SLICE = 1 << 18  # bytes of text that are cut into shingles together
 SHRINK = 0.7  # a round that leaves more of the pairs in question is the last
 MAX_SEEDS = 4
 
@@ -228,7 +229,7 @@ def _documents(seed: int, size: int):
     """uid, doc_id, text -> uid, doc_id, n, node, check (null for an empty set)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 1 << 20):
+        for b in slices(batches, "text", SLICE):
             sets = shingle_sets(b["text"].to_pylist(), size)
             ids = [(_node(s, seed), _node(s, seed + 1000), bit_sketch(s)) if len(s) else (None,) * 3 for s in sets]
             yield pa.RecordBatch.from_arrays(
@@ -253,7 +254,7 @@ def _emitted(seed: int, size: int, percent: int):
         bands = Bands(percent)
         for big in batches:
             seen: set[int] = set()
-            for b in slices(iter([big]), "text", 1 << 20):
+            for b in slices(iter([big]), "text", SLICE):
                 words, nodes, needs, counts = [], [], [], []
                 for s in shingle_sets(b["text"].to_pylist(), size):
                     if not len(s) or (node := _node(s, seed)) in seen:
@@ -361,7 +362,7 @@ def _near(percent: int):
 
 def _sets(size: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 1 << 20):
+        for b in slices(batches, "text", SLICE):
             sets = shingle_sets(b["text"].to_pylist(), size)
             offsets = np.concatenate(([0], np.cumsum([len(s) for s in sets]))).astype(np.int32)
             flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, np.int64)

@@ -1,0 +1,20 @@
+import time
+
+from devdelta.llm.common import SHUFFLES_GO, staged
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+    return {f for f in files.split("\n") if "/shuffle_" in f}
+
+
+def test_shuffles_of_staged_rows_go_with_the_write(spark):
+    before, conf = shuffle_files(spark), spark.conf.get(SHUFFLES_GO, None)
+    plan = spark.range(0, 20_000, 1, 4).selectExpr("id % 500 AS k", "id").groupBy("k").count().repartition(3, "count")
+    once, again = staged(plan, "t"), staged(plan, "t")
+    end = time.time() + 20
+    while shuffle_files(spark) - before and time.time() < end:  # they are removed in the background
+        time.sleep(0.2)
+    assert not shuffle_files(spark) - before
+    assert sorted(once.collect()) == sorted(again.collect()) == [(k, 40) for k in range(500)]
+    assert spark.conf.get(SHUFFLES_GO, None) == conf
